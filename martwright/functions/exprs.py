@@ -150,17 +150,25 @@ def is_not_value(col: ColumnOrName, value, keep_nulls: bool = True) -> Column:
 
 
 def templated_message(name: ColumnOrName, template: str,
+                      special_template: str | None = None,
                       special_values: Sequence[str] = (),
-                      special_template: str | None = None) -> Column:
-    """``template % name``, with another template for a set of values.
+                      special_if: Column | None = None) -> Column:
+    """``template % name``; ``special_template`` where the name is one of
+    ``special_values`` or where ``special_if`` holds (R8).
 
     Templates use ``%s`` placeholders (``format_string``).
     """
     n = _c(name)
     general = F.format_string(template, n)
-    if not special_values or special_template is None:
+    if special_template is None:
         return general
-    return F.when(n.isin(list(special_values)),
+    cond = special_if
+    if special_values:
+        in_list = n.isin(list(special_values))
+        cond = in_list if cond is None else (cond | in_list)
+    if cond is None:
+        return general
+    return F.when(F.coalesce(cond, F.lit(False)),
                   F.format_string(special_template, n)).otherwise(general)
 
 

@@ -7,9 +7,9 @@ are listed in ``queries()`` only.
 
 from __future__ import annotations
 
-from martwright.registry import sales
+from martwright.registry import collections, columns, sales, tables
 
-_MODULES = [sales]
+_MODULES = [sales, columns, collections, tables]
 
 
 def queries():
