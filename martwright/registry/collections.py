@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from martwright.functions import collections as L
-from martwright.sources import read_table
+from martwright.registry._inputs import table as read_table
 
 # Order status code -> label, the lookup table of R19.
 STATUS_LABELS = {"F": "fulfilled", "O": "open", "P": "partial"}

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from martwright.functions import exprs as X
 from martwright.functions import sql_functions
-from martwright.sources import read_table
+from martwright.registry._inputs import table as read_table
 
 # Fixed parameters of the registered queries.
 GROWTH_RATE = 0.06            # yearly rate for growth and interest

@@ -11,14 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from martwright.plans import datasets, marts
-from martwright.sources import (catalog_roles, read_parquet_tables, sales_roles,
-                                transaction_roles)
+from martwright.registry._inputs import tables as _shared_tables
+from martwright.sources import catalog_roles, sales_roles, transaction_roles
 from martwright.sources.staging import (TEST_ADDRESS_REPAIR, TEST_LAST_NAME_REPAIR,
                                         WITHHELD_GENRE_ID)
 
 
-def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return read_parquet_tables(spark, sf_dir)
+def _tables(spark: SparkSession, sf_dir: str):
+    return _shared_tables(spark, sf_dir)
 
 
 def _sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from martwright import operators as O
 from martwright.functions.exprs import PASS_MARK
-from martwright.sources import read_table
+from martwright.registry._inputs import table as read_table
 
 # Fixed parameters: the event that ends a take-until scan and the event whose
 # share is measured.

@@ -30,6 +30,10 @@ def read_jdbc_table(
     or last slice); when they are not given they are looked up with one
     ``min``/``max`` query that the database answers, a single row.
 
+    ``partition_column`` is written as the database sees it: quote it (for
+    example ``'"o_orderkey"'``) when the database stores it case-sensitively,
+    as tables created by Spark's JDBC writer are.
+
     Parallel slices are separate connections, so they do not share one
     snapshot; pass a bounded key range (or read with one partition) where a
     consistent snapshot matters.

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,11 +22,37 @@ def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+class TableSet(Mapping[str, DataFrame]):
+    """Table name -> DataFrame, opened on first use.
+
+    ``spark.read.parquet`` lists files and reads a footer as soon as it is
+    called, so a query should only open the tables it uses.
+    """
+
+    def __init__(self, spark: SparkSession, base_dir: str, names: Iterable[str]):
+        self._spark, self._dir, self._names = spark, base_dir, list(names)
+        self._open: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        if name not in self._open:
+            self._open[name] = read_table(self._spark, self._dir, name)
+        return self._open[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
 def read_parquet_tables(
     spark: SparkSession, base_dir: str, names: Iterable[str] | None = None
-) -> dict[str, DataFrame]:
-    """Lazy readers for several tables; nothing is scanned until an action."""
-    return {n: read_table(spark, base_dir, n) for n in (names or TEST_TABLES)}
+) -> TableSet:
+    """Readers for several tables; each is opened when first used and nothing
+    is scanned until an action."""
+    return TableSet(spark, base_dir, names or TEST_TABLES)
 
 
 def read_published(spark: SparkSession, *, path: str | None = None, table: str | None = None,
