@@ -7,12 +7,15 @@ the filtered table stays optional.  Writing the inner joins ourselves (rather
 than hoping ``EliminateOuterJoin`` catches all of them) lets Catalyst push the
 key filters into the scans and reorder freely.
 
-Join shape at scale: the small dimension chains (artist/album/track) are
-joined first, so the large line table meets them once.  Spark broadcasts that
-side only when its estimated or AQE-measured size is under
-``spark.sql.autoBroadcastJoinThreshold``; beyond it the join is a sort-merge
-join and AQE splits skewed key partitions.  The optional invoice (and
-customer) tail is joined last, on the invoice key.
+Join shape at scale (a star join): the large line table is joined to one
+*base* dimension at a time (track, then album, then artist).  Each
+dimension is then a plain scan whose size estimate comes from its files, so
+Spark's ``autoBroadcastJoinThreshold`` check broadcasts it only when it really
+is small and plans a sort-merge join (AQE splitting skewed keys) when it is
+not.  Pre-joining the dimensions would hide their size: without CBO a join's
+estimate is the product of its inputs, so the chain would never be broadcast
+up front and the fact table would be shuffled before AQE saw the real size.
+The optional invoice (and customer) tail is joined last, on the invoice key.
 """
 
 from __future__ import annotations
@@ -37,15 +40,14 @@ def sales_lines(artist: DataFrame, album: DataFrame, track: DataFrame,
     all exist and its invoice key is not null; the invoice itself is
     optional (a missing invoice gives a null date).
     """
-    tracks = (
-        track.select("track_id", "album_id", F.col("name").alias("song_title"))
+    lines = invoice_line.where(F.col("invoice_id").isNotNull())
+    joined = (
+        lines
+        .join(track.select("track_id", "album_id", F.col("name").alias("song_title")),
+              "track_id")
         .join(album.select("album_id", "artist_id", F.col("title").alias("album_title")),
               "album_id")
         .join(artist.select("artist_id", F.col("name").alias("artist_name")), "artist_id")
-    )
-    lines = invoice_line.where(F.col("invoice_id").isNotNull())
-    joined = (
-        lines.join(tracks, "track_id")
         .join(invoice.select("invoice_id", "invoice_date"), "invoice_id", "left")
     )
     out = joined.select(
@@ -64,15 +66,15 @@ def catalog(artist: DataFrame, album: DataFrame, track: DataFrame,
     optional, and ``genre_id`` comes from the genre table, so it is null when
     the track's genre is unknown.
     """
-    albums = (album.select("album_id", "artist_id", F.col("title").alias("album_title"))
-              .join(artist.select("artist_id", F.col("name").alias("artist_name")),
-                    "artist_id"))
     tracks = track.where(F.col("track_id").isNotNull()).select(
         "track_id", "album_id", F.col("genre_id").alias("track_genre_id"),
         F.col("name").alias("song_title"), "unit_price", "bytes")
     genres = genre.select(F.col("genre_id"), F.col("name").alias("genre_name"))
     joined = (
-        tracks.join(albums, "album_id")
+        tracks
+        .join(album.select("album_id", "artist_id", F.col("title").alias("album_title")),
+              "album_id")
+        .join(artist.select("artist_id", F.col("name").alias("artist_name")), "artist_id")
         .join(genres, F.col("track_genre_id") == F.col("genre_id"), "left")
     )
     out = joined.select(
