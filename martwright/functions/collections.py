@@ -2,8 +2,12 @@
 
 Positions in the arguments are Python-style (0-based, negative counts from
 the end); the helpers translate them to Spark's 1-based array functions.
-Everything stays a built-in expression (higher-order functions included),
-so it runs in codegen on the executors.
+Everything is a built-in JVM expression evaluated on the executors; no
+Python runs per row.  Where a code-generated form exists (slices,
+``array_remove``, ``array_insert``) it is preferred to a higher-order
+function with a lambda, which Spark evaluates interpreted, element by
+element.  ``map_filter`` (for key removal) is the one lambda left: Spark has
+no built-in to drop a map key.
 
 These helpers work on arrays and maps that live *inside a row*; they never
 build one array out of a whole group of rows.
@@ -67,8 +71,13 @@ def list_insert(a: ColumnOrName, index0, value) -> Column:
 def list_set(a: ColumnOrName, index0, value) -> Column:
     """``a[i] = v`` (R17); an index out of range leaves the list unchanged."""
     arr, i = _c(a), _c(index0)
-    target = F.when(i < 0, F.size(arr) + i).otherwise(i)
-    return F.transform(arr, lambda x, k: F.when(k == target, _c(value)).otherwise(x))
+    n = F.size(arr)
+    k = F.when(i < 0, n + i).otherwise(i)  # 0-based target
+    # slices instead of a ``transform`` lambda: slices are code-generated,
+    # higher-order functions are interpreted per element
+    replaced = F.concat(F.slice(arr, F.lit(1), k), F.array(_c(value)),
+                        F.slice(arr, k + 2, F.greatest(n - k - 1, F.lit(0))))
+    return F.when((k >= 0) & (k < n), replaced).otherwise(arr)
 
 
 def list_remove_first(a: ColumnOrName, value) -> Column:
@@ -85,8 +94,11 @@ def list_remove_first(a: ColumnOrName, value) -> Column:
 
 def list_count(a: ColumnOrName, value) -> Column:
     """``a.count(v)``."""
-    v = _c(value)
-    return F.size(F.filter(_c(a), lambda x: x == v))
+    arr, v = _c(a), _c(value)
+    # size minus size-without-v (code-generated); only a null v needs the
+    # element-wise filter
+    return F.when(v.isNull(), F.size(F.filter(arr, lambda x: x.isNull()))).otherwise(
+        F.size(arr) - F.size(F.array_remove(arr, v)))
 
 
 def list_index(a: ColumnOrName, value) -> Column:
