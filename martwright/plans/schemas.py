@@ -40,6 +40,14 @@ DATASET_SCHEMAS: dict[str, StructType] = {
 }
 
 
+def name_by_position(df: DataFrame, names: list[str]) -> DataFrame:
+    """Give a result's columns their names by position (S3), as a result set
+    fetched without names is labelled.  The count must match."""
+    if len(names) != len(df.columns):
+        raise ValueError(f"{len(df.columns)} columns, {len(names)} names")
+    return df.toDF(*names)
+
+
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Reorder columns by name and cast to the declared types.
 

@@ -17,8 +17,10 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     from martwright.session import build_session, checkpoint_dir
 
+    warehouse = tempfile.mkdtemp(prefix="martwright-wh-")
     s = build_session("local[8]", app_name="martwright-tests", shuffle_partitions=8,
-                      extra_conf={"spark.driver.memory": "4g"})
+                      extra_conf={"spark.driver.memory": "4g",
+                                  "spark.sql.warehouse.dir": warehouse})
     checkpoint_dir(s)
     yield s
     s.stop()

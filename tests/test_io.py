@@ -29,6 +29,32 @@ def test_publish_replaces(spark, scratch):
     assert read_published(spark, path=path).count() == 3
 
 
+def test_publish_table_replaces(spark):
+    name = f"mw_t_{uuid.uuid4().hex[:8]}"
+    publish(spark.range(10), table=name)
+    publish(spark.range(4), table=name)
+    assert read_published(spark, table=name).count() == 4
+
+
+def test_refresh_into_catalog_database(spark):
+    db = f"mw_db_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {db}")
+    t = read_parquet_tables(spark, SF_SMALL)
+    kw = dict(last_name_repair=TEST_LAST_NAME_REPAIR, address_repair=TEST_ADDRESS_REPAIR)
+    written = refresh(spark, sales_roles(t), catalog_roles(t), transaction_roles(t),
+                      Target(database=db), **kw)
+    assert written["visit_frequency"] == f"{db}.visit_frequency"
+    assert spark.table(f"{db}.artist_revenue").count() == 5
+
+
+def test_name_by_position(spark):
+    from martwright.plans.schemas import name_by_position
+
+    df = name_by_position(spark.createDataFrame([(1, "a")], "x bigint, y string"),
+                          ["artist_id", "artist_name"])
+    assert df.columns == ["artist_id", "artist_name"]
+
+
 def test_refresh_publishes_all_tables(spark, scratch):
     t = read_parquet_tables(spark, SF_SMALL)
     kw = dict(last_name_repair=TEST_LAST_NAME_REPAIR, address_repair=TEST_ADDRESS_REPAIR)
