@@ -69,19 +69,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     when nothing is configured -- local runs and tests -- a fresh scratch
     folder is created and registered.
     """
+    sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
+        if not sc.getCheckpointDir():  # Spark normally registers it at start-up
+            sc.setCheckpointDir(configured)
         return configured
-    current = spark.sparkContext.getCheckpointDir()
+    current = sc.getCheckpointDir()
     if current:
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    if not sc.master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; a cluster job needs a shared "
             "checkpoint folder"
         )
+    # local runs and tests only (the setting itself cannot change at runtime)
     local = tempfile.mkdtemp(prefix="martwright-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    sc.setCheckpointDir(local)
     return local
