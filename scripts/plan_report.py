@@ -37,10 +37,10 @@ def main() -> None:
           "`spark.sql.shuffle.partitions=8`, broadcast threshold 32 MB.  "
           "Columns: shuffles (`Exchange hashpartitioning/rangepartitioning/SinglePartition`), "
           "broadcast hash joins, sort-merge joins, window operators, hash aggregates "
-          "(partial + final), Python evaluation nodes, and per scan the columns read "
+          "and sort aggregates (partial + final), Python evaluation nodes, and per scan the columns read "
           "and the filters pushed to parquet.\n")
-    print("| query | shuffles | BHJ | SMJ | windows | hash aggs | python | scans (columns / pushed filters) |")
-    print("|---|---|---|---|---|---|---|---|")
+    print("| query | shuffles | BHJ | SMJ | windows | hash aggs | sort aggs | python | scans (columns / pushed filters) |")
+    print("|---|---|---|---|---|---|---|---|---|")
     for name, build in entry.queries().items():
         df = build(spark, args.sf_dir)
         qe = df._jdf.queryExecution()
@@ -52,6 +52,7 @@ def main() -> None:
         smj = _count(final, r"SortMergeJoin")
         win = _count(final, r"\bWindow \[")
         agg = _count(final, r"HashAggregate\(")
+        sagg = _count(final, r"SortAggregate\(")
         py = _count(final, r"(BatchEvalPython|ArrowEvalPython|PythonUDF|InPandas)")
         scans = []
         for m in re.finditer(r"FileScan parquet \[([^\]]*)\].*?Location: \S+ ?\S*\[file:[^\]]*/(\w+)\.parquet\].*?"
@@ -59,7 +60,7 @@ def main() -> None:
             cols = m.group(1).replace(" ", "")
             cols = re.sub(r"#\d+L?", "", cols)
             scans.append(f"{m.group(2)}({cols}; {m.group(3) or '-'})")
-        print(f"| {name} | {shuffles} | {bhj} | {smj} | {win} | {agg} | {py} | "
+        print(f"| {name} | {shuffles} | {bhj} | {smj} | {win} | {agg} | {sagg} | {py} | "
               f"{'<br>'.join(sorted(set(scans)))} |")
     spark.stop()
 
