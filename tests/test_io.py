@@ -111,3 +111,26 @@ def test_streaming_daily_revenue_matches_batch(spark, scratch):
     got = read_published(spark, path=target)
     assert _multiset(got) == _multiset(batch)
     assert pq.ParquetDataset(target).schema.names == ["invoice_date", "total_revenue"]
+
+
+def test_refresh_job_cli(spark, scratch):
+    from martwright.jobs import main
+
+    t = read_parquet_tables(spark, SF_SMALL)
+    s, c, x = sales_roles(t), catalog_roles(t), transaction_roles(t)
+    # one full track table (the sales staging has no genre, price or size)
+    track = s["track"].select("*", ((F.col("album_id") % 5) + 1).alias("genre_id"),
+                              F.lit(0.99).alias("unit_price"),
+                              (F.col("track_id") * 1000).alias("bytes"))
+    roles = {"artist": s["artist"], "album": s["album"], "track": track,
+             "genre": c["genre"], "invoice_line": s["invoice_line"], "invoice": s["invoice"],
+             "customer": x["customer"]}
+    src = os.path.join(scratch, "roles")
+    for name, df in roles.items():
+        df.write.parquet(os.path.join(src, f"{name}.parquet"))
+    out = os.path.join(scratch, "out")
+    written = main(["refresh", "--source", src, "--target-path", out], spark=spark)
+    assert set(written) == set(DATASETS) | set(MARTS)
+    direct = marts.artist_revenue(datasets.sales_lines(s["artist"], s["album"], s["track"],
+                                                       s["invoice_line"], s["invoice"]))
+    assert _multiset(read_published(spark, path=written["artist_revenue"])) == _multiset(direct)
