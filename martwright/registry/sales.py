@@ -127,6 +127,22 @@ LEFT JOIN region r   ON n.n_regionkey = r.r_regionkey
 WHERE l.l_orderkey IS NOT NULL
 """
 
+def _daily_revenue_report(spark, sf_dir):
+    return marts.ordered("daily_revenue", _daily_revenue(spark, sf_dir))
+
+
+def _artist_productivity_report(spark, sf_dir):
+    return marts.ordered("artist_productivity", _artist_productivity(spark, sf_dir))
+
+
+def _artist_revenue_report(spark, sf_dir):
+    return marts.ordered_artist_revenue(_sales_lines(spark, sf_dir))
+
+
+def _visit_frequency_report(spark, sf_dir):
+    return marts.ordered("visit_frequency", _visit_frequency(spark, sf_dir))
+
+
 QUERIES = {
     "sales_lines": _sales_lines,
     "catalog": _catalog,
@@ -136,6 +152,10 @@ QUERIES = {
     "artist_revenue": _artist_revenue,
     "visit_frequency": _visit_frequency,
     "daily_revenue_events": _daily_revenue_events,
+    "daily_revenue_report": _daily_revenue_report,
+    "artist_productivity_report": _artist_productivity_report,
+    "artist_revenue_report": _artist_revenue_report,
+    "visit_frequency_report": _visit_frequency_report,
 }
 
 ORACLE = {
@@ -168,3 +188,17 @@ SELECT CAST(date_trunc('day', ts) AS DATE) AS day, ROUND(SUM(value), 2) AS total
 FROM events GROUP BY 1
 """,
 }
+
+# Report orders: the marts' ORDER BY clauses (nulls first, as in the warehouse).
+ORACLE["daily_revenue_report"] = ORACLE["daily_revenue"] + "ORDER BY invoice_date NULLS FIRST\n"
+ORACLE["artist_productivity_report"] = (
+    ORACLE["artist_productivity"]
+    + "ORDER BY genre_name ASC NULLS FIRST, counted_songs DESC NULLS FIRST\n")
+ORACLE["artist_revenue_report"] = f"""
+WITH sl AS ({SALES_LINES_SQL})
+SELECT artist_name, ROUND(SUM(total_price), 2) AS total_revenue
+FROM sl GROUP BY artist_name
+ORDER BY SUM(total_price) DESC NULLS FIRST
+"""
+ORACLE["visit_frequency_report"] = (
+    ORACLE["visit_frequency"] + "ORDER BY frequency_level DESC NULLS FIRST, country NULLS FIRST\n")
