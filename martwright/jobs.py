@@ -83,6 +83,8 @@ def _parser() -> argparse.ArgumentParser:
     sub = ap.add_subparsers(dest="cmd", required=True)
 
     def source_args(p):
+        p.add_argument("--shuffle-partitions", type=int,
+                       help="starting shuffle width (see session.partitions_for)")
         p.add_argument("--source", help="folder with one parquet table per role")
         p.add_argument("--jdbc-url")
         p.add_argument("--jdbc-props", help="JSON file with connection properties")
@@ -111,7 +113,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
         raise SystemExit("give --source or --jdbc-url")
     if args.cmd == "refresh" and not (args.target_path or args.target_database):
         raise SystemExit("give --target-path or --target-database")
-    spark = spark or build_session()
+    spark = spark or build_session(shuffle_partitions=args.shuffle_partitions)
     if args.cmd == "refresh":
         return cmd_refresh(spark, args)
     return cmd_stream_daily_revenue(spark, args)

@@ -17,6 +17,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Defaults that hold from a laptop to a large cluster.  Shuffle partition
@@ -36,6 +37,34 @@ DEFAULT_CONF: dict[str, str] = {
 }
 
 
+# Extra defaults for cluster runs (anything but local[...]):
+# * a high starting shuffle width -- AQE coalesces small stages down to the
+#   advisory size, but it cannot widen a stage, so the start must fit the
+#   largest shuffle (see ``partitions_for``);
+# * graceful decommissioning, so shuffle and cached blocks of an executor
+#   that is being taken away migrate instead of forcing stage re-runs;
+# * more task attempts for long jobs on preemptible capacity.
+CLUSTER_CONF: dict[str, str] = {
+    "spark.sql.shuffle.partitions": "8192",
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    "spark.storage.decommission.rddBlocks.enabled": "true",
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "8",
+}
+
+TARGET_SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def partitions_for(shuffled_bytes: int, target_bytes: int = TARGET_SHUFFLE_PARTITION_BYTES,
+                   floor: int = 200, ceiling: int = 200_000) -> int:
+    """Shuffle partitions so the largest shuffle lands near ``target_bytes``
+    per reduce task, e.g. about 80,000 for 20 TB shuffled."""
+    need = -(-int(shuffled_bytes) // int(target_bytes))
+    return max(floor, min(ceiling, need))
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "martwright",
@@ -44,12 +73,17 @@ def build_session(
 ) -> SparkSession:
     """Return a session with the job defaults applied.
 
-    ``master`` is only set when given: on a cluster the launcher decides it.
+    ``master`` is only set when given: on a cluster the launcher decides it,
+    and the cluster defaults (:data:`CLUSTER_CONF`) apply.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    # the master a launcher (spark-submit) set, else PySpark's local default
+    effective = master or SparkConf().get("spark.master", "local[*]")
+    if not effective.startswith("local"):
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if extra_conf:

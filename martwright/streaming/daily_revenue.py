@@ -7,6 +7,13 @@ held in the state store, and republishes the whole mart (complete mode,
 full replace through ``foreachBatch``).  The state holds one row per day, so
 it stays small however many lines arrive.
 
+Cost per trigger: the new lines are joined to the invoice table, which is
+read again for every micro-batch (Spark's runtime Bloom filter built from
+the batch's invoice keys prunes what gets shuffled, not what gets scanned).
+Choose the trigger interval accordingly: minutes for a small invoice table,
+the source cadence (hours) for a large one.  The state itself stays one row
+per day.
+
 Progress and state live under a checkpoint location in the shared
 checkpoint folder (``spark.checkpoint.dir``), so a restarted query resumes
 where it stopped and a lost executor only repeats its micro-batch.
