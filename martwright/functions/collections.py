@@ -6,8 +6,9 @@ Everything is a built-in JVM expression evaluated on the executors; no
 Python runs per row.  Where a code-generated form exists (slices,
 ``array_remove``, ``array_insert``) it is preferred to a higher-order
 function with a lambda, which Spark evaluates interpreted, element by
-element.  ``map_filter`` (for key removal) is the one lambda left: Spark has
-no built-in to drop a map key.
+element.  Lambdas remain only where no built-in exists: dropping a map key
+(``map_filter``) and finding a null element (evaluated only when the value
+searched for is itself null).
 
 These helpers work on arrays and maps that live *inside a row*; they never
 build one array out of a whole group of rows.
@@ -80,13 +81,23 @@ def list_set(a: ColumnOrName, index0, value) -> Column:
     return F.when((k >= 0) & (k < n), replaced).otherwise(arr)
 
 
+def _first_position(arr: Column, v: Column) -> Column:
+    """1-based position of the first element equal to ``v`` (0 if absent).
+
+    A null ``v`` matches the first null element, as ``None`` does in Python;
+    ``array_position`` alone cannot look for null.
+    """
+    first_null = F.array_position(F.transform(arr, lambda x: x.isNull()), F.lit(True))
+    return F.when(v.isNull(), first_null).otherwise(F.array_position(arr, v))
+
+
 def list_remove_first(a: ColumnOrName, value) -> Column:
     """``a.remove(v)``: drop the *first* equal element only.
 
     (``array_remove`` drops every match.)  Unchanged when absent.
     """
     arr = _c(a)
-    p = F.array_position(arr, _c(value))
+    p = _first_position(arr, _c(value))
     n = F.size(arr)
     return F.when(p == 0, arr).otherwise(
         F.concat(F.slice(arr, F.lit(1), p - 1), F.slice(arr, p + 1, n - p)))
@@ -103,7 +114,7 @@ def list_count(a: ColumnOrName, value) -> Column:
 
 def list_index(a: ColumnOrName, value) -> Column:
     """``a.index(v)``, 0-based; null when absent."""
-    p = F.array_position(_c(a), _c(value))
+    p = _first_position(_c(a), _c(value))
     return F.when(p > 0, p - 1).cast("int")
 
 
