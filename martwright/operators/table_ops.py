@@ -89,11 +89,12 @@ def take_until(df: DataFrame, key: str, order_cols: Sequence[str], stop: Column)
     """
     order_cols = list(order_cols)
     stops = (df.where(stop)
-             .groupBy(key)
+             .groupBy(F.col(key).alias("_stop_key"))
              .agg(F.min(_order_key(order_cols)).alias("_first_stop")))
-    return (df.join(stops, key, "left")
+    # null-safe key match: a null key is one group, as in a window
+    return (df.join(stops, F.col(key).eqNullSafe(F.col("_stop_key")), "left")
             .where(F.col("_first_stop").isNull() | (_order_key(order_cols) <= F.col("_first_stop")))
-            .drop("_first_stop"))
+            .drop("_stop_key", "_first_stop"))
 
 
 def neighbour_diff(df: DataFrame, key: str, ts_col: str, tie_col: str, value_col: str,
@@ -122,9 +123,12 @@ def neighbour_diff(df: DataFrame, key: str, ts_col: str, tie_col: str, value_col
              .agg(F.max_by(v, F.struct(F.col(ts_col), F.col(tie_col))).alias("_last")))
     w_chunks = Window.partitionBy(key).orderBy("_chunk")
     tails = (tails.withColumn("_prev_chunk_last", F.lag("_last").over(w_chunks))
-             .select(key, "_chunk", "_prev_chunk_last"))
-    out = d.join(tails, [key, "_chunk"], "left")
+             .select(F.col(key).alias("_tail_key"), F.col("_chunk").alias("_tail_chunk"),
+                     "_prev_chunk_last"))
+    # null-safe key match: a null key is one group, as in the windows above
+    out = d.join(tails, F.col(key).eqNullSafe(F.col("_tail_key"))
+                 & (F.col("_chunk") == F.col("_tail_chunk")), "left")
     prev = F.when(F.col("_rn") == 1, F.col("_prev_chunk_last")).otherwise(F.col("_prev_in"))
     return (out.withColumn(prev_name, prev)
             .withColumn(diff_name, v - F.col(prev_name))
-            .drop("_chunk", "_prev_in", "_rn", "_prev_chunk_last"))
+            .drop("_chunk", "_prev_in", "_rn", "_tail_key", "_tail_chunk", "_prev_chunk_last"))

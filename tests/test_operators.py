@@ -20,12 +20,12 @@ def skewed_events(spark):
     rng = random.Random(7)
     rows, eid = [], 0
     base = dt.datetime(2024, 1, 1)
-    for key in range(6):
+    for key in [*range(6), None]:  # None: the null key is one group too
         n = 400 if key == 0 else 60
         for _ in range(n):
             day = rng.choice([0, 1, 2, 5, 9]) if key == 0 else rng.randrange(4)
             ts = base + dt.timedelta(days=day, seconds=rng.randrange(0, 86400, 600))
-            kind = rng.choice(["view", "click", "purchase"] if key % 2 else ["view", "click"])
+            kind = rng.choice(["view", "click", "purchase"] if (key or 1) % 2 else ["view", "click"])
             rows.append((eid, key, ts, float(rng.randrange(100)), kind))
             eid += 1
     return spark.createDataFrame(
@@ -34,7 +34,8 @@ def skewed_events(spark):
 
 def _by_key(rows):
     out = {}
-    for r in sorted(rows, key=lambda r: (r["user_id"], r["ts"], r["event_id"])):
+    for r in sorted(rows, key=lambda r: (r["user_id"] is None, r["user_id"] or 0, r["ts"],
+                                         r["event_id"])):
         out.setdefault(r["user_id"], []).append(r)
     return out
 
