@@ -26,6 +26,9 @@ def _count(plan: str, token: str) -> int:
 def main() -> None:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf-dir", default="/root/testdata/sf0.1")
+    ap.add_argument("--full", default="sales_lines,catalog,transactions,daily_revenue,"
+                    "artist_productivity,artist_revenue,visit_frequency",
+                    help="queries whose whole final plan is appended")
     args = ap.parse_args()
 
     import __spark_entry__ as entry
@@ -41,6 +44,7 @@ def main() -> None:
           "and the filters pushed to parquet.\n")
     print("| query | shuffles | BHJ | SMJ | windows | hash aggs | sort aggs | python | scans (columns / pushed filters) |")
     print("|---|---|---|---|---|---|---|---|---|")
+    full_plans: dict[str, str] = {}
     for name, build in entry.queries().items():
         df = build(spark, args.sf_dir)
         qe = df._jdf.queryExecution()
@@ -62,6 +66,10 @@ def main() -> None:
             scans.append(f"{m.group(2)}({cols}; {m.group(3) or '-'})")
         print(f"| {name} | {shuffles} | {bhj} | {smj} | {win} | {agg} | {sagg} | {py} | "
               f"{'<br>'.join(sorted(set(scans)))} |")
+        if name in args.full.split(","):
+            full_plans[name] = re.sub(r"#\d+L?", "", final).rstrip().removesuffix("+-").rstrip()
+    for name, plan in full_plans.items():
+        print(f"\n## `{name}` (final adaptive plan)\n\n```\n{plan.rstrip()}\n```")
     spark.stop()
 
 
