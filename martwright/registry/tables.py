@@ -114,7 +114,7 @@ WITH stops AS (
   WHERE rn = 1
 )
 SELECT e.event_id, e.user_id, e.ts, e.event_type
-FROM events e LEFT JOIN stops s ON e.user_id = s.user_id
+FROM events e LEFT JOIN stops s ON e.user_id IS NOT DISTINCT FROM s.user_id
 WHERE s.stop_ts IS NULL OR e.ts < s.stop_ts OR (e.ts = s.stop_ts AND e.event_id <= s.stop_id)
 """,
     "record_count": """

@@ -17,13 +17,12 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
-# Defaults that hold from a laptop to a large cluster.  Shuffle partition
-# count is a starting point only: AQE coalesces towards
-# ``advisoryPartitionSizeInBytes``.
-DEFAULT_CONF: dict[str, str] = {
+# SQL settings the jobs rely on, from a laptop to a large cluster.  They are
+# applied to the running session only where the deployment has not set them
+# (``spark-submit --conf`` / spark-defaults win).
+DEFAULT_SQL_CONF: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -32,20 +31,22 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.ui.enabled": "false",
-    "spark.ui.showConsoleProgress": "false",
 }
 
+# On a cluster (any master but local[...]): a high starting shuffle width.
+# AQE coalesces small stages down to the advisory size but cannot widen a
+# stage, so the start must fit the largest shuffle (see ``partitions_for``).
+CLUSTER_SQL_CONF: dict[str, str] = {
+    "spark.sql.shuffle.partitions": "8192",
+}
 
-# Extra defaults for cluster runs (anything but local[...]):
-# * a high starting shuffle width -- AQE coalesces small stages down to the
-#   advisory size, but it cannot widen a stage, so the start must fit the
-#   largest shuffle (see ``partitions_for``);
+# Core settings for cluster runs.  Only the launcher can set them (they are
+# fixed when the application starts), so they are passed to spark-submit,
+# see ``submit_conf_args``:
 # * graceful decommissioning, so shuffle and cached blocks of an executor
 #   that is being taken away migrate instead of forcing stage re-runs;
-# * more task attempts for long jobs on preemptible capacity.
-CLUSTER_CONF: dict[str, str] = {
-    "spark.sql.shuffle.partitions": "8192",
+# * more task and stage attempts for long jobs on preemptible capacity.
+CLUSTER_SUBMIT_CONF: dict[str, str] = {
     "spark.decommission.enabled": "true",
     "spark.storage.decommission.enabled": "true",
     "spark.storage.decommission.shuffleBlocks.enabled": "true",
@@ -54,6 +55,12 @@ CLUSTER_CONF: dict[str, str] = {
     "spark.stage.maxConsecutiveAttempts": "8",
 }
 
+# Local runs (tests, benchmarks): no web UI, no progress bar.
+LOCAL_CONF: dict[str, str] = {
+    "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+}
+
 TARGET_SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
 
 
@@ -65,6 +72,14 @@ def partitions_for(shuffled_bytes: int, target_bytes: int = TARGET_SHUFFLE_PARTI
     return max(floor, min(ceiling, need))
 
 
+def submit_conf_args(conf: dict[str, str] | None = None) -> list[str]:
+    """``--conf k=v`` arguments for spark-submit (the cluster core settings)."""
+    out: list[str] = []
+    for k, v in (conf or CLUSTER_SUBMIT_CONF).items():
+        out += ["--conf", f"{k}={v}"]
+    return out
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "martwright",
@@ -73,25 +88,30 @@ def build_session(
 ) -> SparkSession:
     """Return a session with the job defaults applied.
 
-    ``master`` is only set when given: on a cluster the launcher decides it,
-    and the cluster defaults (:data:`CLUSTER_CONF`) apply.
+    ``master`` is only set when given: on a cluster the launcher decides it.
+    Defaults never override what the deployment configured; ``extra_conf``
+    and ``shuffle_partitions`` (explicit arguments) always apply.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
-    # the master a launcher (spark-submit) set, else PySpark's local default
-    effective = master or SparkConf().get("spark.master", "local[*]")
-    if not effective.startswith("local"):
-        conf.update(CLUSTER_CONF)
-    if shuffle_partitions is not None:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    if extra_conf:
-        conf.update(extra_conf)
-    for key, value in conf.items():
+        if master.startswith("local"):
+            for key, value in LOCAL_CONF.items():
+                builder = builder.config(key, value)
+    for key, value in (extra_conf or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
+
+    deployed = spark.sparkContext.getConf()
+    defaults = dict(DEFAULT_SQL_CONF)
+    if not spark.sparkContext.master.startswith("local"):
+        defaults.update(CLUSTER_SQL_CONF)
+    for key, value in defaults.items():
+        if not deployed.contains(key) and key not in (extra_conf or {}):
+            spark.conf.set(key, value)
+    if shuffle_partitions is not None:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return spark
 
 
