@@ -32,29 +32,39 @@ LAST_NAME_REPAIR = (REPLACEMENT_CHAR, "o")
 ADDRESS_REPAIR = (REPLACEMENT_CHAR, "d")
 
 
-def sales_lines(artist: DataFrame, album: DataFrame, track: DataFrame,
-                invoice_line: DataFrame, invoice: DataFrame) -> DataFrame:
-    """Invoice lines with artist, album and song, plus the line total (Q1).
+def artist_lines(artist: DataFrame, album: DataFrame, track: DataFrame,
+                 invoice_line: DataFrame) -> DataFrame:
+    """Lines whose track -> album -> artist chain exists and whose invoice key
+    is not null, with artist, album and song names and the line total.
 
-    A line is kept when its track, the track's album and the album's artist
-    all exist and its invoice key is not null; the invoice itself is
-    optional (a missing invoice gives a null date).
+    The inner part of Q1, shared by :func:`sales_lines` and the source-level
+    marts.
     """
     lines = invoice_line.where(F.col("invoice_id").isNotNull())
-    joined = (
+    return (
         lines
         .join(track.select("track_id", "album_id", F.col("name").alias("song_title")),
               "track_id")
         .join(album.select("album_id", "artist_id", F.col("title").alias("album_title")),
               "album_id")
         .join(artist.select("artist_id", F.col("name").alias("artist_name")), "artist_id")
-        .join(invoice.select("invoice_id", "invoice_date"), "invoice_id", "left")
+        .withColumn("total_price", line_total("quantity", "unit_price"))
     )
+
+
+def sales_lines(artist: DataFrame, album: DataFrame, track: DataFrame,
+                invoice_line: DataFrame, invoice: DataFrame) -> DataFrame:
+    """Invoice lines with artist, album and song, plus the line total (Q1).
+
+    A line is kept when its track, the track's album and the album's artist
+    all exist and its invoice key is not null; the invoice itself is
+    optional (a missing invoice gives a null date).
+    """
+    joined = (artist_lines(artist, album, track, invoice_line)
+              .join(invoice.select("invoice_id", "invoice_date"), "invoice_id", "left"))
     out = joined.select(
         "artist_id", "track_id", "invoice_line_id", "invoice_id",
-        "artist_name", "album_title", "song_title",
-        line_total("quantity", "unit_price").alias("total_price"),
-        "invoice_date")
+        "artist_name", "album_title", "song_title", "total_price", "invoice_date")
     return conform(out, SALES_LINES)
 
 
@@ -105,24 +115,40 @@ def transactions(track: DataFrame, invoice_line: DataFrame, invoice: DataFrame,
     ``total`` is the invoice amount repeated on each of its lines; summing it
     over lines over-counts.
     """
+    invoices = customer_invoices(invoice, customer, last_name_repair, address_repair)
+    joined = track_lines(track, invoice_line).join(invoices, "invoice_id", "left")
+    out = joined.select(
+        F.col("customer_id_out").alias("customer_id"), "track_id", "invoice_id",
+        "full_name", "address", "city", "state", "country", "postal_code", "email",
+        "total", "invoice_date")
+    return conform(out, TRANSACTIONS)
+
+
+def track_lines(track: DataFrame, invoice_line: DataFrame) -> DataFrame:
+    """(invoice_id, track_id) of lines whose track exists and whose invoice
+    key is not null: the inner part of Q3."""
+    return (invoice_line.where(F.col("invoice_id").isNotNull())
+            .select("invoice_id", "track_id")
+            .join(track.select("track_id"), "track_id"))
+
+
+def customer_invoices(invoice: DataFrame, customer: DataFrame,
+                      last_name_repair: tuple[str, str] = LAST_NAME_REPAIR,
+                      address_repair: tuple[str, str] = ADDRESS_REPAIR) -> DataFrame:
+    """Invoices with their (optional) customer, at invoice grain: the tail of Q3.
+
+    ``customer_id_out`` is the customer table's id (null when the customer is
+    missing); the invoice's own customer key is not kept.
+    """
     customers = customer.select(
         F.col("customer_id").alias("cust_key"),
         F.col("customer_id").alias("customer_id_out"),
         full_name("first_name", repair_text("last_name", *last_name_repair)).alias("full_name"),
         repair_text("address", *address_repair).alias("address"),
         "city", "state", "country", "postal_code", "email")
-    invoices = (
+    return (
         invoice.select("invoice_id", F.col("customer_id").alias("cust_key"),
                        F.col("total").cast("double").alias("total"), "invoice_date")
         .join(customers, "cust_key", "left")
         .drop("cust_key")
     )
-    lines = (invoice_line.where(F.col("invoice_id").isNotNull())
-             .select("invoice_id", "track_id")
-             .join(track.select("track_id"), "track_id"))
-    joined = lines.join(invoices, "invoice_id", "left")
-    out = joined.select(
-        F.col("customer_id_out").alias("customer_id"), "track_id", "invoice_id",
-        "full_name", "address", "city", "state", "country", "postal_code", "email",
-        "total", "invoice_date")
-    return conform(out, TRANSACTIONS)

@@ -33,11 +33,18 @@ DEFAULT_SQL_CONF: dict[str, str] = {
     "spark.sql.parquet.filterPushdown": "true",
 }
 
-# On a cluster (any master but local[...]): a high starting shuffle width.
-# AQE coalesces small stages down to the advisory size but cannot widen a
-# stage, so the start must fit the largest shuffle (see ``partitions_for``).
+# On a cluster (any master but local[...]):
+# * a high starting shuffle width: AQE coalesces small stages down to the
+#   advisory size but cannot widen a stage, so the start must fit the largest
+#   shuffle (see ``partitions_for``);
+# * a broadcast bound that fits executor memory rather than a laptop: a
+#   dimension of tens of millions of keys is broadcast instead of shuffling
+#   the fact table.  Plan-time estimates come from parquet file sizes, which
+#   are compressed, so they are scaled by 3 to bound the in-memory size.
 CLUSTER_SQL_CONF: dict[str, str] = {
     "spark.sql.shuffle.partitions": "8192",
+    "spark.sql.autoBroadcastJoinThreshold": "256m",
+    "spark.sql.sources.fileCompressionFactor": "3.0",
 }
 
 # Core settings for cluster runs.  Only the launcher can set them (they are

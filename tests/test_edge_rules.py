@@ -148,3 +148,31 @@ def test_wrong_type_is_refused(spark):
     bad = spark.createDataFrame([("x",)], "artist_id string")
     with pytest.raises(AnalysisException):
         conform(bad, SALES_LINES)
+
+
+def _multiset(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_source_level_marts_equal_dataset_marts(roles):
+    r = roles
+    assert _multiset(marts.daily_revenue_from_sources(
+        r["artist"], r["album"], r["track"], r["line"], r["invoice"])) == \
+        _multiset(marts.daily_revenue(_sales(r)))
+    assert _multiset(marts.artist_revenue_from_sources(
+        r["artist"], r["album"], r["track"], r["line"])) == \
+        _multiset(marts.artist_revenue(_sales(r)))
+    assert _multiset(marts.visit_frequency_from_sources(
+        r["track"], r["line"], r["invoice"], r["customer"])) == \
+        _multiset(marts.visit_frequency(_tx(r)))
+
+
+def test_daily_pre_aggregation_exact_with_duplicate_invoice_ids(roles):
+    r = dict(roles)
+    r["invoice"] = r["invoice"].unionByName(r["invoice"].where("invoice_id = 1000"))
+    assert _multiset(marts.daily_revenue_from_sources(
+        r["artist"], r["album"], r["track"], r["line"], r["invoice"])) == \
+        _multiset(marts.daily_revenue(_sales(r)))
+    assert _multiset(marts.visit_frequency_from_sources(
+        r["track"], r["line"], r["invoice"], r["customer"])) == \
+        _multiset(marts.visit_frequency(_tx(r)))

@@ -19,7 +19,7 @@ from martwright.sources.staging import TEST_ADDRESS_REPAIR, TEST_LAST_NAME_REPAI
 
 
 def _multiset(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
 def test_publish_replaces(spark, scratch):
