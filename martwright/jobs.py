@@ -119,5 +119,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     return cmd_stream_daily_revenue(spark, args)
 
 
-if __name__ == "__main__":
+def cli() -> int:
+    """Console entry point: run and print what was written."""
     print(main(sys.argv[1:]))
+    return 0
+
+
+if __name__ == "__main__":
+    sys.exit(cli())
