@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, StructType,
                                TimestampNTZType)
 
@@ -53,6 +53,9 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
 
     ``DataFrame.to`` only allows safe casts, so a wrong source type (for
     example a string where a number is declared) raises at analysis time
-    instead of loading bad rows; a missing column raises too.
+    instead of loading bad rows; a missing column raises too.  Column
+    metadata a source attached (JDBC adds some) is replaced by the declared
+    one, so the result has exactly the declared schema.
     """
-    return df.to(schema)
+    shaped = df.to(schema)
+    return shaped.select(*[F.col(f.name).alias(f.name, metadata=f.metadata) for f in schema])

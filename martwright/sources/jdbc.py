@@ -22,6 +22,7 @@ def read_jdbc_table(
     upper_bound: int | None = None,
     num_partitions: int | None = None,
     fetchsize: int = 10_000,
+    prefer_timestamp_ntz: bool = True,
 ) -> DataFrame:
     """Read ``table`` (a table name or a parenthesised sub-query with alias).
 
@@ -30,15 +31,16 @@ def read_jdbc_table(
     or last slice); when they are not given they are looked up with one
     ``min``/``max`` query that the database answers, a single row.
 
-    ``partition_column`` is written as the database sees it: quote it (for
-    example ``'"o_orderkey"'``) when the database stores it case-sensitively,
-    as tables created by Spark's JDBC writer are.
+    ``partition_column`` may be given plainly (matched to the table's columns
+    without regard to case, as Spark does) or already quoted.
 
     Parallel slices are separate connections, so they do not share one
     snapshot; pass a bounded key range (or read with one partition) where a
     consistent snapshot matters.
     """
-    options = {"url": url, "dbtable": table, "fetchsize": str(fetchsize)}
+    # timestamps without a zone (the source's DATETIME) stay TIMESTAMP_NTZ
+    options = {"url": url, "dbtable": table, "fetchsize": str(fetchsize),
+               "preferTimestampNTZ": str(prefer_timestamp_ntz).lower()}
     options.update(properties or {})
     reader = spark.read.format("jdbc").options(**options)
     if partition_column and num_partitions and num_partitions > 1:
@@ -55,8 +57,25 @@ def read_jdbc_table(
     return reader.load()
 
 
+def _quoted(spark: SparkSession, options: dict[str, str], key: str) -> str:
+    """The key column as the database must see it in a hand-written query.
+
+    The stored name is taken from the table's schema (Spark reads it with a
+    zero-row query) and quoted: backticks for MySQL-family URLs, standard
+    double quotes elsewhere.
+    """
+    if key[:1] in ('"', "`", "["):
+        return key
+    names = spark.read.format("jdbc").options(**options).load().columns
+    stored = next((n for n in names if n.lower() == key.lower()), key)
+    if options["url"].startswith(("jdbc:mysql:", "jdbc:mariadb:")):
+        return f"`{stored}`"
+    return '"' + stored.replace('"', '""') + '"'
+
+
 def _key_bounds(spark: SparkSession, options: dict[str, str], table: str, key: str):
-    bounds_query = f"(SELECT MIN({key}) AS lo, MAX({key}) AS hi FROM {table}) b"
+    col = _quoted(spark, options, key)
+    bounds_query = f"(SELECT MIN({col}) AS lo, MAX({col}) AS hi FROM {table}) b"
     opts = dict(options, dbtable=bounds_query)
     row = spark.read.format("jdbc").options(**opts).load().first()
     if row is None or row[0] is None:
