@@ -19,6 +19,7 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,23 +34,29 @@ ROLE_KEYS = {"artist": "artist_id", "album": "album_id", "track": "track_id",
              "invoice": "invoice_id", "customer": "customer_id"}
 
 
-def _role_tables(spark: SparkSession, args) -> dict[str, DataFrame]:
+def _role_reader(spark: SparkSession, args) -> Callable[[str], DataFrame]:
+    """role -> DataFrame, opened on first use (a job opens only what it reads)."""
     if args.jdbc_url:
         props = {}
         if args.jdbc_props:
             with open(args.jdbc_props, encoding="utf-8") as fh:
                 props = json.load(fh)
-        return {r: read_jdbc_table(spark, args.jdbc_url, r, properties=props,
-                                   partition_column=ROLE_KEYS[r],
-                                   num_partitions=args.partitions)
-                for r in ROLES}
-    return dict(read_parquet_tables(spark, args.source, ROLES).items())
-
-
-def _split(t: dict[str, DataFrame]):
-    sales = {k: t[k] for k in ("artist", "album", "track", "invoice_line", "invoice")}
-    catalog = {k: t[k] for k in ("artist", "album", "track", "genre")}
-    transactions = {k: t[k] for k in ("track", "invoice_line", "invoice", "customer")}
+        opened: dict[str, DataFrame] = {}
+
+        def jdbc_role(r: str) -> DataFrame:
+            if r not in opened:
+                opened[r] = read_jdbc_table(spark, args.jdbc_url, r, properties=props,
+                                            partition_column=ROLE_KEYS[r],
+                                            num_partitions=args.partitions)
+            return opened[r]
+        return jdbc_role
+    return read_parquet_tables(spark, args.source, ROLES).__getitem__
+
+
+def _split(role: Callable[[str], DataFrame]):
+    sales = {k: role(k) for k in ("artist", "album", "track", "invoice_line", "invoice")}
+    catalog = {k: role(k) for k in ("artist", "album", "track", "genre")}
+    transactions = {k: role(k) for k in ("track", "invoice_line", "invoice", "customer")}
     return sales, catalog, transactions
 
 
@@ -60,17 +67,18 @@ def _target(args) -> Target:
 
 
 def cmd_refresh(spark: SparkSession, args) -> dict[str, str]:
-    sales, catalog, transactions = _split(_role_tables(spark, args))
+    sales, catalog, transactions = _split(_role_reader(spark, args))
     return refresh(spark, sales, catalog, transactions, _target(args))
 
 
 def cmd_stream_daily_revenue(spark: SparkSession, args):
     from martwright.streaming import read_landing, start_daily_revenue
 
-    t = _role_tables(spark, args)
-    lines = read_landing(spark, args.landing, t["invoice_line"].schema,
+    role = _role_reader(spark, args)
+    lines = read_landing(spark, args.landing, role("invoice_line").schema,
                          max_files_per_trigger=args.max_files_per_trigger)
-    q = start_daily_revenue(spark, lines, t["artist"], t["album"], t["track"], t["invoice"],
+    q = start_daily_revenue(spark, lines, role("artist"), role("album"), role("track"),
+                            role("invoice"),
                             target_path=args.target_path,
                             checkpoint_location=args.checkpoint,
                             processing_time=args.every, available_now=args.available_now)

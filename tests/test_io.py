@@ -165,3 +165,23 @@ def test_refresh_job_cli_over_jdbc(spark, scratch):
                                                       s["invoice_line"], s["invoice"]))
     assert _multiset(read_published(spark, path=written["daily_revenue"])) == _multiset(direct)
     assert read_published(spark, path=written["sales_lines"]).schema == DATASET_SCHEMAS["sales_lines"]
+
+
+def test_stream_job_cli(spark, scratch):
+    from martwright.jobs import main
+
+    t = read_parquet_tables(spark, SF_SMALL)
+    s = sales_roles(t)
+    src = os.path.join(scratch, "roles")
+    for name in ("artist", "album", "track", "invoice_line", "invoice"):
+        s[name].write.parquet(os.path.join(src, f"{name}.parquet"))
+    # the other roles exist in a real folder; the stream job does not read them
+    landing = os.path.join(scratch, "landing")
+    s["invoice_line"].write.parquet(os.path.join(landing, "batch1"))
+    out = os.path.join(scratch, "daily")
+    main(["stream-daily-revenue", "--source", src, "--landing", os.path.join(landing, "*"),
+          "--target-path", out, "--checkpoint", os.path.join(scratch, "ckpt"),
+          "--available-now"], spark=spark)
+    direct = marts.daily_revenue(datasets.sales_lines(s["artist"], s["album"], s["track"],
+                                                      s["invoice_line"], s["invoice"]))
+    assert _multiset(read_published(spark, path=out)) == _multiset(direct)
