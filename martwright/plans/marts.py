@@ -93,16 +93,23 @@ def daily_revenue_from_sources(artist: DataFrame, album: DataFrame, track: DataF
 
 
 def artist_revenue_from_sources(artist: DataFrame, album: DataFrame, track: DataFrame,
-                                invoice_line: DataFrame, ordered_report: bool = False
-                                ) -> DataFrame:
+                                invoice_line: DataFrame, invoice: DataFrame | None = None,
+                                ordered_report: bool = False) -> DataFrame:
     """Q6 from the sources.
 
-    In the line dataset the invoice join only adds the date; with the
-    invoice id as the invoice table's key it changes no row, so it is left
-    out (the same rule that drops the unused album join of Q3).  That saves a
-    shuffle of the whole line table.
+    In the line dataset the invoice join only adds the date, which this mart
+    does not use.  When the invoice id is the invoice table's key (it is in
+    the source schema) that join changes no row, so by default
+    (``invoice=None``) it is left out -- the same rule that drops the unused
+    album join of Q3 -- which saves a shuffle of the whole line table.
+
+    Pass ``invoice`` when its ids are not known to be unique: the lines are
+    then joined to it as in the dataset, so a repeated invoice row repeats
+    its lines exactly as the source query does.
     """
     lines = datasets.artist_lines(artist, album, track, invoice_line)
+    if invoice is not None:
+        lines = lines.join(invoice.select("invoice_id"), "invoice_id", "left")
     return ordered_artist_revenue(lines) if ordered_report else artist_revenue(lines)
 
 

@@ -176,3 +176,15 @@ def test_daily_pre_aggregation_exact_with_duplicate_invoice_ids(roles):
     assert _multiset(marts.visit_frequency_from_sources(
         r["track"], r["line"], r["invoice"], r["customer"])) == \
         _multiset(marts.visit_frequency(_tx(r)))
+
+
+def test_artist_revenue_invoice_key_rule(roles):
+    """With a repeated invoice id the shortcut (invoice id taken as the key)
+    and the exact path differ; the exact path equals the dataset mart."""
+    r = dict(roles)
+    r["invoice"] = r["invoice"].unionByName(r["invoice"].where("invoice_id = 1000"))
+    exact = marts.artist_revenue_from_sources(r["artist"], r["album"], r["track"], r["line"],
+                                              invoice=r["invoice"])
+    assert _multiset(exact) == _multiset(marts.artist_revenue(_sales(r)))
+    shortcut = marts.artist_revenue_from_sources(r["artist"], r["album"], r["track"], r["line"])
+    assert _multiset(shortcut) != _multiset(exact)
