@@ -5,6 +5,7 @@
         --partitions 64 --target-database sales
     python -m martwright.jobs stream-daily-revenue --source DIR --landing DIR \\
         --target-path DIR [--every "3 hours" | --available-now]
+    python -m martwright.jobs submit-flags    # --conf flags for spark-submit
 
 ``--source`` is a folder with one parquet table per role: ``artist album
 track genre invoice_line invoice customer`` (column names as in
@@ -24,7 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from martwright.plans.refresh import Target, refresh
-from martwright.session import build_session
+from martwright.session import build_session, submit_conf_args
 from martwright.sources.jdbc import read_jdbc_table
 from martwright.sources.tables import read_parquet_tables
 
@@ -112,11 +113,16 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--every", help='trigger interval, e.g. "3 hours"')
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--max-files-per-trigger", type=int)
+
+    sub.add_parser("submit-flags",
+                   help="print the spark-submit --conf flags for cluster runs")
     return ap
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     args = _parser().parse_args(argv)
+    if args.cmd == "submit-flags":
+        return " ".join(submit_conf_args())
     if not args.source and not args.jdbc_url:
         raise SystemExit("give --source or --jdbc-url")
     if args.cmd == "refresh" and not (args.target_path or args.target_database):

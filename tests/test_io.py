@@ -185,3 +185,11 @@ def test_stream_job_cli(spark, scratch):
     direct = marts.daily_revenue(datasets.sales_lines(s["artist"], s["album"], s["track"],
                                                       s["invoice_line"], s["invoice"]))
     assert _multiset(read_published(spark, path=out)) == _multiset(direct)
+
+
+def test_submit_flags():
+    from martwright.jobs import main
+
+    flags = main(["submit-flags"]).split()
+    assert flags.count("--conf") == 6
+    assert "spark.decommission.enabled=true" in flags
