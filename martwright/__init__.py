@@ -12,6 +12,8 @@ Sub-packages:
                    messages) and array / map helpers, plus SQL functions.
 * ``sinks``     -- full-replace publishing.
 * ``streaming`` -- refresh-on-arrival with Structured Streaming.
+* ``registry``  -- the registered queries and their SQL oracles.
+* ``jobs``      -- command-line entry points (refresh, streaming refresh).
 """
 
 from martwright.session import build_session, checkpoint_dir
