@@ -6,7 +6,7 @@ Sub-packages:
                    arbitrary tables onto the sales roles.
 * ``plans``     -- declared schemas, the three wide datasets, the four marts
                    and the refresh job that publishes them.
-* ``operators`` -- table-level operators (ordering, thresholds, neighbour
+* ``operators`` -- table-level operators (thresholds, distinct, neighbour
                    differences, take-until scans, shares, appends).
 * ``functions`` -- ``Column`` builders (banding, growth, text repair,
                    messages) and array / map helpers, plus SQL functions.
