@@ -113,6 +113,30 @@ def artist_revenue_from_sources(artist: DataFrame, album: DataFrame, track: Data
     return ordered_artist_revenue(lines) if ordered_report else artist_revenue(lines)
 
 
+def artist_productivity_from_sources(artist: DataFrame, album: DataFrame, track: DataFrame,
+                                     genre: DataFrame) -> DataFrame:
+    """Q5 from the sources, with tracks counted per (album, genre) first.
+
+    Tracks are reduced to one count per (album id, genre id) in the map
+    tasks before any join, so the album, artist and genre joins see groups,
+    not tracks.  Exact for any dimension tables: a join match repeats a
+    group's count exactly as it would repeat each of its tracks.  Unknown or
+    null genres keep their group with a count of 0, as ``count(genre_name)``
+    does.
+    """
+    counted = (track.where(F.col("track_id").isNotNull())
+               .groupBy("album_id", F.col("genre_id").alias("track_genre_id"))
+               .agg(F.count(F.lit(1)).alias("_n")))
+    genres = genre.select(F.col("genre_id"), F.col("name").alias("genre_name"))
+    joined = (counted
+              .join(album.select("album_id", "artist_id"), "album_id")
+              .join(artist.select("artist_id", F.col("name").alias("artist_name")), "artist_id")
+              .join(genres, F.col("track_genre_id") == F.col("genre_id"), "left"))
+    return (joined.groupBy("artist_name", "genre_name")
+            .agg(F.sum(F.when(F.col("genre_name").isNotNull(), F.col("_n"))
+                       .otherwise(F.lit(0))).alias("counted_songs")))
+
+
 def visit_frequency_from_sources(track: DataFrame, invoice_line: DataFrame,
                                  invoice: DataFrame, customer: DataFrame) -> DataFrame:
     """Q7 from the sources, with the lines reduced to distinct invoices first.

@@ -55,7 +55,9 @@ def _artist_revenue(spark, sf_dir, ordered_report=False):
 
 
 def _artist_productivity(spark, sf_dir):
-    return marts.artist_productivity(_catalog(spark, sf_dir))
+    r = catalog_roles(_tables(spark, sf_dir))
+    return marts.artist_productivity_from_sources(r["artist"], r["album"], r["track"],
+                                                  r["genre"])
 
 
 def _visit_frequency(spark, sf_dir):

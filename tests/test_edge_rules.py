@@ -165,6 +165,18 @@ def test_source_level_marts_equal_dataset_marts(roles):
     assert _multiset(marts.visit_frequency_from_sources(
         r["track"], r["line"], r["invoice"], r["customer"])) == \
         _multiset(marts.visit_frequency(_tx(r)))
+    assert _multiset(marts.artist_productivity_from_sources(
+        r["artist"], r["album"], r["track"], r["genre"])) == \
+        _multiset(marts.artist_productivity(_catalog(r)))
+
+
+def test_productivity_pre_count_exact_with_duplicate_dimension_ids(roles):
+    r = dict(roles)
+    r["album"] = r["album"].unionByName(r["album"].where("album_id = 10"))
+    r["genre"] = r["genre"].unionByName(r["genre"].where("genre_id = 1"))
+    assert _multiset(marts.artist_productivity_from_sources(
+        r["artist"], r["album"], r["track"], r["genre"])) == \
+        _multiset(marts.artist_productivity(_catalog(r)))
 
 
 def test_daily_pre_aggregation_exact_with_duplicate_invoice_ids(roles):
