@@ -20,7 +20,7 @@ from __future__ import annotations
 import argparse
 import json
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,10 +54,28 @@ def _role_reader(spark: SparkSession, args) -> Callable[[str], DataFrame]:
     return read_parquet_tables(spark, args.source, ROLES).__getitem__
 
 
+class _Roles(Mapping[str, DataFrame]):
+    """A lazy view of some roles: a table is opened when a plan asks for it."""
+
+    def __init__(self, role: Callable[[str], DataFrame], names: tuple[str, ...]):
+        self._role, self._names = role, names
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        return self._role(name)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
 def _split(role: Callable[[str], DataFrame]):
-    sales = {k: role(k) for k in ("artist", "album", "track", "invoice_line", "invoice")}
-    catalog = {k: role(k) for k in ("artist", "album", "track", "genre")}
-    transactions = {k: role(k) for k in ("track", "invoice_line", "invoice", "customer")}
+    sales = _Roles(role, ("artist", "album", "track", "invoice_line", "invoice"))
+    catalog = _Roles(role, ("artist", "album", "track", "genre"))
+    transactions = _Roles(role, ("track", "invoice_line", "invoice", "customer"))
     return sales, catalog, transactions
 
 
@@ -69,7 +87,8 @@ def _target(args) -> Target:
 
 def cmd_refresh(spark: SparkSession, args) -> dict[str, str]:
     sales, catalog, transactions = _split(_role_reader(spark, args))
-    return refresh(spark, sales, catalog, transactions, _target(args))
+    only = [n.strip() for n in args.only.split(",") if n.strip()] if args.only else None
+    return refresh(spark, sales, catalog, transactions, _target(args), only=only)
 
 
 def cmd_stream_daily_revenue(spark: SparkSession, args):
@@ -104,6 +123,8 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--target-path")
     r.add_argument("--target-database")
     r.add_argument("--format", default="parquet")
+    r.add_argument("--only", help="comma list of outputs to refresh, e.g. transactions,"
+                                  "visit_frequency (default: all seven)")
 
     s = sub.add_parser("stream-daily-revenue", help="keep the daily revenue mart current")
     source_args(s)

@@ -11,6 +11,7 @@ only to keep the job's resource use flat.
 from __future__ import annotations
 
 import posixpath
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,45 +41,68 @@ class Target:
         return {"path": posixpath.join(self.base_path, name)}
 
 
-def build_datasets(sales: dict[str, DataFrame], catalog: dict[str, DataFrame],
-                   transactions: dict[str, DataFrame], **transaction_kw) -> dict[str, DataFrame]:
+# Which published dataset each mart aggregates.
+MART_SOURCE = {"daily_revenue": "sales_lines", "artist_productivity": "catalog",
+               "artist_revenue": "sales_lines", "visit_frequency": "transactions"}
+MART_FUNCTIONS = {"daily_revenue": marts.daily_revenue,
+                  "artist_productivity": marts.artist_productivity,
+                  "artist_revenue": marts.artist_revenue,
+                  "visit_frequency": marts.visit_frequency}
+
+
+def _dataset_plan(name: str, sales: Mapping[str, DataFrame], catalog: Mapping[str, DataFrame],
+                  transactions: Mapping[str, DataFrame], **transaction_kw) -> DataFrame:
+    if name == "sales_lines":
+        return datasets.sales_lines(sales["artist"], sales["album"], sales["track"],
+                                    sales["invoice_line"], sales["invoice"])
+    if name == "catalog":
+        return datasets.catalog(catalog["artist"], catalog["album"], catalog["track"],
+                                catalog["genre"])
+    return datasets.transactions(transactions["track"], transactions["invoice_line"],
+                                 transactions["invoice"], transactions["customer"],
+                                 **transaction_kw)
+
+
+def build_datasets(sales: Mapping[str, DataFrame], catalog: Mapping[str, DataFrame],
+                   transactions: Mapping[str, DataFrame], **transaction_kw) -> dict[str, DataFrame]:
     """The three dataset plans from their role frames (lazy)."""
-    return {
-        "sales_lines": datasets.sales_lines(sales["artist"], sales["album"], sales["track"],
-                                            sales["invoice_line"], sales["invoice"]),
-        "catalog": datasets.catalog(catalog["artist"], catalog["album"], catalog["track"],
-                                    catalog["genre"]),
-        "transactions": datasets.transactions(transactions["track"],
-                                              transactions["invoice_line"],
-                                              transactions["invoice"],
-                                              transactions["customer"], **transaction_kw),
-    }
+    return {n: _dataset_plan(n, sales, catalog, transactions, **transaction_kw)
+            for n in DATASETS}
 
 
 def build_marts(sales_lines: DataFrame, catalog: DataFrame,
                 transactions: DataFrame) -> dict[str, DataFrame]:
-    return {
-        "daily_revenue": marts.daily_revenue(sales_lines),
-        "artist_productivity": marts.artist_productivity(catalog),
-        "artist_revenue": marts.artist_revenue(sales_lines),
-        "visit_frequency": marts.visit_frequency(transactions),
-    }
+    by_dataset = {"sales_lines": sales_lines, "catalog": catalog, "transactions": transactions}
+    return {m: MART_FUNCTIONS[m](by_dataset[MART_SOURCE[m]]) for m in MARTS}
 
 
-def refresh(spark: SparkSession, sales: dict[str, DataFrame], catalog: dict[str, DataFrame],
-            transactions: dict[str, DataFrame], target: Target,
+def refresh(spark: SparkSession, sales: Mapping[str, DataFrame],
+            catalog: Mapping[str, DataFrame], transactions: Mapping[str, DataFrame],
+            target: Target, only: Sequence[str] | None = None,
             **transaction_kw) -> dict[str, str]:
     """Publish datasets, then marts from the published datasets.
 
-    Returns ``{name: path or table}`` for all seven outputs.
+    ``only`` limits the run to some of the seven outputs, so each can keep
+    its own cadence (the source refreshed transactions every few hours and
+    the song catalogue every few days).  A mart refreshed without its dataset
+    aggregates the dataset as last published.  Role tables that the chosen
+    outputs do not use are never opened when the role mappings are lazy.
+
+    Returns ``{name: path or table}`` for the outputs written.
     """
+    wanted = list(only) if only else [*DATASETS, *MARTS]
+    unknown = set(wanted) - set(DATASETS) - set(MARTS)
+    if unknown:
+        raise ValueError(f"unknown outputs: {sorted(unknown)}")
     written: dict[str, str] = {}
-    plans = build_datasets(sales, catalog, transactions, **transaction_kw)
     for name in DATASETS:
-        written[name] = publish(plans[name], fmt=target.fmt, **target.location(name))
-    stored = {name: read_published(spark, fmt=target.fmt, **target.location(name))
-              for name in DATASETS}
-    for name, df in build_marts(stored["sales_lines"], stored["catalog"],
-                                stored["transactions"]).items():
-        written[name] = publish(df, fmt=target.fmt, **target.location(name))
+        if name in wanted:
+            plan = _dataset_plan(name, sales, catalog, transactions, **transaction_kw)
+            written[name] = publish(plan, fmt=target.fmt, **target.location(name))
+    for name in MARTS:
+        if name in wanted:
+            stored = read_published(spark, fmt=target.fmt,
+                                    **target.location(MART_SOURCE[name]))
+            written[name] = publish(MART_FUNCTIONS[name](stored), fmt=target.fmt,
+                                    **target.location(name))
     return written

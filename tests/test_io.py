@@ -193,3 +193,25 @@ def test_submit_flags():
     flags = main(["submit-flags"]).split()
     assert flags.count("--conf") == 6
     assert "spark.decommission.enabled=true" in flags
+
+
+def test_refresh_only_some_outputs(spark, scratch):
+    """Separate cadences: refresh transactions and its mart alone, then a
+    mart alone from the dataset as published; unused roles are never read."""
+    from martwright.jobs import main
+
+    t = read_parquet_tables(spark, SF_SMALL)
+    x = transaction_roles(t)
+    src = os.path.join(scratch, "roles")
+    for name in ("track", "invoice_line", "invoice", "customer"):  # no artist/album/genre
+        x[name].write.parquet(os.path.join(src, f"{name}.parquet"))
+    out = os.path.join(scratch, "out")
+    written = main(["refresh", "--source", src, "--target-path", out,
+                    "--only", "transactions,visit_frequency"], spark=spark)
+    assert set(written) == {"transactions", "visit_frequency"}
+    again = main(["refresh", "--source", src, "--target-path", out,
+                  "--only", "visit_frequency"], spark=spark)
+    assert set(again) == {"visit_frequency"}
+    stored = read_published(spark, path=written["transactions"])
+    assert _multiset(read_published(spark, path=again["visit_frequency"])) == \
+        _multiset(marts.visit_frequency(stored))
