@@ -53,6 +53,35 @@ def artist_revenue(sales_lines: DataFrame) -> DataFrame:
     return _artist_revenue_raw(sales_lines).drop(_RAW_REVENUE)
 
 
+_SET = "_grouping_set"
+
+
+def sales_line_totals(sales_lines: DataFrame) -> DataFrame:
+    """Raw revenue per day *and* per artist name from one scan (Q4 + Q6).
+
+    ``GROUPING SETS ((day), (artist_name))``: every line is read once and
+    expanded into its two groups inside the scan's own tasks, then partially
+    aggregated, so the published line dataset is scanned once for both
+    marts.  ``_grouping_set`` tells the sets apart (1: day, 2: artist), so a
+    null day or a null artist name stays its own group.  The result is
+    small (days plus artists); split it with :func:`split_sales_line_totals`.
+    """
+    lines = sales_lines.select(day_of("invoice_date").alias("invoice_date"), "artist_name",
+                               "total_price")
+    return (lines.groupingSets([["invoice_date"], ["artist_name"]],
+                               "invoice_date", "artist_name")
+            .agg(F.sum("total_price").alias(_RAW_REVENUE), F.grouping_id().alias(_SET)))
+
+
+def split_sales_line_totals(totals: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(daily_revenue, artist_revenue) from :func:`sales_line_totals`."""
+    daily = (totals.where(F.col(_SET) == 1)
+             .select("invoice_date", money_round(_RAW_REVENUE).alias("total_revenue")))
+    artist = (totals.where(F.col(_SET) == 2)
+              .select("artist_name", money_round(_RAW_REVENUE).alias("total_revenue")))
+    return daily, artist
+
+
 def visit_frequency(transactions: DataFrame) -> DataFrame:
     """Distinct purchase instants per country, countries not null (Q7).
 

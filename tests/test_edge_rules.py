@@ -200,3 +200,10 @@ def test_artist_revenue_invoice_key_rule(roles):
     assert _multiset(exact) == _multiset(marts.artist_revenue(_sales(r)))
     shortcut = marts.artist_revenue_from_sources(r["artist"], r["album"], r["track"], r["line"])
     assert _multiset(shortcut) != _multiset(exact)
+
+
+def test_one_scan_sales_marts_equal_separate_marts(roles):
+    sl = _sales(roles)
+    daily, artist = marts.split_sales_line_totals(marts.sales_line_totals(sl))
+    assert _multiset(daily) == _multiset(marts.daily_revenue(sl))      # includes the null day
+    assert _multiset(artist) == _multiset(marts.artist_revenue(sl))

@@ -68,6 +68,10 @@ def test_refresh_publishes_all_tables(spark, scratch):
     direct = marts.daily_revenue(datasets.sales_lines(s["artist"], s["album"], s["track"],
                                                       s["invoice_line"], s["invoice"]))
     assert _multiset(read_published(spark, path=written["daily_revenue"])) == _multiset(direct)
+    lines = datasets.sales_lines(s["artist"], s["album"], s["track"], s["invoice_line"],
+                                 s["invoice"])
+    assert _multiset(read_published(spark, path=written["artist_revenue"])) == \
+        _multiset(marts.artist_revenue(lines))
     # a second run replaces, it does not append
     refresh(spark, sales_roles(t), catalog_roles(t), transaction_roles(t),
             Target(base_path=os.path.join(scratch, "wh")), **kw)
