@@ -60,3 +60,15 @@ def test_no_cross_or_nested_loop_join(spark, name):
 def test_aggregates_are_partial_then_final(spark):
     plan = _physical(entry.queries()["artist_revenue"](spark, SF_SMALL))
     assert "partial_sum" in plan
+
+
+def test_line_marts_share_one_scan(spark, tmp_path):
+    from martwright.plans import marts
+
+    lines = entry.queries()["sales_lines"](spark, SF_SMALL)
+    path = str(tmp_path / "sales_lines")
+    lines.write.parquet(path)
+    totals = marts.sales_line_totals(spark.read.parquet(path))
+    plan = _physical(totals)
+    assert plan.count("FileScan parquet") == 1
+    assert "Expand" in plan and "partial_sum" in plan
