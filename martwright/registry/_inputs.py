@@ -8,6 +8,8 @@ and shared; the file listing is taken once per table.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from martwright.sources.tables import TableSet, read_parquet_tables
@@ -25,3 +27,20 @@ def tables(spark: SparkSession, sf_dir: str) -> TableSet:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tables(spark, sf_dir)[name]
+
+
+_ROLES: dict[tuple[int, str, str], dict[str, DataFrame]] = {}
+
+
+def roles(spark: SparkSession, sf_dir: str, which: str,
+          stage: Callable[[TableSet], dict[str, DataFrame]]) -> dict[str, DataFrame]:
+    """Staged role frames, built once per (session, folder, staging).
+
+    DataFrames are immutable lazy plans, so sharing them between queries only
+    saves the repeated plan analysis, like building them once in a job.
+    """
+    key = (id(spark), sf_dir, which)
+    got = _ROLES.get(key)
+    if got is None:
+        got = _ROLES[key] = stage(tables(spark, sf_dir))
+    return got

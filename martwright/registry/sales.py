@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from martwright.plans import datasets, marts
+from martwright.registry._inputs import roles as _shared_roles
 from martwright.registry._inputs import tables as _shared_tables
 from martwright.sources import catalog_roles, sales_roles, transaction_roles
 from martwright.sources.staging import (TEST_ADDRESS_REPAIR, TEST_LAST_NAME_REPAIR,
@@ -22,18 +23,18 @@ def _tables(spark: SparkSession, sf_dir: str):
 
 
 def _sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = sales_roles(_tables(spark, sf_dir))
+    r = _shared_roles(spark, sf_dir, "sales", sales_roles)
     return datasets.sales_lines(r["artist"], r["album"], r["track"],
                                 r["invoice_line"], r["invoice"])
 
 
 def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = catalog_roles(_tables(spark, sf_dir))
+    r = _shared_roles(spark, sf_dir, "catalog", catalog_roles)
     return datasets.catalog(r["artist"], r["album"], r["track"], r["genre"])
 
 
 def _transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = transaction_roles(_tables(spark, sf_dir))
+    r = _shared_roles(spark, sf_dir, "transactions", transaction_roles)
     return datasets.transactions(r["track"], r["invoice_line"], r["invoice"], r["customer"],
                                  last_name_repair=TEST_LAST_NAME_REPAIR,
                                  address_repair=TEST_ADDRESS_REPAIR)
@@ -43,25 +44,25 @@ def _transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ``marts.*_from_sources``; the refresh job aggregates the published datasets.
 
 def _daily_revenue(spark, sf_dir):
-    r = sales_roles(_tables(spark, sf_dir))
+    r = _shared_roles(spark, sf_dir, "sales", sales_roles)
     return marts.daily_revenue_from_sources(r["artist"], r["album"], r["track"],
                                             r["invoice_line"], r["invoice"])
 
 
 def _artist_revenue(spark, sf_dir, ordered_report=False):
-    r = sales_roles(_tables(spark, sf_dir))
+    r = _shared_roles(spark, sf_dir, "sales", sales_roles)
     return marts.artist_revenue_from_sources(r["artist"], r["album"], r["track"],
                                              r["invoice_line"], ordered_report=ordered_report)
 
 
 def _artist_productivity(spark, sf_dir):
-    r = catalog_roles(_tables(spark, sf_dir))
+    r = _shared_roles(spark, sf_dir, "catalog", catalog_roles)
     return marts.artist_productivity_from_sources(r["artist"], r["album"], r["track"],
                                                   r["genre"])
 
 
 def _visit_frequency(spark, sf_dir):
-    r = transaction_roles(_tables(spark, sf_dir))
+    r = _shared_roles(spark, sf_dir, "transactions", transaction_roles)
     return marts.visit_frequency_from_sources(r["track"], r["invoice_line"], r["invoice"],
                                               r["customer"])
 
