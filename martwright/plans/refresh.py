@@ -17,7 +17,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from martwright.plans import datasets, marts
-from martwright.session import checkpoint_dir
 from martwright.sinks import publish
 from martwright.sources.tables import read_published
 
@@ -42,6 +41,10 @@ class Target:
         return {"path": posixpath.join(self.base_path, name)}
 
 
+# Intermediate table of the refresh: raw revenue per day and per artist from
+# one scan of the line dataset (replaced on every run).
+LINE_TOTALS = "sales_line_totals"
+
 # Which published dataset each mart aggregates.
 MART_SOURCE = {"daily_revenue": "sales_lines", "artist_productivity": "catalog",
                "artist_revenue": "sales_lines", "visit_frequency": "transactions"}
@@ -103,11 +106,14 @@ def refresh(spark: SparkSession, sales: Mapping[str, DataFrame],
     pending = [m for m in MARTS if m in wanted]
     if {"daily_revenue", "artist_revenue"} <= set(pending):
         # Both marts of the line dataset from one scan of it.  The combined
-        # result is small; it is checkpointed to the shared checkpoint folder
-        # so the two writes read it back instead of scanning the lines twice.
-        checkpoint_dir(spark)
+        # per-day / per-artist totals are small; they are written once to
+        # the target (a fixed name, replaced on every run) and the two marts
+        # are split from that table, so the lines are not scanned twice and
+        # the lineage stops at a written table.
         lines = read_published(spark, fmt=target.fmt, **target.location("sales_lines"))
-        totals = marts.sales_line_totals(lines).checkpoint(eager=True)
+        publish(marts.sales_line_totals(lines), fmt=target.fmt,
+                **target.location(LINE_TOTALS))
+        totals = read_published(spark, fmt=target.fmt, **target.location(LINE_TOTALS))
         daily, artist = marts.split_sales_line_totals(totals)
         written["daily_revenue"] = publish(daily, fmt=target.fmt,
                                            **target.location("daily_revenue"))
