@@ -1,6 +1,6 @@
 """Every registered query vs its SQL oracle when one key holds a third of
 the rows: one invoice, one supplier and one part carry a third of the lines,
-one user a third of the events.  Broadcasts are off, so every join takes
+one customer a third of the orders, one user a third of the events.  Broadcasts are off, so every join takes
 the sort-merge path a 100 TB run takes, with AQE's skew handling on; results
 must stay exact and whole.  (Whether AQE splits a partition depends on its
 compressed size; ``test_skew.py`` builds data where it must and asserts the
@@ -43,7 +43,11 @@ def hot_dir(spark, tmp_path_factory):
           .withColumn("l_partkey", F.when(third, F.lit(11).cast("bigint")).otherwise(c("l_partkey"))))
     ev = t["events"].withColumn(
         "user_id", F.when(c("event_id") % 3 == 0, F.lit(5).cast("bigint")).otherwise(c("user_id")))
-    hot = dict(t, lineitem=li, events=ev)
+    # one customer (an album in the catalog, a buyer in the transactions)
+    # places a third of the orders
+    od = t["orders"].withColumn(
+        "o_custkey", F.when(c("o_orderkey") % 3 == 0, F.lit(5).cast("bigint")).otherwise(c("o_custkey")))
+    hot = dict(t, lineitem=li, events=ev, orders=od)
     for name, df in hot.items():
         df.repartition(4).write.parquet(os.path.join(d, f"{name}.parquet"))
     return d
