@@ -155,6 +155,19 @@ def _visit_frequency_report(spark, sf_dir):
     return marts.ordered("visit_frequency", _visit_frequency(spark, sf_dir))
 
 
+# Read-side orders of the extracts (a range-partitioned global sort).
+def _sales_lines_report(spark, sf_dir):
+    return marts.ordered("sales_lines", _sales_lines(spark, sf_dir))
+
+
+def _catalog_report(spark, sf_dir):
+    return marts.ordered("catalog", _catalog(spark, sf_dir))
+
+
+def _transactions_report(spark, sf_dir):
+    return marts.ordered("transactions", _transactions(spark, sf_dir))
+
+
 QUERIES = {
     "sales_lines": _sales_lines,
     "catalog": _catalog,
@@ -168,6 +181,9 @@ QUERIES = {
     "artist_productivity_report": _artist_productivity_report,
     "artist_revenue_report": _artist_revenue_report,
     "visit_frequency_report": _visit_frequency_report,
+    "sales_lines_report": _sales_lines_report,
+    "catalog_report": _catalog_report,
+    "transactions_report": _transactions_report,
 }
 
 ORACLE = {
@@ -214,3 +230,7 @@ ORDER BY SUM(total_price) DESC NULLS FIRST
 """
 ORACLE["visit_frequency_report"] = (
     ORACLE["visit_frequency"] + "ORDER BY frequency_level DESC NULLS FIRST, country NULLS FIRST\n")
+# Extract orders: nulls last, as the source database sorts.
+ORACLE["sales_lines_report"] = SALES_LINES_SQL + "ORDER BY artist_id ASC NULLS LAST\n"
+ORACLE["catalog_report"] = CATALOG_SQL + "ORDER BY artist_id ASC NULLS LAST, track_id ASC NULLS LAST\n"
+ORACLE["transactions_report"] = TRANSACTIONS_SQL + "ORDER BY customer_id ASC NULLS LAST\n"

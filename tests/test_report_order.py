@@ -15,6 +15,9 @@ SORT_KEYS = {
     "artist_productivity_report": ["genre_name", "counted_songs"],
     "artist_revenue_report": ["artist_name"],
     "visit_frequency_report": ["frequency_level", "country"],
+    "sales_lines_report": ["artist_id"],
+    "catalog_report": ["artist_id", "track_id"],
+    "transactions_report": ["customer_id"],
 }
 
 
