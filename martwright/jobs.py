@@ -114,26 +114,28 @@ def _parser() -> argparse.ArgumentParser:
         p.add_argument("--shuffle-partitions", type=int,
                        help="starting shuffle width (see session.partitions_for)")
         p.add_argument("--source", help="folder with one parquet table per role")
-        p.add_argument("--jdbc-url")
+        p.add_argument("--jdbc-url", help="read the role tables over JDBC instead")
         p.add_argument("--jdbc-props", help="JSON file with connection properties")
-        p.add_argument("--partitions", type=int, default=8)
+        p.add_argument("--partitions", type=int, default=8,
+                       help="JDBC read slices per table, split on its id column")
 
     r = sub.add_parser("refresh", help="publish the three datasets and the four marts")
     source_args(r)
-    r.add_argument("--target-path")
-    r.add_argument("--target-database")
-    r.add_argument("--format", default="parquet")
+    r.add_argument("--target-path", help="folder to publish into (one sub-folder per table)")
+    r.add_argument("--target-database", help="catalog database to publish into instead")
+    r.add_argument("--format", default="parquet", help="Spark format of the published tables")
     r.add_argument("--only", help="comma list of outputs to refresh, e.g. transactions,"
                                   "visit_frequency (default: all seven)")
 
     s = sub.add_parser("stream-daily-revenue", help="keep the daily revenue mart current")
     source_args(s)
     s.add_argument("--landing", required=True, help="folder where invoice-line files arrive")
-    s.add_argument("--target-path", required=True)
+    s.add_argument("--target-path", required=True, help="folder of the daily revenue mart")
     s.add_argument("--checkpoint", help="defaults to a folder under spark.checkpoint.dir")
     s.add_argument("--every", help='trigger interval, e.g. "3 hours"')
     s.add_argument("--available-now", action="store_true")
-    s.add_argument("--max-files-per-trigger", type=int)
+    s.add_argument("--max-files-per-trigger", type=int,
+                   help="cap on new files taken per micro-batch")
 
     sub.add_parser("submit-flags",
                    help="print the spark-submit --conf flags for cluster runs")
