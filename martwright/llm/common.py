@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -18,6 +21,24 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once for each context, so
+    that their Python workers can import it wherever the job was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_martwright_shipped", False):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="martwright-"), "martwright_code.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(top):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)
+    sc._martwright_shipped = True
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared checkpoint folder and read back.
 
@@ -67,3 +88,42 @@ def words_of(text: str | None) -> list[bytes]:
 def workers(spark: SparkSession) -> int:
     """Shuffle width of the session, the number of tasks to aim at least for."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def map_batches(df: DataFrame, schema: str, fn) -> DataFrame:
+    """``df`` through ``fn``, an Arrow batch in, a dict of columns out.
+
+    Batches are bounded by Spark (rows and bytes), so memory does not grow
+    with the table.
+    """
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    ship(df.sparkSession)
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches):
+        for batch in batches:
+            out = fn(batch)
+            yield pa.RecordBatch.from_arrays(
+                [c if isinstance(c := out[f.name], pa.Array) else pa.array(c, type=f.type) for f in arrow],
+                schema=arrow)
+
+    return df.mapInArrow(run, schema)
+
+
+def labelled_sample(documents: DataFrame, labels: DataFrame, label_col: str, bound: int,
+                    skip_mod: tuple[int, int] | None = None) -> DataFrame:
+    """``doc_id, text, label`` of at most ``bound`` labelled rows, those with
+    the smallest hash of their id.  ``skip_mod=(m, r)`` leaves out the rows
+    whose crc32(doc_id as text) mod m is r.  The bound keeps the broadcast of
+    the ids small whatever the tables hold.
+    """
+    label = F.col(f"`{label_col}`").cast("int")
+    known = labels.where(F.col("doc_id").isNotNull() & label.isNotNull())
+    if skip_mod:
+        known = known.where(F.crc32(F.col("doc_id").cast("string")) % skip_mod[0] != skip_mod[1])
+    known = known.groupBy("doc_id").agg(F.max(label).alias("label"))
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
+    return only(documents, "doc_id", "text").join(F.broadcast(chosen), "doc_id")

@@ -8,11 +8,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martwright.llm import line_dedup, pii
+from martwright.llm import line_dedup, packing, pii, toxicity
 from martwright.llm.common import documents, only
 
 # Production parameters of the contracts.
 MIN_DOCS, MIN_CHARS = 10, 1
+TOXIC_HELD_OUT, TOXIC_FROM = (3, 1), 0.7  # crc32(doc_id) mod 3 = 1 never trains
+CAPACITY, END_ID = 1024, 2
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +30,22 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         pii.span_list(spans).alias("spans"))
 
 
+def toxicity_machine(spark: SparkSession, sf_dir: str) -> toxicity.FactorizationMachine:
+    return toxicity.train(documents(spark, sf_dir), _labels(spark, sf_dir), skip_mod=TOXIC_HELD_OUT)
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_toxicity(documents(spark, sf_dir), toxicity_machine(spark, sf_dir))
+    m, r = TOXIC_HELD_OUT
+    return scored.select(
+        "doc_id", (F.crc32(F.col("doc_id").cast("string")) % m == r).alias("held_out"), "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir), capacity=CAPACITY, end_id=END_ID)
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_common_lines(only(documents(spark, sf_dir), "doc_id", "text"), MIN_DOCS, MIN_CHARS)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -110,6 +132,8 @@ FROM doc d LEFT JOIN listed l USING (doc_id)
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op6_toxicity": op6_toxicity,
+    "op9_packing": op9_packing,
     "op10_line_dedup": op10_line_dedup,
 }
 
