@@ -12,25 +12,44 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martwright.llm import line_dedup, pii
-from martwright.llm.queries import MIN_CHARS, MIN_DOCS
+from martwright.llm import line_dedup, packing, pii, simhash, toxicity
+from martwright.llm.queries import (CAPACITY, DISTANCE, END_ID, MIN_CHARS, MIN_DOCS, SHINGLE, TOXIC_FROM,
+                                    toxicity_machine)
 from martwright.session import checkpoint_dir
 
 
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return toxicity.keep_clean(docs, toxicity_machine(spark, sf_dir), TOXIC_FROM)
+
+
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that many documents share go."""
     kept = line_dedup.drop_common_lines(docs, MIN_DOCS, MIN_CHARS)
     return kept.select(docs.columns)
 
 
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return simhash.keep_first(docs, SHINGLE, DISTANCE)
+
+
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data gives way to its kind in brackets."""
     return pii.mask_pii(docs)
 
 
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts as tokens in sequences: one row for each piece, with its place."""
+    return packing.pack_documents(docs, capacity=CAPACITY, end_id=END_ID)
+
+
 STAGES = [
+    ("toxicity", toxicity_stage),
     ("line_dedup", line_dedup_stage),
+    ("simhash", simhash_stage),
     ("pii", pii_stage),
+    ("packing", packing_stage),
 ]
 
 # Learned scores, fingerprints and tokens have no SQL form: tests/llm holds the

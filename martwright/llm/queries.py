@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martwright.llm import line_dedup, packing, pii, toxicity
+from martwright.llm import line_dedup, packing, pii, simhash, toxicity
 from martwright.llm.common import documents, only
 
 # Production parameters of the contracts.
 MIN_DOCS, MIN_CHARS = 10, 1
 TOXIC_HELD_OUT, TOXIC_FROM = (3, 1), 0.7  # crc32(doc_id) mod 3 = 1 never trains
+SHINGLE, DISTANCE = 4, 4
 CAPACITY, END_ID = 1024, 2
 
 
@@ -42,6 +43,12 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_duplicates(documents(spark, sf_dir), SHINGLE, DISTANCE)
+    return groups.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                         "component_id")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), capacity=CAPACITY, end_id=END_ID)
 
@@ -133,6 +140,7 @@ FROM doc d LEFT JOIN listed l USING (doc_id)
 QUERIES = {
     "op1_pii": op1_pii,
     "op6_toxicity": op6_toxicity,
+    "op8_simhash": op8_simhash,
     "op9_packing": op9_packing,
     "op10_line_dedup": op10_line_dedup,
 }
