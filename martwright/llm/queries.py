@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martwright.llm import line_dedup, packing, pii, simhash, toxicity
+from martwright.llm import katz, line_dedup, packing, pii, simhash, toxicity
 from martwright.llm.common import documents, only
 
 # Production parameters of the contracts.
 MIN_DOCS, MIN_CHARS = 10, 1
 TOXIC_HELD_OUT, TOXIC_FROM = (3, 1), 0.7  # crc32(doc_id) mod 3 = 1 never trains
+KATZ_HELD_OUT = (7, 2)  # crc32(doc_id) mod 7 = 2 never trains
 SHINGLE, DISTANCE = 4, 4
 CAPACITY, END_ID = 1024, 2
 
@@ -31,6 +32,12 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         pii.span_list(spans).alias("spans"))
 
 
+def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m, r = KATZ_HELD_OUT
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % m == r, F.lit(False))
+    return katz.score(documents(spark, sf_dir), held)
+
+
 def toxicity_machine(spark: SparkSession, sf_dir: str) -> toxicity.FactorizationMachine:
     return toxicity.train(documents(spark, sf_dir), _labels(spark, sf_dir), skip_mod=TOXIC_HELD_OUT)
 
@@ -139,6 +146,7 @@ FROM doc d LEFT JOIN listed l USING (doc_id)
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_katz": op2_katz,
     "op6_toxicity": op6_toxicity,
     "op8_simhash": op8_simhash,
     "op9_packing": op9_packing,
