@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martwright.llm import katz, line_dedup, packing, pii, simhash, toxicity
+from martwright.llm import katz, line_dedup, packing, pii, simhash, substring_dedup, toxicity
 from martwright.llm.common import documents, only
 
 # Production parameters of the contracts.
 MIN_DOCS, MIN_CHARS = 10, 1
 TOXIC_HELD_OUT, TOXIC_FROM = (3, 1), 0.7  # crc32(doc_id) mod 3 = 1 never trains
 KATZ_HELD_OUT = (7, 2)  # crc32(doc_id) mod 7 = 2 never trains
+REPEAT = 13  # words of a window
 SHINGLE, DISTANCE = 4, 4
 CAPACITY, END_ID = 1024, 2
 
@@ -50,6 +51,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.drop_repeats(documents(spark, sf_dir), REPEAT)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(documents(spark, sf_dir), SHINGLE, DISTANCE)
     return groups.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -148,6 +154,7 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op2_katz": op2_katz,
     "op6_toxicity": op6_toxicity,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_simhash": op8_simhash,
     "op9_packing": op9_packing,
     "op10_line_dedup": op10_line_dedup,
