@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martwright.llm import katz, line_dedup, packing, pii, simhash, substring_dedup, toxicity
+from martwright.llm import katz, line_dedup, packing, pii, quality, simhash, substring_dedup, toxicity
 from martwright.llm.common import documents, only
 
 # Production parameters of the contracts.
@@ -39,6 +39,12 @@ def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.score(documents(spark, sf_dir), held)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    judged = quality.judge(docs, quality.train(docs, _labels(spark, sf_dir)))
+    return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept")
+
+
 def toxicity_machine(spark: SparkSession, sf_dir: str) -> toxicity.FactorizationMachine:
     return toxicity.train(documents(spark, sf_dir), _labels(spark, sf_dir), skip_mod=TOXIC_HELD_OUT)
 
@@ -153,6 +159,7 @@ FROM doc d LEFT JOIN listed l USING (doc_id)
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_katz": op2_katz,
+    "op4_quality": op4_quality,
     "op6_toxicity": op6_toxicity,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_simhash": op8_simhash,
