@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martwright.llm import katz, line_dedup, packing, pii, quality, simhash, substring_dedup, toxicity
+from martwright.llm import katz, line_dedup, packing, pii, quality, sentencepiece_codec, simhash, substring_dedup, toxicity
 from martwright.llm.common import documents, only
 
 # Production parameters of the contracts.
@@ -45,6 +45,14 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept")
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of each text, digested, and whether decoding them gives the text back."""
+    docs = only(documents(spark, sf_dir), "doc_id", "text")
+    return sentencepiece_codec.round_trip(docs).select(
+        "doc_id", "n_ids", "ids_crc32", F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.coalesce(F.col("decoded") == F.coalesce("text", F.lit("")), F.lit(False)).alias("round_trip"))
+
+
 def toxicity_machine(spark: SparkSession, sf_dir: str) -> toxicity.FactorizationMachine:
     return toxicity.train(documents(spark, sf_dir), _labels(spark, sf_dir), skip_mod=TOXIC_HELD_OUT)
 
@@ -160,6 +168,7 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op2_katz": op2_katz,
     "op4_quality": op4_quality,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_toxicity": op6_toxicity,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_simhash": op8_simhash,

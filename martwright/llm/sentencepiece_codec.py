@@ -2,8 +2,9 @@
 
 The text becomes SentencePiece's form (a space mark in front and for each
 space) and is cut before every run of space marks that follows another
-character: no piece of such a model reaches over this place, so the parts are
-encoded one by one, each distinct part of a batch once.
+character, and behind every run of letters: no piece of the model reaches over
+these places (checked when it is loaded), so the parts are encoded one by one,
+each distinct part once.
 
 1. All new parts are put behind one another as code points, with a separator
    that is no code point, and their suffixes sorted by as many characters as
@@ -28,6 +29,8 @@ ids are encoded row by row; an empty table gives an empty table.
 from __future__ import annotations
 
 import re
+import struct
+import zlib
 from functools import lru_cache
 
 import numpy as np
@@ -37,10 +40,11 @@ from martwright.llm.common import map_batches, only
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-CHUNK = 400_000  # code points whose suffixes are sorted together, about
-REMEMBERED = 300_000  # parts that a task remembers
+CHUNK = 800_000  # code points whose suffixes are sorted together, about
+REMEMBERED = 600_000  # parts that a task remembers
 SEPARATOR = 0x110000
-_PARTS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+$")
+_LETTER = r"[^\W\d_]"
+_MARKS = "\n!\"#$%&'()*+,-./0123456789:;<=>?@[\\]^_`{|}~"
 
 
 class Codec:
@@ -58,8 +62,15 @@ class Codec:
         self.score = {p: model.get_score(i) for i, p in enumerate(self.pieces)
                       if i not in special and i not in self.bytes_at}
         self.ids = {p: i for i, p in enumerate(self.pieces) if p in self.score}
+        self.raw = [bytes([self.bytes_at[i]]) if i in self.bytes_at else p.encode() if p in self.score else b""
+                    for i, p in enumerate(self.pieces)]
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("a piece reaches over a space")
+        # marks that no piece has behind a letter: texts are cut there too
+        behind = {m for p in self.ids for m in re.findall(f"{_LETTER}(?=(.))", p, re.DOTALL)}
+        marks = re.escape("".join(m for m in _MARKS if m not in behind))
+        cuts = f"(?<=[^{MARK}])(?={MARK})" + (f"|(?<={_LETTER})(?=[{marks}])" if marks else "")
+        self.cuts = re.compile(cuts)
         # pieces that their own text gives, as code points, zeros behind
         usable = [p for p in self.ids if self.merged(p) == [p]]
         self.longest = max(map(len, usable))
@@ -183,17 +194,15 @@ class Codec:
         return out
 
     def _ids_of(self, symbols: list[int]) -> bytes:
-        ids: list[int] = []
-        for s in symbols:
-            if s < len(self.pieces):
-                ids.append(s)
-            else:
-                ids += [self.byte_ids[b] for b in chr(s - len(self.pieces)).encode("utf-8", "replace")]
-        return np.array(ids, "<i4").tobytes()
+        n = len(self.pieces)
+        if max(symbols) >= n:  # characters without a piece become their bytes
+            symbols = [i for s in symbols for i in (
+                [s] if s < n else [self.byte_ids[b] for b in chr(s - n).encode("utf-8", "replace")])]
+        return struct.pack(f"<{len(symbols)}i", *symbols)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, as little-endian 32-bit numbers."""
-        split = [_PARTS.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+        split = [self.cuts.split(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
         memory = self.remembered
         new = {p for parts in split for p in set(parts) if p not in memory}
         if len(memory) + len(new) > REMEMBERED:
@@ -212,19 +221,8 @@ class Codec:
 
     def decode(self, ids: bytes) -> str:
         """The text of ids."""
-        out, raw = [], bytearray()
-        for i in np.frombuffer(ids, "<i4").tolist():
-            if i in self.bytes_at:
-                raw.append(self.bytes_at[i])
-                continue
-            if raw:
-                out.append(raw.decode("utf-8", "replace"))
-                raw.clear()
-            if self.pieces[i] in self.score:
-                out.append(self.pieces[i])
-        if raw:
-            out.append(raw.decode("utf-8", "replace"))
-        text = "".join(out).replace(MARK, " ")
+        raw = b"".join(map(self.raw.__getitem__, struct.unpack(f"<{len(ids) // 4}i", ids)))
+        text = raw.decode("utf-8", "replace").replace(MARK, " ")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -237,7 +235,7 @@ def codec(model: str = MODEL) -> Codec:
 
 
 def encode(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col: str = "text",
-           rows: int = 512) -> DataFrame:
+           rows: int = 1536) -> DataFrame:
     """``id_col, ids`` (array of int) of each row; no shuffle."""
     import pyarrow as pa
 
@@ -256,6 +254,22 @@ def encode(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col
     return map_batches(only(docs, id_col, text_col), f"`{id_col}` {kind}, ids array<int>", run)
 
 
+def round_trip(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col: str = "text",
+               rows: int = 1536) -> DataFrame:
+    """``id_col, text, n_ids, ids_crc32, decoded``: each text encoded and
+    decoded in one pass, with the checksum of its ids (32-bit little-endian)."""
+    def run(batch):
+        held, texts = codec(model), batch.column(text_col)
+        ids = []
+        for at in range(0, len(texts), rows):
+            ids += held.encode(texts.slice(at, rows).to_pylist())
+        return {id_col: batch.column(id_col), "text": texts, "n_ids": [len(b) // 4 for b in ids],
+                "ids_crc32": [zlib.crc32(b) for b in ids], "decoded": [held.decode(b) for b in ids]}
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return map_batches(only(docs, id_col, text_col), f"`{id_col}` {kind}, text string, n_ids long, ids_crc32 long, decoded string", run)
+
+
 def decode(encoded: DataFrame, model: str = MODEL, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """``encoded`` with ``text`` from ``ids_col`` instead of the ids."""
     def run(batch):
