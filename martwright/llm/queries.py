@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martwright.llm import katz, line_dedup, packing, pii, quality, sentencepiece_codec, simhash, substring_dedup, toxicity
+from martwright.llm import katz, line_dedup, packing, pii, quality, sentencepiece_codec, simhash, substring_dedup, topk, toxicity
 from martwright.llm.common import documents, only
 
 # Production parameters of the contracts.
 MIN_DOCS, MIN_CHARS = 10, 1
 TOXIC_HELD_OUT, TOXIC_FROM = (3, 1), 0.7  # crc32(doc_id) mod 3 = 1 never trains
 KATZ_HELD_OUT = (7, 2)  # crc32(doc_id) mod 7 = 2 never trains
+TOP, SCALE, QUERY_EVERY = 20, 64.0, 20
 REPEAT = 13  # words of a window
 SHINGLE, DISTANCE = 4, 4
 CAPACITY, END_ID = 1024, 2
@@ -39,6 +40,12 @@ def op2_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.score(documents(spark, sf_dir), held)
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    found = topk.top_k(table, F.col("id") % QUERY_EVERY == 0, TOP, SCALE)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     judged = quality.judge(docs, quality.train(docs, _labels(spark, sf_dir)))
@@ -163,10 +170,25 @@ SELECT d.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip,
 FROM doc d LEFT JOIN listed l USING (doc_id)
 """
 
+OP3_SQL = f"""
+WITH v AS (SELECT vec_id, [CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pair AS (SELECT q.vec_id AS query_id, c.vec_id,
+                CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+         FROM v q JOIN v c ON q.vec_id <> c.vec_id
+         WHERE q.vec_id % {QUERY_EVERY} = 0),
+ranked AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank,
+                  vec_id, score FROM pair)
+SELECT * FROM ranked WHERE rank <= {TOP}
+"""
+
 
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_katz": op2_katz,
+    "op3_topk": op3_topk,
     "op4_quality": op4_quality,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_toxicity": op6_toxicity,
@@ -178,5 +200,6 @@ QUERIES = {
 
 ORACLE = {
     "op1_pii": _op1_sql(),
+    "op3_topk": OP3_SQL,
     "op10_line_dedup": OP10_SQL,
 }
