@@ -67,22 +67,9 @@ def _dataset_plan(name: str, sales: Mapping[str, DataFrame], catalog: Mapping[st
                                  **transaction_kw)
 
 
-def build_datasets(sales: Mapping[str, DataFrame], catalog: Mapping[str, DataFrame],
-                   transactions: Mapping[str, DataFrame], **transaction_kw) -> dict[str, DataFrame]:
-    """The three dataset plans from their role frames (lazy)."""
-    return {n: _dataset_plan(n, sales, catalog, transactions, **transaction_kw)
-            for n in DATASETS}
-
-
-def build_marts(sales_lines: DataFrame, catalog: DataFrame,
-                transactions: DataFrame) -> dict[str, DataFrame]:
-    by_dataset = {"sales_lines": sales_lines, "catalog": catalog, "transactions": transactions}
-    return {m: MART_FUNCTIONS[m](by_dataset[MART_SOURCE[m]]) for m in MARTS}
-
-
 def refresh(spark: SparkSession, sales: Mapping[str, DataFrame],
             catalog: Mapping[str, DataFrame], transactions: Mapping[str, DataFrame],
-            target: Target, only: Sequence[str] | None = None,
+            target: Target, only: Sequence[str] | None = None, report_order: bool = False,
             **transaction_kw) -> dict[str, str]:
     """Publish datasets, then marts from the published datasets.
 
@@ -92,8 +79,16 @@ def refresh(spark: SparkSession, sales: Mapping[str, DataFrame],
     aggregates the dataset as last published.  Role tables that the chosen
     outputs do not use are never opened when the role mappings are lazy.
 
-    Returns ``{name: path or table}`` for the outputs written.
+    ``report_order`` stores each output sorted as its report is; the files
+    then are in this order, one after another.
+
+    Returns ``{name: path or table}`` for the outputs written.  Each output is
+    replaced as a whole or not at all (see ``publish``).
     """
+    def arranged(name: str, df: DataFrame) -> DataFrame:
+        return marts.ordered(name, df) if report_order else df
+
+
     wanted = list(only) if only else [*DATASETS, *MARTS]
     unknown = set(wanted) - set(DATASETS) - set(MARTS)
     if unknown:
@@ -102,7 +97,7 @@ def refresh(spark: SparkSession, sales: Mapping[str, DataFrame],
     for name in DATASETS:
         if name in wanted:
             plan = _dataset_plan(name, sales, catalog, transactions, **transaction_kw)
-            written[name] = publish(plan, fmt=target.fmt, **target.location(name))
+            written[name] = publish(arranged(name, plan), fmt=target.fmt, **target.location(name))
     pending = [m for m in MARTS if m in wanted]
     if {"daily_revenue", "artist_revenue"} <= set(pending):
         # Both marts of the line dataset from one scan of it.  The combined
@@ -114,14 +109,17 @@ def refresh(spark: SparkSession, sales: Mapping[str, DataFrame],
         publish(marts.sales_line_totals(lines), fmt=target.fmt,
                 **target.location(LINE_TOTALS))
         totals = read_published(spark, fmt=target.fmt, **target.location(LINE_TOTALS))
-        daily, artist = marts.split_sales_line_totals(totals)
-        written["daily_revenue"] = publish(daily, fmt=target.fmt,
+        daily, artist = marts.split_sales_line_totals(totals, report_order)
+        written["daily_revenue"] = publish(arranged("daily_revenue", daily), fmt=target.fmt,
                                            **target.location("daily_revenue"))
         written["artist_revenue"] = publish(artist, fmt=target.fmt,
                                             **target.location("artist_revenue"))
         pending = [m for m in pending if m not in ("daily_revenue", "artist_revenue")]
     for name in pending:
         stored = read_published(spark, fmt=target.fmt, **target.location(MART_SOURCE[name]))
-        written[name] = publish(MART_FUNCTIONS[name](stored), fmt=target.fmt,
-                                **target.location(name))
+        if report_order and name == "artist_revenue":  # its order needs the unrounded sum
+            mart = marts.ordered_artist_revenue(stored)
+        else:
+            mart = arranged(name, MART_FUNCTIONS[name](stored))
+        written[name] = publish(mart, fmt=target.fmt, **target.location(name))
     return {n: written[n] for n in [*DATASETS, *MARTS] if n in written}

@@ -53,9 +53,14 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
 
     ``DataFrame.to`` only allows safe casts, so a wrong source type (for
     example a string where a number is declared) raises at analysis time
-    instead of loading bad rows; a missing column raises too.  Column
-    metadata a source attached (JDBC adds some) is replaced by the declared
+    instead of loading bad rows.  A declared column that is missing raises
+    (``to`` alone would fill in nulls); columns beyond the declared ones are
+    left out.  Column metadata a source attached (JDBC adds some) is replaced by the declared
     one, so the result has exactly the declared schema.
     """
+    there = {c.lower() for c in df.columns}
+    missing = [f.name for f in schema if f.name.lower() not in there]
+    if missing:
+        raise ValueError(f"missing columns: {', '.join(missing)}")
     shaped = df.to(schema)
     return shaped.select(*[F.col(f.name).alias(f.name, metadata=f.metadata) for f in schema])

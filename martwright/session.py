@@ -33,20 +33,6 @@ DEFAULT_SQL_CONF: dict[str, str] = {
     "spark.sql.parquet.filterPushdown": "true",
 }
 
-# On a cluster (any master but local[...]):
-# * a high starting shuffle width: AQE coalesces small stages down to the
-#   advisory size but cannot widen a stage, so the start must fit the largest
-#   shuffle (see ``partitions_for``);
-# * a broadcast bound that fits executor memory rather than a laptop: a
-#   dimension of tens of millions of keys is broadcast instead of shuffling
-#   the fact table.  Plan-time estimates come from parquet file sizes, which
-#   are compressed, so they are scaled by 3 to bound the in-memory size.
-CLUSTER_SQL_CONF: dict[str, str] = {
-    "spark.sql.shuffle.partitions": "8192",
-    "spark.sql.autoBroadcastJoinThreshold": "256m",
-    "spark.sql.sources.fileCompressionFactor": "3.0",
-}
-
 # Core settings for cluster runs.  Only the launcher can set them (they are
 # fixed when the application starts), so they are passed to spark-submit,
 # see ``submit_conf_args``:
@@ -60,6 +46,13 @@ CLUSTER_SUBMIT_CONF: dict[str, str] = {
     "spark.storage.decommission.rddBlocks.enabled": "true",
     "spark.task.maxFailures": "8",
     "spark.stage.maxConsecutiveAttempts": "8",
+    # a high starting width: AQE joins small partitions but can't widen a
+    # stage, so the start must fit the largest shuffle (about its bytes
+    # divided by 256 MB); broadcast sides are bounded for executors' memory
+    # and estimated from compressed files
+    "spark.sql.shuffle.partitions": "8192",
+    "spark.sql.autoBroadcastJoinThreshold": "256m",
+    "spark.sql.sources.fileCompressionFactor": "3.0",
 }
 
 # Local runs (tests, benchmarks): no web UI, no progress bar.
@@ -68,17 +61,6 @@ LOCAL_CONF: dict[str, str] = {
     "spark.ui.showConsoleProgress": "false",
 }
 
-TARGET_SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
-
-
-def partitions_for(shuffled_bytes: int, target_bytes: int = TARGET_SHUFFLE_PARTITION_BYTES,
-                   floor: int = 200, ceiling: int = 200_000) -> int:
-    """Shuffle partitions so the largest shuffle lands near ``target_bytes``
-    per reduce task, e.g. about 80,000 for 20 TB shuffled."""
-    need = -(-int(shuffled_bytes) // int(target_bytes))
-    return max(floor, min(ceiling, need))
-
-
 def submit_conf_args(conf: dict[str, str] | None = None) -> list[str]:
     """``--conf k=v`` arguments for spark-submit (the cluster core settings)."""
     out: list[str] = []
@@ -111,10 +93,7 @@ def build_session(
     spark.sparkContext.setLogLevel("WARN")
 
     deployed = spark.sparkContext.getConf()
-    defaults = dict(DEFAULT_SQL_CONF)
-    if not spark.sparkContext.master.startswith("local"):
-        defaults.update(CLUSTER_SQL_CONF)
-    for key, value in defaults.items():
+    for key, value in DEFAULT_SQL_CONF.items():
         if not deployed.contains(key) and key not in (extra_conf or {}):
             spark.conf.set(key, value)
     if shuffle_partitions is not None:

@@ -1,22 +1,21 @@
 """Full-replace publishing.
 
-``publish`` writes a DataFrame with ``mode("overwrite")``: the target holds
-exactly this result afterwards, as the warehouse's truncate-and-load did.  The
-write is distributed (every task writes its own files) and blocking; rows
-never pass through the driver.  Task retries after a lost executor are
-handled by Spark's commit protocol.
-
-Caveat kept from the plain file formats: an overwrite of a parquet folder or a
-catalog table is not one atomic switch, so a job that dies half-way leaves a
-partial target (re-running the job repairs it).  Spark itself refuses to
-overwrite a path the same query reads from.
+``publish`` leaves the target holding exactly this result, as the warehouse's
+truncate-and-load did, but writes the new version beside the old one first and
+swaps the two by renaming only when it is complete.  A write that fails leaves
+the old table as it was.  The write is distributed (every task writes its own
+files) and rows never pass through the driver.
+
+The swap is two renames (old aside, new in place), undone if the second fails;
+a reader that opens the table between them finds none and has to try again.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def publish(df: DataFrame, *, path: str | None = None, table: str | None = None,
@@ -25,13 +24,49 @@ def publish(df: DataFrame, *, path: str | None = None, table: str | None = None,
     """Replace ``path`` or catalog ``table`` with ``df``; returns the target."""
     if (path is None) == (table is None):
         raise ValueError("give exactly one of path= or table=")
-    writer = df.write.mode("overwrite").format(fmt)
+    writer = df.write.format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if options:
         writer = writer.options(**options)
+    version = uuid.uuid4().hex
     if table is not None:
-        writer.saveAsTable(table)
+        writer.saveAsTable(f"{table}__new_{version}")
+        _swap_table(df.sparkSession, table, version)
         return table
-    writer.save(path)
+    target = path.rstrip("/")
+    writer.save(f"{target}__new_{version}")
+    _swap_path(df.sparkSession, target, version)
     return path
+
+
+def _swap_path(spark: SparkSession, target: str, version: str) -> None:
+    jvm = spark.sparkContext._jvm
+    at, new, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (
+        target, f"{target}__new_{version}", f"{target}__old_{version}"))
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    there = fs.exists(at)
+    if there and not fs.rename(at, old):
+        raise OSError(f"{target} can't be set aside; the new version is {new}")
+    if not fs.rename(new, at):
+        if there:
+            fs.rename(old, at)
+        raise OSError(f"{new} can't be put in place of {target}")
+    if there:
+        fs.delete(old, True)
+    spark.catalog.refreshByPath(target)
+
+
+def _swap_table(spark: SparkSession, table: str, version: str) -> None:
+    new, old = f"{table}__new_{version}", f"{table}__old_{version}"
+    there = spark.catalog.tableExists(table)
+    if there:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    except Exception:
+        if there:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+        raise
+    if there:
+        spark.sql(f"DROP TABLE {old}")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterable, Iterator, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 # The driver's test tables, one parquet file (or folder) each.
@@ -15,11 +15,17 @@ TEST_TABLES = (
 
 
 def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
-    """Read ``{base_dir}/{name}.parquet`` (file or folder), else ``{base_dir}/{name}``."""
-    path = os.path.join(base_dir, f"{name}.parquet")
-    if not os.path.exists(path) and "://" not in base_dir:
-        path = os.path.join(base_dir, name)
-    return spark.read.parquet(path)
+    """Read ``{base_dir}/{name}.parquet`` (file or folder), else ``{base_dir}/{name}``.
+
+    Spark looks for the path, so any file system it knows will do.
+    """
+    path = f"{base_dir.rstrip('/')}/{name}"
+    try:
+        return spark.read.parquet(f"{path}.parquet")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.read.parquet(path)
 
 
 class TableSet(Mapping[str, DataFrame]):

@@ -1,6 +1,5 @@
-"""Structured Streaming: refresh the daily revenue mart as invoice lines arrive."""
+"""Structured Streaming: refresh the daily revenue mart as files arrive."""
 
-from martwright.streaming.daily_revenue import (daily_revenue_stream, read_landing,
-                                                start_daily_revenue)
+from martwright.streaming.daily_revenue import read_landing, start_daily_revenue
 
-__all__ = ["daily_revenue_stream", "read_landing", "start_daily_revenue"]
+__all__ = ["read_landing", "start_daily_revenue"]

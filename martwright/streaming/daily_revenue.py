@@ -1,36 +1,36 @@
 """Refresh-on-arrival for the daily revenue mart (Structured Streaming).
 
-The batch job re-reads everything on a clock.  Here new invoice-line files in
-a landing folder are the trigger: each micro-batch joins only the *new* lines
-to the (static) track chain and invoices, adds them to per-day running sums
-held in the state store, and republishes the whole mart (complete mode,
-full replace through ``foreachBatch``).  The state holds one row per day, so
-it stays small however many lines arrive.
-
-Cost per trigger: the new lines are joined to the invoice table, which is
-read again for every micro-batch (Spark's runtime Bloom filter built from
-the batch's invoice keys prunes what gets shuffled, not what gets scanned).
-Choose the trigger interval accordingly: minutes for a small invoice table,
-the source cadence (hours) for a large one.  The state itself stays one row
-per day.
-
-Progress and state live under a checkpoint location in the shared
+The batch job re-reads everything on a clock.  Here new files in landing
+folders are the trigger: whenever lines, or any other role whose folder is
+watched, have arrived, the mart is computed by the batch plan from all that is
+there now and replaced as a whole.  Nothing is carried from one trigger to the
+next but which files have been seen, so an invoice or a track that arrives
+after its lines corrects the mart, and the result always equals the batch
+mart.
+
+Cost per trigger: one batch refresh of the mart.  Choose the trigger interval
+accordingly.
+
+The list of files seen lives under a checkpoint location in the shared
 checkpoint folder (``spark.checkpoint.dir``), so a restarted query resumes
-where it stopped and a lost executor only repeats its micro-batch.
+where it stopped and a lost executor only repeats its tasks.
 """
 
 from __future__ import annotations
 
 import posixpath
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from martwright.plans import datasets, marts
+from martwright.plans import marts
 from martwright.session import checkpoint_dir
 from martwright.sinks import publish
 
+ROLES = ("artist", "album", "track", "invoice_line", "invoice")
+
 
 def read_landing(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet",
                  max_files_per_trigger: int | None = None) -> DataFrame:
@@ -41,33 +41,35 @@ def read_landing(spark: SparkSession, path: str, schema: StructType, fmt: str =
     return reader.load(path)
 
 
-def daily_revenue_stream(lines: DataFrame, artist: DataFrame, album: DataFrame,
-                         track: DataFrame, invoice: DataFrame) -> DataFrame:
-    """The daily revenue mart over a *streaming* invoice-line frame.
+def start_daily_revenue(spark: SparkSession, role: Callable[[str], DataFrame],
+                        landing: Mapping[str, tuple[str, StructType]],
+                        target_path: str, checkpoint_location: str | None = None,
+                        processing_time: str | None = None, available_now: bool = False,
+                        max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Start the query; each trigger replaces ``target_path`` with the full mart.
 
-    Same rules as the batch mart: the stream-static joins are the dataset's
-    joins (inner to the track chain, left outer to the invoice).
+    ``landing``: folder and schema of each role that arrives as files (lines
+    at least); ``role`` opens the other roles and is called anew at each trigger.
     """
-    lines_ds = datasets.sales_lines(artist, album, track, lines, invoice)
-    return marts.daily_revenue(lines_ds)
-
-
-def start_daily_revenue(spark: SparkSession, lines: DataFrame, artist: DataFrame,
-                        album: DataFrame, track: DataFrame, invoice: DataFrame,
-                        target_path: str, checkpoint_location: str | None = None,
-                        processing_time: str | None = None,
-                        available_now: bool = False) -> StreamingQuery:
-    """Start the query; each trigger replaces ``target_path`` with the full mart."""
-    mart = daily_revenue_stream(lines, artist, album, track, invoice)
     if checkpoint_location is None:
         checkpoint_location = posixpath.join(checkpoint_dir(spark), "streams", "daily_revenue")
-
-    def _replace(batch: DataFrame, _epoch: int) -> None:
-        publish(batch, path=target_path)
-
-    writer = (mart.writeStream.outputMode("complete")
-              .option("checkpointLocation", checkpoint_location)
-              .foreachBatch(_replace))
+    arrivals = None
+    for name, (path, schema) in landing.items():
+        seen = read_landing(spark, path, schema, max_files_per_trigger=max_files_per_trigger).select(
+            F.lit(name).alias("role"))
+        arrivals = seen if arrivals is None else arrivals.union(seen)
+
+    def now(name: str) -> DataFrame:
+        if name in landing:
+            path, schema = landing[name]
+            return spark.read.schema(schema).parquet(path)
+        return role(name)
+
+    def replace(batch: DataFrame, _epoch: int) -> None:
+        if not batch.isEmpty():
+            publish(marts.daily_revenue_from_sources(*map(now, ROLES)), path=target_path)
+
+    writer = arrivals.writeStream.option("checkpointLocation", checkpoint_location).foreachBatch(replace)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:

@@ -6,6 +6,7 @@ import os
 import uuid
 
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -29,6 +30,36 @@ def test_publish_replaces(spark, scratch):
     assert read_published(spark, path=path).count() == 3
 
 
+def test_a_failing_write_leaves_the_old_table(spark, scratch):
+    path, name = os.path.join(scratch, "t"), f"mw_t_{uuid.uuid4().hex[:8]}"
+    bad = spark.range(5).select(F.when(F.col("id") == 3, F.raise_error(F.lit("no"))).otherwise(F.col("id")).alias("id"))
+    for target in ({"path": path}, {"table": name}):
+        publish(spark.range(4), **target)
+        with pytest.raises(Exception, match="no"):
+            publish(bad, **target)
+        assert read_published(spark, **target).count() == 4
+        publish(spark.range(2), **target)
+        assert read_published(spark, **target).count() == 2
+
+
+def test_conform_is_strict(spark):
+    from martwright.plans.schemas import SALES_LINES, conform
+
+    with pytest.raises(ValueError, match="song_title"):
+        conform(spark.createDataFrame([(1,)], "artist_id bigint"), SALES_LINES)
+    columns = ", ".join(f"cast(null as {f.dataType.simpleString()}) as {f.name}" for f in SALES_LINES)
+    wide = spark.sql(f"select {columns}, 1 as extra")
+    assert conform(wide, SALES_LINES).schema == SALES_LINES  # others are left out
+
+
+def test_tables_with_and_without_suffix(spark, scratch):
+    spark.range(3).write.parquet(os.path.join(scratch, "a.parquet"))
+    spark.range(2).write.parquet(os.path.join(scratch, "b"))
+    for base in (scratch, f"file://{scratch}"):
+        t = read_parquet_tables(spark, base, ["a", "b"])
+        assert (t["a"].count(), t["b"].count()) == (3, 2)
+
+
 def test_publish_table_replaces(spark):
     name = f"mw_t_{uuid.uuid4().hex[:8]}"
     publish(spark.range(10), table=name)
@@ -95,7 +126,7 @@ def test_jdbc_partitioned_read(spark):
 
 
 def test_streaming_daily_revenue_matches_batch(spark, scratch):
-    from martwright.streaming import read_landing, start_daily_revenue
+    from martwright.streaming import start_daily_revenue
 
     t = read_parquet_tables(spark, SF_SMALL)
     s = sales_roles(t)
@@ -104,13 +135,23 @@ def test_streaming_daily_revenue_matches_batch(spark, scratch):
     # two arrivals of line files
     lines.where(F.col("invoice_id") % 2 == 0).write.parquet(os.path.join(landing, "a"))
     lines.where(F.col("invoice_id") % 2 == 1).write.parquet(os.path.join(landing, "b"))
-    stream = read_landing(spark, os.path.join(landing, "*"), lines.schema)
+    # half the invoices are there at first, the others arrive after their lines
+    invoices, spot = s["invoice"], os.path.join(scratch, "invoices")
+    invoices.where(F.col("invoice_id") % 3 == 0).write.parquet(os.path.join(spot, "a"))
     target = os.path.join(scratch, "daily")
-    q = start_daily_revenue(spark, stream, s["artist"], s["album"], s["track"], s["invoice"],
-                            target_path=target,
-                            checkpoint_location=os.path.join(scratch, "ckpt"),
-                            available_now=True)
-    q.awaitTermination(300)
+
+    def run():
+        q = start_daily_revenue(
+            spark, s.__getitem__,
+            {"invoice_line": (os.path.join(landing, "*"), lines.schema),
+             "invoice": (os.path.join(spot, "*"), invoices.schema)},
+            target_path=target, checkpoint_location=os.path.join(scratch, "ckpt"), available_now=True)
+        q.awaitTermination(300)
+
+    run()
+    assert read_published(spark, path=target).where("invoice_date is null").count() == 1
+    invoices.where(F.col("invoice_id") % 3 != 0).write.parquet(os.path.join(spot, "b"))
+    run()
     batch = marts.daily_revenue(datasets.sales_lines(s["artist"], s["album"], s["track"],
                                                      lines, s["invoice"]))
     got = read_published(spark, path=target)
@@ -171,6 +212,41 @@ def test_refresh_job_cli_over_jdbc(spark, scratch):
     assert read_published(spark, path=written["sales_lines"]).schema == DATASET_SCHEMAS["sales_lines"]
 
 
+def test_refresh_job_cli_with_other_names(spark, scratch):
+    """A database with quoted, mixed-case names, mapped by a file."""
+    import json
+
+    from martwright.jobs import main
+
+    t = read_parquet_tables(spark, SF_SMALL)
+    x = transaction_roles(t)
+    url = f"jdbc:derby:memory:mwnames{uuid.uuid4().hex[:8]};create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    names = {}
+    for role in ("track", "invoice_line", "invoice", "customer"):
+        own = {c: "".join(p.title() for p in c.split("_")) for c in x[role].columns}
+        table = '"' + "".join(p.title() for p in role.split("_")) + '"'
+        x[role].toDF(*own.values()).write.format("jdbc").options(
+            url=url, dbtable=table, **props).mode("overwrite").save()
+        names[role] = {"table": table, "columns": own}
+    files = {}
+    for name, value in (("props", props), ("names", names)):
+        files[name] = os.path.join(scratch, f"{name}.json")
+        with open(files[name], "w", encoding="utf-8") as fh:
+            json.dump(value, fh)
+    command = ["refresh", "--jdbc-url", url, "--jdbc-props", files["props"], "--names", files["names"],
+               "--target-path", os.path.join(scratch, "out"), "--only", "transactions,visit_frequency"]
+    with pytest.raises(SystemExit):
+        main(command, spark=spark)  # the number of slices has to be given
+    written = main([*command, "--partitions", "2", "--report-order"], spark=spark)
+    direct = datasets.transactions(x["track"], x["invoice_line"], x["invoice"], x["customer"])
+    got = read_published(spark, path=written["transactions"])
+    assert got.schema == DATASET_SCHEMAS["transactions"]
+    assert got.count() == direct.count()
+    assert _multiset(read_published(spark, path=written["visit_frequency"])) == \
+        _multiset(marts.visit_frequency(direct))
+
+
 def test_stream_job_cli(spark, scratch):
     from martwright.jobs import main
 
@@ -195,7 +271,7 @@ def test_submit_flags():
     from martwright.jobs import main
 
     flags = main(["submit-flags"]).split()
-    assert flags.count("--conf") == 6
+    assert flags.count("--conf") == 9
     assert "spark.decommission.enabled=true" in flags
 
 
