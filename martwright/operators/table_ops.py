@@ -98,7 +98,7 @@ def take_until(df: DataFrame, key: str, order_cols: Sequence[str], stop: Column)
 
 
 def neighbour_diff(df: DataFrame, key: str, ts_col: str, tie_col: str, value_col: str,
-                   chunk_unit: str = "day", prev_name: str = "prev_value",
+                   chunk_unit: str = "hour", prev_name: str = "prev_value",
                    diff_name: str = "diff") -> DataFrame:
     """``U(n) - U(n-1)`` within each key, ordered by (ts, tie).
 
@@ -111,24 +111,25 @@ def neighbour_diff(df: DataFrame, key: str, ts_col: str, tie_col: str, value_col
        chunk the last value of the key's previous non-empty chunk;
     3. a join on (key, chunk) fills the first row of each chunk.
 
-    ``(ts, tie)`` must order the rows of a key totally.
+    ``(ts, tie)`` must order the rows of a key totally.  The key is wrapped in
+    a struct, which is never null itself, so windows, aggregate and join use
+    the same plain keys and the rows are shuffled once.
     """
     v = F.col(value_col)
     chunk = F.date_trunc(chunk_unit, F.col(ts_col))
-    base = df.withColumn("_chunk", chunk)
-    w_in = Window.partitionBy(key, "_chunk").orderBy(ts_col, tie_col)
+    base = df.withColumn("_chunk", F.struct(chunk.alias("at"))).withColumn("_key", F.struct(F.col(key).alias("k")))
+    w_in = Window.partitionBy("_key", "_chunk").orderBy(ts_col, tie_col)
     d = (base.withColumn("_prev_in", F.lag(v).over(w_in))
              .withColumn("_rn", F.row_number().over(w_in)))
-    tails = (base.groupBy(key, "_chunk")
+    tails = (base.groupBy("_key", "_chunk")
              .agg(F.max_by(v, F.struct(F.col(ts_col), F.col(tie_col))).alias("_last")))
-    w_chunks = Window.partitionBy(key).orderBy("_chunk")
+    w_chunks = Window.partitionBy("_key").orderBy("_chunk")
     tails = (tails.withColumn("_prev_chunk_last", F.lag("_last").over(w_chunks))
-             .select(F.col(key).alias("_tail_key"), F.col("_chunk").alias("_tail_chunk"),
+             .select(F.col("_key").alias("_tail_key"), F.col("_chunk").alias("_tail_chunk"),
                      "_prev_chunk_last"))
-    # null-safe key match: a null key is one group, as in the windows above
-    out = d.join(tails, F.col(key).eqNullSafe(F.col("_tail_key"))
+    out = d.join(tails, (F.col("_key") == F.col("_tail_key"))
                  & (F.col("_chunk") == F.col("_tail_chunk")), "left")
     prev = F.when(F.col("_rn") == 1, F.col("_prev_chunk_last")).otherwise(F.col("_prev_in"))
     return (out.withColumn(prev_name, prev)
             .withColumn(diff_name, v - F.col(prev_name))
-            .drop("_chunk", "_prev_in", "_rn", "_tail_key", "_tail_chunk", "_prev_chunk_last"))
+            .drop("_key", "_chunk", "_prev_in", "_rn", "_tail_key", "_tail_chunk", "_prev_chunk_last"))

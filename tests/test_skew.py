@@ -116,3 +116,37 @@ def test_hot_invoice_join_is_split_by_aqe(hot):
     assert "isFinalPlan=true" in plan
     assert "SortMergeJoin" in plan
     assert "isSkewJoin=true" in plan or "skew=true" in plan
+
+
+def _rows_by_task(df):
+    from pyspark.sql import functions as F
+
+    return df.withColumn("task", F.spark_partition_id())
+
+
+def test_report_sort_splits_a_hot_artist(spark, hot):
+    sl = datasets.sales_lines(hot["artist"], hot["album"], hot["track"], hot["line"], hot["invoice"])
+    tasks = _rows_by_task(marts.ordered("sales_lines", sl)).where("artist_name = 'artist0'").select("task").distinct()
+    assert tasks.count() > 1
+    tx = datasets.transactions(hot["track"], hot["line"], hot["invoice"], hot["customer"])
+    # one invoice of one customer: the third key splits it
+    tasks = _rows_by_task(marts.ordered("transactions", tx)).where("invoice_id = 77").select("task").distinct()
+    assert tasks.count() > 1
+
+
+def test_neighbour_diff_splits_a_hot_day_and_shuffles_rows_once(spark, skew_conf):
+    from pyspark.sql import functions as F
+
+    from martwright.operators import neighbour_diff
+
+    rows = spark.range(20000).select(
+        F.col("id").alias("event_id"), F.when(F.col("id") % 3 != 0, 1).otherwise(F.col("id") % 50).alias("user_id"),
+        (F.lit("2024-01-05 00:00:00").cast("timestamp_ntz")
+         + F.make_dt_interval(secs=(F.col("id") * 4 % 86400).cast("decimal(18,6)"))).alias("ts"),
+        (F.col("id") % 17).cast("double").alias("value"))
+    out = neighbour_diff(rows, "user_id", "ts", "event_id", "value")
+    assert _rows_by_task(out).where("user_id = 1").select("task").distinct().count() > 1
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # the rows once, the chunks' last values twice and for the join
+    assert plan.count("Exchange hashpartitioning") == 4
+    assert out.count() == 20000
