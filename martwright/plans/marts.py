@@ -73,11 +73,15 @@ def sales_line_totals(sales_lines: DataFrame) -> DataFrame:
             .agg(F.sum("total_price").alias(_RAW_REVENUE), F.grouping_id().alias(_SET)))
 
 
-def split_sales_line_totals(totals: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(daily_revenue, artist_revenue) from :func:`sales_line_totals`."""
+def split_sales_line_totals(totals: DataFrame, ordered_report: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(daily_revenue, artist_revenue) from :func:`sales_line_totals`; with
+    ``ordered_report`` the artists are in report order."""
     daily = (totals.where(F.col(_SET) == 1)
              .select("invoice_date", money_round(_RAW_REVENUE).alias("total_revenue")))
-    artist = (totals.where(F.col(_SET) == 2)
+    artists = totals.where(F.col(_SET) == 2)
+    if ordered_report:
+        artists = artists.orderBy(F.col(_RAW_REVENUE).desc_nulls_first())
+    artist = (artists
               .select("artist_name", money_round(_RAW_REVENUE).alias("total_revenue")))
     return daily, artist
 
@@ -122,23 +126,25 @@ def daily_revenue_from_sources(artist: DataFrame, album: DataFrame, track: DataF
 
 
 def artist_revenue_from_sources(artist: DataFrame, album: DataFrame, track: DataFrame,
-                                invoice_line: DataFrame, invoice: DataFrame | None = None,
+                                invoice_line: DataFrame, invoice: DataFrame,
+                                invoice_id_is_key: bool = False,
                                 ordered_report: bool = False) -> DataFrame:
     """Q6 from the sources.
 
-    In the line dataset the invoice join only adds the date, which this mart
-    does not use.  When the invoice id is the invoice table's key (it is in
-    the source schema) that join changes no row, so by default
-    (``invoice=None``) it is left out -- the same rule that drops the unused
-    album join of Q3 -- which saves a shuffle of the whole line table.
+    Lines are summed per (invoice, artist) before the invoice join, so the
+    join sees a row for each invoice and artist instead of one for each line.
+    Exact for any invoice table: a repeated invoice row repeats the sums as it
+    would repeat the lines.
 
-    Pass ``invoice`` when its ids are not known to be unique: the lines are
-    then joined to it as in the dataset, so a repeated invoice row repeats
-    its lines exactly as the source query does.
+    The join only adds a date that this mart does not use.  A caller who
+    knows that invoice ids don't repeat may say so with
+    ``invoice_id_is_key``; the join changes no row then and is left out.
     """
     lines = datasets.artist_lines(artist, album, track, invoice_line)
-    if invoice is not None:
-        lines = lines.join(invoice.select("invoice_id"), "invoice_id", "left")
+    if not invoice_id_is_key:
+        lines = (lines.groupBy("invoice_id", "artist_name")
+                 .agg(F.sum("total_price").alias("total_price"))
+                 .join(invoice.select("invoice_id"), "invoice_id", "left"))
     return ordered_artist_revenue(lines) if ordered_report else artist_revenue(lines)
 
 
@@ -147,8 +153,8 @@ def artist_productivity_from_sources(artist: DataFrame, album: DataFrame, track:
     """Q5 from the sources, with tracks counted per (album, genre) first.
 
     Tracks are reduced to one count per (album id, genre id) in the map
-    tasks before any join, so the album, artist and genre joins see groups,
-    not tracks.  Exact for any dimension tables: a join match repeats a
+    tasks before any join, and to one per (artist name, genre id) before the
+    genre join, so the joins see groups, not tracks.  Exact for any dimension tables: a join match repeats a
     group's count exactly as it would repeat each of its tracks.  Unknown or
     null genres keep their group with a count of 0, as ``count(genre_name)``
     does.
@@ -160,6 +166,7 @@ def artist_productivity_from_sources(artist: DataFrame, album: DataFrame, track:
     joined = (counted
               .join(album.select("album_id", "artist_id"), "album_id")
               .join(artist.select("artist_id", F.col("name").alias("artist_name")), "artist_id")
+              .groupBy("artist_name", "track_genre_id").agg(F.sum("_n").alias("_n"))
               .join(genres, F.col("track_genre_id") == F.col("genre_id"), "left"))
     return (joined.groupBy("artist_name", "genre_name")
             .agg(F.sum(F.when(F.col("genre_name").isNotNull(), F.col("_n"))
@@ -199,11 +206,14 @@ def ordered(name: str, df: DataFrame) -> DataFrame:
     """Apply the source query's ORDER BY to a dataset or mart by name."""
     c = F.col
     if name == "sales_lines":
-        return df.orderBy(c("artist_id").asc_nulls_last())
+        # the source leaves ties open; with more keys the range boundaries can
+        # split the rows of one artist (or customer) over many tasks
+        return df.orderBy(*[c(k).asc_nulls_last() for k in
+                            ("artist_id", "invoice_id", "invoice_line_id", "track_id")])
     if name == "catalog":
         return df.orderBy(c("artist_id").asc_nulls_last(), c("track_id").asc_nulls_last())
     if name == "transactions":
-        return df.orderBy(c("customer_id").asc_nulls_last())
+        return df.orderBy(*[c(k).asc_nulls_last() for k in ("customer_id", "invoice_id", "track_id")])
     if name == "daily_revenue":
         return df.orderBy(c("invoice_date").asc_nulls_first())
     if name == "artist_productivity":

@@ -1,9 +1,7 @@
-"""Shared table readers for the registered queries.
+"""Table readers for the registered queries.
 
-Opening a parquet table infers its schema (a footer read, one small Spark
-job).  The registered queries all read the same folder, so one lazily-opened
-:class:`~martwright.sources.tables.TableSet` per (session, folder) is kept
-and shared; the file listing is taken once per table.
+Each call opens the folder anew: a replaced folder is read as it is now.  A
+:class:`~martwright.sources.tables.TableSet` opens a table when it is first used.
 """
 
 from __future__ import annotations
@@ -14,33 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martwright.sources.tables import TableSet, read_parquet_tables
 
-_SETS: dict[tuple[int, str], TableSet] = {}
-
 
 def tables(spark: SparkSession, sf_dir: str) -> TableSet:
-    key = (id(spark), sf_dir)
-    ts = _SETS.get(key)
-    if ts is None:
-        ts = _SETS[key] = read_parquet_tables(spark, sf_dir)
-    return ts
+    return read_parquet_tables(spark, sf_dir)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tables(spark, sf_dir)[name]
 
 
-_ROLES: dict[tuple[int, str, str], dict[str, DataFrame]] = {}
-
-
-def roles(spark: SparkSession, sf_dir: str, which: str,
+def roles(spark: SparkSession, sf_dir: str,
           stage: Callable[[TableSet], dict[str, DataFrame]]) -> dict[str, DataFrame]:
-    """Staged role frames, built once per (session, folder, staging).
-
-    DataFrames are immutable lazy plans, so sharing them between queries only
-    saves the repeated plan analysis, like building them once in a job.
-    """
-    key = (id(spark), sf_dir, which)
-    got = _ROLES.get(key)
-    if got is None:
-        got = _ROLES[key] = stage(tables(spark, sf_dir))
-    return got
+    """Staged role frames."""
+    return stage(tables(spark, sf_dir))

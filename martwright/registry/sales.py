@@ -8,14 +8,14 @@ the inner-join rewrite of the Spark side as well as the values.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from martwright.plans import datasets, marts
+from martwright.plans.schemas import name_by_position
 from martwright.registry._inputs import roles as _shared_roles
 from martwright.registry._inputs import tables as _shared_tables
 from martwright.sources import catalog_roles, sales_roles, transaction_roles
-from martwright.sources.staging import (TEST_ADDRESS_REPAIR, TEST_LAST_NAME_REPAIR,
-                                        WITHHELD_GENRE_ID)
+from martwright.sources.staging import TEST_ADDRESS_REPAIR, TEST_LAST_NAME_REPAIR
 
 
 def _tables(spark: SparkSession, sf_dir: str):
@@ -23,18 +23,18 @@ def _tables(spark: SparkSession, sf_dir: str):
 
 
 def _sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = _shared_roles(spark, sf_dir, "sales", sales_roles)
+    r = _shared_roles(spark, sf_dir, sales_roles)
     return datasets.sales_lines(r["artist"], r["album"], r["track"],
                                 r["invoice_line"], r["invoice"])
 
 
 def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = _shared_roles(spark, sf_dir, "catalog", catalog_roles)
+    r = _shared_roles(spark, sf_dir, catalog_roles)
     return datasets.catalog(r["artist"], r["album"], r["track"], r["genre"])
 
 
 def _transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = _shared_roles(spark, sf_dir, "transactions", transaction_roles)
+    r = _shared_roles(spark, sf_dir, transaction_roles)
     return datasets.transactions(r["track"], r["invoice_line"], r["invoice"], r["customer"],
                                  last_name_repair=TEST_LAST_NAME_REPAIR,
                                  address_repair=TEST_ADDRESS_REPAIR)
@@ -44,29 +44,71 @@ def _transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ``marts.*_from_sources``; the refresh job aggregates the published datasets.
 
 def _daily_revenue(spark, sf_dir):
-    r = _shared_roles(spark, sf_dir, "sales", sales_roles)
+    r = _shared_roles(spark, sf_dir, sales_roles)
     return marts.daily_revenue_from_sources(r["artist"], r["album"], r["track"],
                                             r["invoice_line"], r["invoice"])
 
 
 def _artist_revenue(spark, sf_dir, ordered_report=False):
-    r = _shared_roles(spark, sf_dir, "sales", sales_roles)
+    r = _shared_roles(spark, sf_dir, sales_roles)
     return marts.artist_revenue_from_sources(r["artist"], r["album"], r["track"],
-                                             r["invoice_line"], ordered_report=ordered_report)
+                                             r["invoice_line"], r["invoice"],
+                                             ordered_report=ordered_report)
 
 
 def _artist_productivity(spark, sf_dir):
-    r = _shared_roles(spark, sf_dir, "catalog", catalog_roles)
+    r = _shared_roles(spark, sf_dir, catalog_roles)
     return marts.artist_productivity_from_sources(r["artist"], r["album"], r["track"],
                                                   r["genre"])
 
 
 def _visit_frequency(spark, sf_dir):
-    r = _shared_roles(spark, sf_dir, "transactions", transaction_roles)
+    r = _shared_roles(spark, sf_dir, transaction_roles)
     return marts.visit_frequency_from_sources(r["track"], r["invoice_line"], r["invoice"],
                                               r["customer"])
 
 
+# What the refresh job runs: the marts of the datasets.
+
+def _line_totals(spark, sf_dir):
+    return marts.sales_line_totals(_sales_lines(spark, sf_dir))
+
+
+def _dataset_daily_revenue(spark, sf_dir):
+    return marts.split_sales_line_totals(_line_totals(spark, sf_dir))[0]
+
+
+def _dataset_artist_revenue(spark, sf_dir):
+    return marts.split_sales_line_totals(_line_totals(spark, sf_dir))[1]
+
+
+def _dataset_artist_productivity(spark, sf_dir):
+    return marts.artist_productivity(_catalog(spark, sf_dir))
+
+
+def _dataset_visit_frequency(spark, sf_dir):
+    return marts.visit_frequency(_transactions(spark, sf_dir))
+
+
+def _rounded_line_totals(spark, sf_dir):
+    t = _line_totals(spark, sf_dir)
+    return t.select("invoice_date", "artist_name", F.col("_grouping_set").cast("int").alias("grouping_set"),
+                    F.round("_raw_revenue", 2).alias("total_revenue"))
+
+
+def _single_daily_revenue(spark, sf_dir):
+    return marts.daily_revenue(_sales_lines(spark, sf_dir))
+
+
+def _single_artist_revenue(spark, sf_dir):
+    return marts.artist_revenue(_sales_lines(spark, sf_dir))
+
+
+def _positional_names(spark, sf_dir):
+    return name_by_position(_tables(spark, sf_dir)["nation"].select("n_nationkey", "n_name"),
+                            ["album_id", "title"])
+
+
 def _daily_revenue_events(spark, sf_dir):
     events = _tables(spark, sf_dir)["events"]
     return marts.daily_totals(events, "ts", "value")
@@ -91,28 +133,21 @@ LEFT JOIN orders o   ON l.l_orderkey = o.o_orderkey
 WHERE l.l_orderkey IS NOT NULL
 """
 
-CATALOG_SQL = f"""
-WITH genre AS (
-  SELECT DISTINCT CAST(split_part(o_orderpriority, '-', 1) AS BIGINT) AS genre_id,
-                  split_part(o_orderpriority, '-', 2) AS name
-  FROM orders
-), genre_kept AS (
-  SELECT * FROM genre WHERE genre_id <> {WITHHELD_GENRE_ID}
-)
+CATALOG_SQL = """
 SELECT CAST(n.n_nationkey AS BIGINT) AS artist_id,
        CAST(c.c_custkey AS BIGINT)   AS album_id,
        CAST(o.o_orderkey AS BIGINT)  AS track_id,
-       g.genre_id                    AS genre_id,
+       CAST(g.r_regionkey AS BIGINT) AS genre_id,
        n.n_name          AS artist_name,
        c.c_name          AS album_title,
        o.o_orderstatus   AS song_title,
-       g.name            AS genre_name,
+       g.r_name          AS genre_name,
        CAST(CAST(o.o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS unit_price,
        CAST(CAST(o.o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT) AS bytes
 FROM nation n
 LEFT JOIN customer c    ON n.n_nationkey = c.c_nationkey
 LEFT JOIN orders o      ON c.c_custkey = o.o_custkey
-LEFT JOIN genre_kept g  ON CAST(split_part(o.o_orderpriority, '-', 1) AS BIGINT) = g.genre_id
+LEFT JOIN region g      ON CAST(split_part(o.o_orderpriority, '-', 1) AS BIGINT) = g.r_regionkey
 WHERE o.o_orderkey IS NOT NULL
 """
 
@@ -177,6 +212,14 @@ QUERIES = {
     "artist_revenue": _artist_revenue,
     "visit_frequency": _visit_frequency,
     "daily_revenue_events": _daily_revenue_events,
+    "sales_line_totals": _rounded_line_totals,
+    "dataset_daily_revenue": _dataset_daily_revenue,
+    "dataset_artist_revenue": _dataset_artist_revenue,
+    "dataset_daily_revenue_alone": _single_daily_revenue,
+    "dataset_artist_revenue_alone": _single_artist_revenue,
+    "dataset_artist_productivity": _dataset_artist_productivity,
+    "dataset_visit_frequency": _dataset_visit_frequency,
+    "positional_names": _positional_names,
     "daily_revenue_report": _daily_revenue_report,
     "artist_productivity_report": _artist_productivity_report,
     "artist_revenue_report": _artist_revenue_report,
@@ -217,6 +260,20 @@ FROM events GROUP BY 1
 """,
 }
 
+for _mart in ("daily_revenue", "artist_revenue", "artist_productivity", "visit_frequency"):
+    ORACLE[f"dataset_{_mart}"] = ORACLE[_mart]
+ORACLE["dataset_daily_revenue_alone"] = ORACLE["daily_revenue"]
+ORACLE["dataset_artist_revenue_alone"] = ORACLE["artist_revenue"]
+ORACLE["sales_line_totals"] = f"""
+WITH sl AS ({SALES_LINES_SQL})
+SELECT CAST(invoice_date AS DATE) AS invoice_date, NULL AS artist_name, 1 AS grouping_set,
+       ROUND(SUM(total_price), 2) AS total_revenue
+FROM sl GROUP BY 1
+UNION ALL
+SELECT NULL, artist_name, 2, ROUND(SUM(total_price), 2) FROM sl GROUP BY artist_name
+"""
+ORACLE["positional_names"] = "SELECT n_nationkey AS album_id, n_name AS title FROM nation\n"
+
 # Report orders: the marts' ORDER BY clauses (nulls first, as in the warehouse).
 ORACLE["daily_revenue_report"] = ORACLE["daily_revenue"] + "ORDER BY invoice_date NULLS FIRST\n"
 ORACLE["artist_productivity_report"] = (

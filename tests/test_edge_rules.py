@@ -6,6 +6,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from martwright.plans import datasets, marts
 
@@ -145,7 +146,8 @@ def test_wrong_type_is_refused(spark):
 
     from martwright.plans.schemas import SALES_LINES, conform
 
-    bad = spark.createDataFrame([("x",)], "artist_id string")
+    columns = ", ".join(f"cast(null as {f.dataType.simpleString()}) as {f.name}" for f in SALES_LINES)
+    bad = spark.sql(f"select {columns}").withColumn("artist_id", F.lit("x"))
     with pytest.raises(AnalysisException):
         conform(bad, SALES_LINES)
 
@@ -160,7 +162,7 @@ def test_source_level_marts_equal_dataset_marts(roles):
         r["artist"], r["album"], r["track"], r["line"], r["invoice"])) == \
         _multiset(marts.daily_revenue(_sales(r)))
     assert _multiset(marts.artist_revenue_from_sources(
-        r["artist"], r["album"], r["track"], r["line"])) == \
+        r["artist"], r["album"], r["track"], r["line"], r["invoice"])) == \
         _multiset(marts.artist_revenue(_sales(r)))
     assert _multiset(marts.visit_frequency_from_sources(
         r["track"], r["line"], r["invoice"], r["customer"])) == \
@@ -196,9 +198,10 @@ def test_artist_revenue_invoice_key_rule(roles):
     r = dict(roles)
     r["invoice"] = r["invoice"].unionByName(r["invoice"].where("invoice_id = 1000"))
     exact = marts.artist_revenue_from_sources(r["artist"], r["album"], r["track"], r["line"],
-                                              invoice=r["invoice"])
+                                              r["invoice"])
     assert _multiset(exact) == _multiset(marts.artist_revenue(_sales(r)))
-    shortcut = marts.artist_revenue_from_sources(r["artist"], r["album"], r["track"], r["line"])
+    shortcut = marts.artist_revenue_from_sources(r["artist"], r["album"], r["track"], r["line"],
+                                                 r["invoice"], invoice_id_is_key=True)
     assert _multiset(shortcut) != _multiset(exact)
 
 

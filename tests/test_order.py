@@ -16,9 +16,11 @@ def test_daily_revenue_nulls_first(spark):
 
 
 def test_extract_nulls_last(spark):
-    df = spark.createDataFrame([(None, 1), (2, 2), (1, 3)], "customer_id bigint, x int")
+    df = spark.createDataFrame([(None, 1, 1), (2, 2, 2), (1, None, 3), (1, 3, 4)],
+                               "customer_id bigint, invoice_id bigint, track_id int")
     got = [r.customer_id for r in marts.ordered("transactions", df).collect()]
-    assert got == [1, 2, None]
+    assert got == [1, 1, 2, None]
+    assert [r.track_id for r in marts.ordered("transactions", df).collect()] == [4, 3, 2, 1]
 
 
 def test_catalog_two_keys(spark):
