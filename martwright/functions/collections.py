@@ -44,7 +44,8 @@ def list_get(a: ColumnOrName, index0) -> Column:
 
 
 def list_len(a: ColumnOrName) -> Column:
-    return F.size(_c(a))
+    """``len(a)``; null for a null list."""
+    return F.array_size(_c(a))
 
 
 def list_append(a: ColumnOrName, value) -> Column:
@@ -61,18 +62,19 @@ def list_insert(a: ColumnOrName, index0, value) -> Column:
     """``a.insert(i, v)`` with Python's clamping.
 
     Past the end it appends (Spark alone would pad with nulls); a negative
-    index counts from the end and stops at the front.
+    index counts from the end and stops at the front; a null list or index
+    gives null.
     """
     arr, i = _c(a), _c(index0)
-    n = F.size(arr)
+    n = F.array_size(arr)
     at = F.when(i < 0, F.greatest(n + i, F.lit(0))).otherwise(F.least(i, n))
-    return F.array_insert(arr, at + 1, _c(value))
+    return F.when(i.isNotNull() & arr.isNotNull(), F.array_insert(arr, F.coalesce(at, F.lit(0)) + 1, _c(value)))
 
 
 def list_set(a: ColumnOrName, index0, value) -> Column:
     """``a[i] = v`` (R17); an index out of range leaves the list unchanged."""
     arr, i = _c(a), _c(index0)
-    n = F.size(arr)
+    n = F.array_size(arr)
     k = F.when(i < 0, n + i).otherwise(i)  # 0-based target
     # slices instead of a ``transform`` lambda: slices are code-generated,
     # higher-order functions are interpreted per element
@@ -98,7 +100,7 @@ def list_remove_first(a: ColumnOrName, value) -> Column:
     """
     arr = _c(a)
     p = _first_position(arr, _c(value))
-    n = F.size(arr)
+    n = F.array_size(arr)
     return F.when(p == 0, arr).otherwise(
         F.concat(F.slice(arr, F.lit(1), p - 1), F.slice(arr, p + 1, n - p)))
 
@@ -108,8 +110,8 @@ def list_count(a: ColumnOrName, value) -> Column:
     arr, v = _c(a), _c(value)
     # size minus size-without-v (code-generated); only a null v needs the
     # element-wise filter
-    return F.when(v.isNull(), F.size(F.filter(arr, lambda x: x.isNull()))).otherwise(
-        F.size(arr) - F.size(F.array_remove(arr, v)))
+    return F.when(v.isNull(), F.array_size(F.filter(arr, lambda x: x.isNull()))).otherwise(
+        F.array_size(arr) - F.array_size(F.array_remove(arr, v)))
 
 
 def list_index(a: ColumnOrName, value) -> Column:
@@ -121,7 +123,17 @@ def list_index(a: ColumnOrName, value) -> Column:
 def list_pop(a: ColumnOrName) -> Column:
     """The list after ``a.pop()`` (R18); an empty list stays empty."""
     arr = _c(a)
-    return F.slice(arr, F.lit(1), F.greatest(F.size(arr) - 1, F.lit(0)))
+    return F.slice(arr, F.lit(1), F.greatest(F.array_size(arr) - 1, F.lit(0)))
+
+
+def list_pop_at(a: ColumnOrName, index0) -> Column:
+    """The list after ``a.pop(i)`` (R18); unchanged when ``i`` is out of range.
+    The element it returns is ``list_get(a, i)``."""
+    arr, i = _c(a), _c(index0)
+    n = F.array_size(arr)
+    k = F.when(i < 0, n + i).otherwise(i)  # 0-based
+    rest = F.concat(F.slice(arr, F.lit(1), k), F.slice(arr, k + 2, F.greatest(n - k - 1, F.lit(0))))
+    return F.when((k >= 0) & (k < n), rest).otherwise(arr)
 
 
 def list_last(a: ColumnOrName) -> Column:
@@ -159,15 +171,35 @@ def map_get_strict(m: ColumnOrName, key) -> Column:
 
 
 def map_remove(m: ColumnOrName, key) -> Column:
-    """``del d[k]`` / ``d.pop(k)``."""
+    """``del d[k]`` / ``d.pop(k)`` (R20); no key is null, so a null ``k``
+    changes nothing."""
     k = _c(key)
-    return F.map_filter(_c(m), lambda kk, _v: kk != k)
+    return F.map_filter(_c(m), lambda kk, _v: ~kk.eqNullSafe(k))
 
 
 def map_set(m: ColumnOrName, key, value) -> Column:
     """``d[k] = v`` (R20): the old key is filtered out first, because
-    ``map_concat`` refuses duplicate keys."""
-    return F.map_concat(map_remove(m, key), F.create_map(_c(key), _c(value)))
+    ``map_concat`` refuses duplicate keys.  A null key, which a map can't
+    hold, changes nothing."""
+    k = _c(key)
+    return F.when(k.isNull(), _c(m)).otherwise(F.map_concat(map_remove(m, key), F.create_map(k, _c(value))))
+
+
+def map_update(m: ColumnOrName, other: ColumnOrName) -> Column:
+    """``d.update(e)`` (R22): all entries of both, those of ``other`` win."""
+    o = _c(other)
+    return F.map_concat(F.map_filter(_c(m), lambda k, _v: ~F.map_contains_key(o, k)), o)
+
+
+def map_fromkeys(keys: ColumnOrName, value) -> Column:
+    """``dict.fromkeys(keys, v)`` (R22); repeated and null keys count once and not at all."""
+    distinct = F.array_distinct(F.array_compact(_c(keys)))
+    return F.map_from_entries(F.transform(distinct, lambda k: F.struct(k, _c(value))))
+
+
+def map_clear(m: ColumnOrName) -> Column:
+    """``d.clear()`` (R22): an empty map of the same type."""
+    return F.map_filter(_c(m), lambda _k, _v: F.lit(False))
 
 
 def literal_map(pairs: dict) -> Column:
@@ -189,8 +221,11 @@ def map_rows(df: DataFrame, keep: list[str], m: ColumnOrName,
 def zip_rows(df: DataFrame, keep: list[str], arrays: dict[str, ColumnOrName]) -> DataFrame:
     """Parallel lists to rows: element i of every list goes to row i.
 
-    The shorter lists are padded with nulls.  The lists are first given their
-    output names so ``arrays_zip`` names the struct fields after them.
+    The shorter lists are padded with nulls, and a null list counts as an
+    empty one.  The lists are first given their output names so ``arrays_zip``
+    names the struct fields after them.
     """
     named = df.select(*keep, *[_c(v).alias(k) for k, v in arrays.items()])
+    for k in arrays:
+        named = named.withColumn(k, F.coalesce(k, F.array().cast(named.schema[k].dataType)))
     return named.select(*keep, F.inline(F.arrays_zip(*arrays.keys())))

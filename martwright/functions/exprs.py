@@ -117,23 +117,32 @@ def compound_growth(principal: ColumnOrName, rate: ColumnOrName | float,
 
 def simple_interest(principal: ColumnOrName, rate: ColumnOrName | float,
                     periods: ColumnOrName | int, scale: int = 2) -> Column:
-    """``p * (1 + r * t)`` in exact decimal arithmetic, rounded, then double."""
-    p = _c(principal).cast("decimal(18,2)")
-    r = _c(rate).cast("decimal(9,6)")
-    t = _c(periods).cast("decimal(9,0)")
+    """``p * (1 + r * t)`` in decimal arithmetic, rounded, then double.
+
+    The principal counts to four places, the rate to twelve, the periods
+    (whole or not) to six; the product keeps at least nine before rounding.
+    """
+    p = _c(principal).cast("decimal(18,4)")
+    r = _c(rate).cast("decimal(18,12)")
+    t = _c(periods).cast("decimal(12,6)")
     return F.round(p * (F.lit(1).cast("decimal(1,0)") + r * t), scale).cast("double")
 
 
 def goal_shortfall(total: ColumnOrName, goal: ColumnOrName | float) -> Column:
-    """0 when the goal is reached, else how much is missing (R5), exact decimal."""
-    tot = _c(total).cast("decimal(18,2)")
-    g = _c(goal).cast("decimal(18,2)")
-    return F.when(tot >= g, F.lit(0).cast("decimal(18,2)")).otherwise(g - tot).cast("double")
+    """0 when the goal is reached, else how much is missing.
+
+    The amounts are compared as they are; the difference is taken in decimal
+    to twelve places.
+    """
+    tot, g = _c(total), _c(goal)
+    missing = g.cast("decimal(30,12)") - tot.cast("decimal(30,12)")
+    return F.when(tot >= g, F.lit(0.0)).otherwise(missing.cast("double"))
 
 
 def equal_split(amount: ColumnOrName, parts: ColumnOrName | int) -> Column:
-    """Whole units each of ``parts`` receivers gets: ``floor(a / n)``."""
-    return F.floor(_c(amount).cast("double") / _c(parts).cast("double")).cast("bigint")
+    """Whole units each of ``parts`` receivers gets: ``int(a / n)``, cut
+    toward zero (R6)."""
+    return (_c(amount).cast("double") / _c(parts).cast("double")).cast("bigint")
 
 
 def arith_term(first: ColumnOrName, step: ColumnOrName, n: ColumnOrName) -> Column:
@@ -156,10 +165,15 @@ def templated_message(name: ColumnOrName, template: str,
     """``template % name``; ``special_template`` where the name is one of
     ``special_values`` or where ``special_if`` holds (R8).
 
-    Templates use ``%s`` placeholders (``format_string``).
+    Templates use ``%s`` placeholders (``format_string``).  A null name gives
+    a null message.
     """
     n = _c(name)
-    general = F.format_string(template, n)
+
+    def said(text: str) -> Column:
+        return F.when(n.isNotNull(), F.format_string(text, n))
+
+    general = said(template)
     if special_template is None:
         return general
     cond = special_if
@@ -169,12 +183,13 @@ def templated_message(name: ColumnOrName, template: str,
     if cond is None:
         return general
     return F.when(F.coalesce(cond, F.lit(False)),
-                  F.format_string(special_template, n)).otherwise(general)
+                  said(special_template)).otherwise(general)
 
 
 def char_at(text: ColumnOrName, index0: int) -> Column:
-    """Character at a 0-based index; empty string past the end."""
-    return F.substring(_c(text), index0 + 1, 1)
+    """Character at a 0-based index, from the end if negative; empty string
+    outside the text (R11)."""
+    return F.substring(_c(text), index0 + 1 if index0 >= 0 else index0, 1)
 
 
 def is_truthy_text(text: ColumnOrName) -> Column:
@@ -189,7 +204,7 @@ def is_truthy_number(x: ColumnOrName) -> Column:
 
 def is_truthy_array(a: ColumnOrName) -> Column:
     """Non-empty array."""
-    return F.size(_c(a)) > F.lit(0)
+    return F.array_size(_c(a)) > F.lit(0)
 
 
 def comparison_flags(left: ColumnOrName, right: ColumnOrName | float) -> dict[str, Column]:

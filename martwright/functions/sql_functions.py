@@ -23,10 +23,13 @@ FORMULAS: dict[str, tuple[str, str]] = {
 
 
 def register_formulas(spark: SparkSession) -> list[str]:
-    """Create (or replace) the temporary SQL functions in this session."""
+    """Create the temporary SQL functions in this session, once."""
+    if getattr(spark, "_martwright_formulas", False):
+        return list(FORMULAS)
     for name, (params, body) in FORMULAS.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({params}) "
                   f"RETURNS DOUBLE RETURN {body}")
+    spark._martwright_formulas = True
     return list(FORMULAS)
 
 

@@ -15,6 +15,8 @@ from martwright.registry._inputs import table as read_table
 
 # Order status code -> label, the lookup table of R19.
 STATUS_LABELS = {"F": "fulfilled", "O": "open", "P": "partial"}
+# Parameters of the list queries: the word that stands for null, and one to find.
+NULL_WORD, FOUND_WORD = "de", "la"
 
 
 def _words(spark, d):
@@ -22,13 +24,19 @@ def _words(spark, d):
     return p.select("p_partkey", "p_brand", "p_type", F.split("p_name", " ").alias("words"))
 
 
-def _line_keys(spark, d):
-    li = read_table(spark, d, "lineitem")
-    return li.select(
-        "l_orderkey", "l_linenumber",
-        F.array("l_partkey", "l_suppkey", F.col("l_linenumber").cast("bigint")).alias("keys"),
-        F.col("l_suppkey").alias("suppkey"),
-        F.col("l_linenumber").cast("bigint").alias("linenumber"))
+def _doc_words(spark, d):
+    """Lists of any length: the words of whole texts, some words null, some
+    lists empty and some null."""
+    doc = read_table(spark, d, "documents")
+    words = F.transform(F.split("text", " "), lambda w: F.nullif(w, F.lit(NULL_WORD)))
+    words = (F.when(F.col("doc_id") % 11 == 3, F.lit(None))
+             .when(F.col("doc_id") % 7 == 2, F.array().cast("array<string>")).otherwise(words))
+    return doc.select("doc_id", "lang", words.alias("words"))
+
+
+def _shown(a):
+    """A digest of a list's text form."""
+    return F.md5(L.render_list(a))
 
 
 def _order_map(spark, d):
@@ -53,49 +61,50 @@ def _array_access(spark, d):
 
 
 def _array_append_extend(spark, d):
-    k = _line_keys(spark, d)
-    return k.select(
-        "l_orderkey", "l_linenumber",
-        L.render_list(L.list_append("keys", F.col("l_orderkey"))).alias("appended"),
-        L.render_list(L.list_extend("keys", F.array("l_orderkey", "suppkey"))).alias("extended"),
-        F.size(L.list_append(F.array(F.col("keys")), F.col("keys"))).alias("nested_len"))
+    w = _doc_words(spark, d)
+    return w.select(
+        "doc_id",
+        _shown(L.list_append("words", F.col("lang"))).alias("appended"),
+        _shown(L.list_extend("words", F.array("lang", F.lit("x")))).alias("extended"),
+        L.list_len(L.list_append(F.array("words"), F.col("words"))).alias("nested_len"))
 
 
 def _array_insert(spark, d):
-    k = _line_keys(spark, d)
-    x = F.col("l_orderkey")
-    return k.select(
-        "l_orderkey", "l_linenumber",
-        L.render_list(L.list_insert("keys", 0, x)).alias("at_start"),
-        L.render_list(L.list_insert("keys", 1, x)).alias("at_one"),
-        L.render_list(L.list_insert("keys", 10, x)).alias("past_end"),
-        L.render_list(L.list_insert("keys", -1, x)).alias("before_last"))
+    w, x = _doc_words(spark, d), F.col("lang")
+    return w.select(
+        "doc_id",
+        _shown(L.list_insert("words", 0, x)).alias("at_start"),
+        _shown(L.list_insert("words", 1, x)).alias("at_one"),
+        _shown(L.list_insert("words", 1_000_000, x)).alias("past_end"),
+        _shown(L.list_insert("words", -1, x)).alias("before_last"),
+        _shown(L.list_insert("words", F.when(F.col("doc_id") % 2 == 0, 0), x)).alias("null_index"))
 
 
 def _array_replace_remove(spark, d):
-    k = _line_keys(spark, d)
-    rep = F.array("linenumber", "suppkey", "linenumber")
-    return k.select(
-        "l_orderkey", "l_linenumber",
-        L.render_list(L.list_set("keys", 1, F.lit(0).cast("bigint"))).alias("replaced"),
-        L.render_list(L.list_set("keys", -1, F.col("l_orderkey"))).alias("replaced_last"),
-        L.render_list(L.list_remove_first(rep, F.col("linenumber"))).alias("removed_first"),
-        L.render_list(L.list_remove_first(rep, F.lit(-1).cast("bigint"))).alias("removed_none"))
+    w = _doc_words(spark, d)
+    return w.select(
+        "doc_id",
+        _shown(L.list_set("words", 1, F.lit("X"))).alias("replaced"),
+        _shown(L.list_set("words", -1, F.col("lang"))).alias("replaced_last"),
+        _shown(L.list_remove_first("words", F.lit(FOUND_WORD))).alias("removed_first"),
+        _shown(L.list_remove_first("words", F.lit(None).cast("string"))).alias("removed_null"),
+        _shown(L.list_remove_first("words", F.lit("!"))).alias("removed_none"))
 
 
 def _array_misc(spark, d):
-    k = _line_keys(spark, d)
-    rep = F.array("linenumber", "suppkey", "linenumber", "l_orderkey")
-    return k.select(
-        "l_orderkey", "l_linenumber",
-        L.list_count(rep, F.col("linenumber")).alias("count_line"),
-        L.list_index(rep, F.col("suppkey")).alias("index_supp"),
-        L.list_index(rep, F.lit(-1).cast("bigint")).alias("index_missing"),
-        L.render_list(L.list_pop(rep)).alias("popped"),
-        L.list_last(rep).alias("pop_value"),
-        L.render_list(L.list_sort(rep)).alias("sorted"),
-        F.size(L.list_clear(rep)).alias("cleared_len"),
-        L.render_list(F.reverse(rep)).alias("reversed"))
+    w, x = _doc_words(spark, d), F.lit(FOUND_WORD)
+    return w.select(
+        "doc_id",
+        L.list_count("words", x).alias("count_word"),
+        L.list_count("words", F.lit(None).cast("string")).alias("count_null"),
+        L.list_index("words", x).alias("index_word"),
+        _shown(L.list_pop("words")).alias("popped"),
+        _shown(L.list_pop_at("words", 1)).alias("popped_at"),
+        L.list_get("words", 1).alias("pop_at_value"),
+        L.list_last("words").alias("pop_value"),
+        _shown(L.list_sort("words")).alias("sorted"),
+        L.list_len(L.list_clear("words")).alias("cleared_len"),
+        _shown(F.reverse("words")).alias("reversed"))
 
 
 def _map_lookup(spark, d):
@@ -128,14 +137,20 @@ def _map_explode(spark, d):
 
 def _map_misc(spark, d):
     o = _order_map(spark, d)
+    other = F.create_map(F.lit("priority"), F.lit("P"), F.lit("extra"), F.col("o_orderstatus"))
+    parts = L.map_fromkeys(F.split("o_orderpriority", "-"), F.lit(1))
+    updated = L.map_update("m", other)
     return o.select(
         "o_orderkey",
         L.render_list(F.array_sort(F.map_keys("m"))).alias("keys"),
         L.render_list(F.array_sort(F.map_values("m"))).alias("vals"),
         F.size("m").alias("n_entries"),
         F.map_contains_key("m", "status").alias("has_status"),
-        F.size(F.map_entries(F.map_from_arrays(F.array(F.lit("k")), F.array("o_orderstatus"))))
-        .alias("n_built"))
+        L.render_list(F.array_sort(F.map_keys(updated))).alias("updated_keys"),
+        L.map_get(updated, F.lit("priority")).alias("updated_priority"),
+        L.map_get(updated, F.lit("extra")).alias("updated_extra"),
+        L.render_list(F.array_sort(F.map_keys(parts))).alias("built_keys"),
+        L.list_len(F.map_keys(L.map_clear("m"))).alias("n_cleared"))
 
 
 def _zip_rows(spark, d):
@@ -159,14 +174,37 @@ QUERIES = {
 
 
 def _r(expr: str) -> str:
-    """DuckDB text form of a list (same as render_list; the lists built here
-    hold no nulls)."""
-    return f"array_to_string({expr}, ',')"
+    """DuckDB text form of a list, nulls shown (same as render_list)."""
+    return (f"CASE WHEN {expr} IS NULL THEN NULL ELSE "
+            f"coalesce(array_to_string([coalesce(w, 'null') FOR w IN {expr}], ','), '') END")
+
+
+def _d(expr: str) -> str:
+    return f"md5({_r(expr)})"
 
 
-_KEYS = "[l_partkey, l_suppkey, CAST(l_linenumber AS BIGINT)]"
-_REP = "[CAST(l_linenumber AS BIGINT), l_suppkey, CAST(l_linenumber AS BIGINT)]"
-_REP4 = "[CAST(l_linenumber AS BIGINT), l_suppkey, CAST(l_linenumber AS BIGINT), l_orderkey]"
+def _of_words(columns: str) -> str:
+    return f"""
+SELECT doc_id, {columns}
+FROM (SELECT doc_id, lang, words AS l, CAST(len(words) AS BIGINT) AS n,
+             list_position(words, '{FOUND_WORD}') AS p,
+             list_position([w IS NULL FOR w IN words], true) AS q
+      FROM (SELECT doc_id, lang, CASE WHEN doc_id % 11 = 3 THEN NULL
+                                      WHEN doc_id % 7 = 2 THEN CAST([] AS VARCHAR[])
+                                      ELSE [nullif(w, '{NULL_WORD}') FOR w IN string_split(text, ' ')] END AS words
+            FROM documents))
+"""
+
+
+def _if_list(expr: str) -> str:
+    return f"(CASE WHEN l IS NULL THEN NULL ELSE {expr} END)"
+
+
+def _without(at: str) -> str:
+    return f"(CASE WHEN coalesce({at}, 0) = 0 THEN l ELSE l[1:{at} - 1] || l[{at} + 1:] END)"
+
+
+_NULL_AT_ODD = "(CASE WHEN doc_id % 2 = 0 AND l IS NOT NULL THEN [lang] || l END)"
 
 ORACLE = {
     "array_access": """
@@ -175,42 +213,33 @@ SELECT p_partkey, words[1] AS first_word, words[2] AS second_word, words[3] AS t
        list_reverse(words)[1] AS nested_pick
 FROM (SELECT p_partkey, string_split(p_name, ' ') AS words FROM part)
 """,
-    "array_append_extend": f"""
-SELECT l_orderkey, l_linenumber,
-       {_r(f"list_append({_KEYS}, l_orderkey)")} AS appended,
-       {_r(f"list_concat({_KEYS}, [l_orderkey, l_suppkey])")} AS extended,
-       2 AS nested_len
-FROM lineitem
-""",
-    "array_insert": f"""
-SELECT l_orderkey, l_linenumber,
-       {_r("[l_orderkey, l_partkey, l_suppkey, CAST(l_linenumber AS BIGINT)]")} AS at_start,
-       {_r("[l_partkey, l_orderkey, l_suppkey, CAST(l_linenumber AS BIGINT)]")} AS at_one,
-       {_r("[l_partkey, l_suppkey, CAST(l_linenumber AS BIGINT), l_orderkey]")} AS past_end,
-       {_r("[l_partkey, l_suppkey, l_orderkey, CAST(l_linenumber AS BIGINT)]")} AS before_last
-FROM lineitem
-""",
-    "array_replace_remove": f"""
-SELECT l_orderkey, l_linenumber,
-       {_r("[l_partkey, CAST(0 AS BIGINT), CAST(l_linenumber AS BIGINT)]")} AS replaced,
-       {_r("[l_partkey, l_suppkey, l_orderkey]")} AS replaced_last,
-       {_r("[l_suppkey, CAST(l_linenumber AS BIGINT)]")} AS removed_first,
-       {_r(_REP)} AS removed_none
-FROM lineitem
-""",
-    "array_misc": f"""
-SELECT l_orderkey, l_linenumber,
-       CAST(2 + CASE WHEN l_suppkey = l_linenumber THEN 1 ELSE 0 END
-              + CASE WHEN l_orderkey = l_linenumber THEN 1 ELSE 0 END AS INTEGER) AS count_line,
-       CAST(list_position({_REP4}, l_suppkey) - 1 AS INTEGER) AS index_supp,
-       CAST(NULL AS INTEGER) AS index_missing,
-       {_r(f"{_REP4}[1:3]")} AS popped,
-       l_orderkey AS pop_value,
-       {_r(f"list_sort({_REP4})")} AS sorted,
-       0 AS cleared_len,
-       {_r(f"list_reverse({_REP4})")} AS reversed
-FROM lineitem
-""",
+    "array_append_extend": _of_words(f"""
+       {_d(_if_list("l || [lang]"))} AS appended,
+       {_d(_if_list("l || [lang, 'x']"))} AS extended,
+       2 AS nested_len"""),
+    "array_insert": _of_words(f"""
+       {_d(_if_list("[lang] || l"))} AS at_start,
+       {_d(_if_list("l[1:1] || [lang] || l[2:]"))} AS at_one,
+       {_d(_if_list("l || [lang]"))} AS past_end,
+       {_d(_if_list("CASE WHEN n = 0 THEN [lang] ELSE l[1:n - 1] || [lang] || l[n:n] END"))} AS before_last,
+       {_d(_NULL_AT_ODD)} AS null_index"""),
+    "array_replace_remove": _of_words(f"""
+       {_d("(CASE WHEN n > 1 THEN l[1:1] || ['X'] || l[3:] ELSE l END)")} AS replaced,
+       {_d("(CASE WHEN n > 0 THEN l[1:n - 1] || [lang] ELSE l END)")} AS replaced_last,
+       {_d(_without("p"))} AS removed_first,
+       {_d(_without("q"))} AS removed_null,
+       {_d("l")} AS removed_none"""),
+    "array_misc": _of_words(f"""
+       CAST(len(list_filter(l, lambda w: w = '{FOUND_WORD}')) AS INTEGER) AS count_word,
+       CAST(len(list_filter(l, lambda w: w IS NULL)) AS INTEGER) AS count_null,
+       CAST(CASE WHEN p > 0 THEN p - 1 END AS INTEGER) AS index_word,
+       {_d("(CASE WHEN n > 0 THEN l[1:n - 1] ELSE l END)")} AS popped,
+       {_d("(CASE WHEN n > 1 THEN l[1:1] || l[3:] ELSE l END)")} AS popped_at,
+       l[2] AS pop_at_value,
+       CASE WHEN n > 0 THEN l[n] END AS pop_value,
+       {_d("list_sort(l, 'ASC', 'NULLS LAST')")} AS sorted,
+       CASE WHEN l IS NULL THEN NULL ELSE 0 END AS cleared_len,
+       {_d("list_reverse(l)")} AS reversed"""),
     "map_lookup": """
 SELECT o_orderkey, o_orderstatus AS status, CAST(NULL AS VARCHAR) AS missing,
        o_orderpriority AS priority,
@@ -233,8 +262,11 @@ SELECT o_orderkey, 'priority' AS key, o_orderpriority AS value FROM orders
 """,
     "map_misc": f"""
 SELECT o_orderkey, 'priority,status' AS keys,
-       {_r("list_sort([o_orderstatus, o_orderpriority])")} AS vals,
-       2 AS n_entries, TRUE AS has_status, 1 AS n_built
+       {_r("list_sort([o_orderstatus, o_orderpriority], 'ASC', 'NULLS LAST')")} AS vals,
+       2 AS n_entries, TRUE AS has_status, 'extra,priority,status' AS updated_keys,
+       'P' AS updated_priority, o_orderstatus AS updated_extra,
+       {_r("list_sort(list_distinct(string_split(o_orderpriority, '-')))")} AS built_keys,
+       0 AS n_cleared
 FROM orders
 """,
     "zip_rows": """

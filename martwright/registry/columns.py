@@ -14,13 +14,13 @@ from martwright.functions import sql_functions
 from martwright.registry._inputs import table as read_table
 
 # Fixed parameters of the registered queries.
-GROWTH_RATE = 0.06            # yearly rate for growth and interest
+GROWTH_RATE = 0.0375           # yearly rate for growth and interest
 SAVINGS_GOAL = 250000         # goal for the shortfall rule
 COMPARE_TO = 200000           # reference value for the comparison flags
 SKIPPED_SEGMENT = "BUILDING"  # value skipped by the exclusion rule
 SPECIAL_SEGMENT = "MACHINERY" # rows that get the special message
-GREETING = "Hello %s, thank you for logging in!"
-SPECIAL_GREETING = "Hello %s, would you like to see the status report?"
+GREETING = "Dear %s, your order has been booked."
+SPECIAL_GREETING = "Dear %s, your account manager will call you."
 
 
 def _grade_band(spark, d):
@@ -88,6 +88,7 @@ def _string_ops(spark, d):
         X.char_at("c_name", 0).alias("first_char"),
         X.char_at("c_name", 9).alias("tenth_char"),
         X.char_at("c_name", 40).alias("char_past_end"),
+        X.char_at("c_name", -2).alias("second_last_char"),
         F.concat("c_mktsegment", F.lit("-"), "c_name").alias("joined"),
         F.repeat("c_mktsegment", 2).alias("doubled"),
         F.upper("c_name").alias("upper_name"))
@@ -121,7 +122,7 @@ def _scalar_functions(spark, d):
         call("box_volume", size, size, price).alias("volume"),
         call("add_two", size, price).alias("total"),
         call("origin_distance", size, price).alias("distance"),
-        call("arith_term", size, F.lit(4.0), F.lit(9.0)).alias("ninth_term"))
+        call("arith_term", size, F.lit(3.0), F.lit(12.0)).alias("twelfth_term"))
 
 
 QUERIES = {
@@ -145,14 +146,14 @@ _H = "(CAST(150 + p_size AS DOUBLE) / 100.0)"
 ORACLE = {
     "grade_band": f"""
 SELECT c_custkey, {_SCORE} AS score,
-       CASE WHEN {_SCORE} > 90 THEN 'A' WHEN {_SCORE} > 85 THEN 'AB'
+       CASE WHEN {_SCORE} IS NULL THEN NULL WHEN {_SCORE} > 90 THEN 'A' WHEN {_SCORE} > 85 THEN 'AB'
             WHEN {_SCORE} > 80 THEN 'B' WHEN {_SCORE} > 75 THEN 'BC'
             WHEN {_SCORE} > 70 THEN 'C' ELSE 'D' END AS grade
 FROM customer
 """,
     "ratio_band": f"""
 SELECT p_partkey, ratio,
-       CASE WHEN ratio >= 25 THEN 'obese' WHEN ratio >= 23 THEN 'overweight'
+       CASE WHEN ratio IS NULL THEN NULL WHEN ratio >= 25 THEN 'obese' WHEN ratio >= 23 THEN 'overweight'
             WHEN ratio >= 18.5 THEN 'normal' ELSE 'underweight' END AS band
 FROM (SELECT p_partkey, (p_retailprice / 10.0) / ({_H} * {_H}) AS ratio FROM part)
 """,
@@ -171,14 +172,14 @@ FROM customer
 """,
     "goal_shortfall": f"""
 SELECT o_orderkey, o_totalprice >= {SAVINGS_GOAL} AS reached,
-       CAST(CASE WHEN CAST(o_totalprice AS DECIMAL(18,2)) >= {SAVINGS_GOAL} THEN 0
-                 ELSE {SAVINGS_GOAL} - CAST(o_totalprice AS DECIMAL(18,2)) END AS DOUBLE)
+       CASE WHEN o_totalprice >= {SAVINGS_GOAL} THEN 0.0::DOUBLE
+            ELSE CAST({SAVINGS_GOAL} - CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) END
          AS shortfall
 FROM orders
 """,
     "equal_split": """
 SELECT o.o_orderkey, c.n_lines,
-       CAST(floor(o.o_totalprice / CAST(c.n_lines AS DOUBLE)) AS BIGINT) AS share
+       CAST(trunc(o.o_totalprice / CAST(c.n_lines AS DOUBLE)) AS BIGINT) AS share
 FROM orders o
 LEFT JOIN (SELECT l_orderkey, COUNT(*) AS n_lines FROM lineitem GROUP BY l_orderkey) c
   ON o.o_orderkey = c.l_orderkey
@@ -190,8 +191,8 @@ WHERE c_mktsegment IS DISTINCT FROM '{SKIPPED_SEGMENT}'
     "message_template": f"""
 SELECT c_custkey,
        CASE WHEN c_mktsegment = '{SPECIAL_SEGMENT}'
-            THEN 'Hello ' || c_name || ', would you like to see the status report?'
-            ELSE 'Hello ' || c_name || ', thank you for logging in!' END AS message
+            THEN 'Dear ' || c_name || ', your account manager will call you.'
+            ELSE 'Dear ' || c_name || ', your order has been booked.' END AS message
 FROM customer
 """,
     "string_ops": """
@@ -200,6 +201,7 @@ SELECT c_custkey,
        substring(c_name, 1, 1)  AS first_char,
        substring(c_name, 10, 1) AS tenth_char,
        substring(c_name, 41, 1) AS char_past_end,
+       substring(c_name, -2, 1) AS second_last_char,
        c_mktsegment || '-' || c_name AS joined,
        repeat(c_mktsegment, 2) AS doubled,
        upper(c_name) AS upper_name
@@ -228,7 +230,7 @@ SELECT p_partkey,
        CAST(p_size AS DOUBLE) + p_retailprice AS total,
        sqrt(CAST(p_size AS DOUBLE) * CAST(p_size AS DOUBLE) + p_retailprice * p_retailprice)
          AS distance,
-       CAST(p_size AS DOUBLE) + (9.0 - 1) * 4.0 AS ninth_term
+       CAST(p_size AS DOUBLE) + (12.0 - 1) * 3.0 AS twelfth_term
 FROM part
 """,
 }

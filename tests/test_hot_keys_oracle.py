@@ -14,7 +14,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from martwright import registry
 from conftest import SF_SMALL
 from scripts.oracle_check import _digest, _duck_rows, _spark_rows
 
@@ -76,22 +76,22 @@ def skew_session(spark):
 
 
 def _uses_only(name):
-    sql = entry.oracle_sql()[name].lower()
+    sql = registry.oracle_sql()[name].lower()
     return all(f" {t}" not in sql for t in
                ("documents", "pages", "conversations", "embeddings", "labels", "benchmark"))
 
 
-@pytest.mark.parametrize("name", sorted(n for n in entry.queries() if _uses_only(n)))
+@pytest.mark.parametrize("name", sorted(n for n in registry.queries() if _uses_only(n)))
 def test_query_with_hot_keys(skew_session, con, hot_dir, name):
-    scols, srows = _spark_rows(entry.queries()[name](skew_session, hot_dir))
-    dcols, drows = _duck_rows(con, entry.oracle_sql()[name])
+    scols, srows = _spark_rows(registry.queries()[name](skew_session, hot_dir))
+    dcols, drows = _duck_rows(con, registry.oracle_sql()[name])
     assert scols == dcols
     assert len(srows) == len(drows)
     assert _digest(srows, None) == _digest(drows, None)
 
 
 def test_hot_joins_take_the_sort_merge_path(skew_session, hot_dir):
-    df = entry.queries()["transactions"](skew_session, hot_dir)
+    df = registry.queries()["transactions"](skew_session, hot_dir)
     qe = df._jdf.queryExecution()
     qe.toRdd().count()
     plan = qe.executedPlan().toString()

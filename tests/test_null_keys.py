@@ -9,7 +9,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from martwright import registry
 from conftest import SF_SMALL
 from scripts.oracle_check import _digest, _duck_rows, _spark_rows
 
@@ -32,8 +32,8 @@ def null_dir(spark, tmp_path_factory):
 def test_events_query_with_null_keys(spark, null_dir, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{null_dir}/events.parquet/*.parquet')")
-    scols, srows = _spark_rows(entry.queries()[name](spark, null_dir))
-    dcols, drows = _duck_rows(con, entry.oracle_sql()[name])
+    scols, srows = _spark_rows(registry.queries()[name](spark, null_dir))
+    dcols, drows = _duck_rows(con, registry.oracle_sql()[name])
     assert scols == dcols
     assert len(srows) == len(drows)
     assert _digest(srows, None) == _digest(drows, None)

@@ -202,16 +202,20 @@ def test_grade_and_bands(spark):
 
 
 def test_money_rules(spark):
-    df = spark.createDataFrame([(1000000.0, 7, 576000, 9)], "p double, t int, a bigint, n int")
+    df = spark.createDataFrame([(820.5, 3.5, 1234, 8)], "p double, t double, a bigint, n int")
     r = df.select(
-        X.simple_interest("p", 0.06, "t").alias("si"),
-        F.round(X.compound_growth("p", F.lit(0.06), "t"), 2).alias("cg"),
+        X.simple_interest("p", 0.0275, "t").alias("si"),
+        X.simple_interest(F.lit(1e9), 0.0000004, F.lit(1)).alias("small"),
+        F.round(X.compound_growth("p", F.lit(0.0275), F.lit(2)), 2).alias("cg"),
         X.equal_split("a", "n").alias("split"),
-        X.goal_shortfall(F.lit(3000000.0), F.lit(5000000)).alias("short")).first()
-    assert r.si == 1420000.0
-    assert r.cg == pytest.approx(1503630.26, abs=0.01)
-    assert r.split == 64000
-    assert r.short == 2000000.0
+        X.equal_split(F.lit(-5), F.lit(2)).alias("negative_split"),
+        X.goal_shortfall(F.lit(99.996), F.lit(100.0)).alias("short"),
+        X.goal_shortfall(F.lit(100.0), F.lit(100.0)).alias("reached")).first()
+    assert r.si == 899.47
+    assert r.small == 1000000400.0
+    assert r.cg == pytest.approx(866.25, abs=0.01)
+    assert (r.split, r.negative_split) == (154, -2)
+    assert (r.short, r.reached) == (0.004, 0.0)
 
 
 def test_text_rules(spark):
@@ -219,8 +223,36 @@ def test_text_rules(spark):
     got = [r.m for r in df.select(
         X.templated_message("n", "Hi %s", "Welcome back %s", special_values=["admin"])
         .alias("m")).collect()]
-    assert got == ["Welcome back admin", "Hi eve", "Hi null"]
-    r = spark.createDataFrame([("Sains",)], "s string").select(
-        X.char_at("s", 0).alias("c0"), X.char_at("s", 9).alias("c9"),
+    assert got == ["Welcome back admin", "Hi eve", None]
+    r = spark.createDataFrame([("plum",)], "s string").select(
+        X.char_at("s", 0).alias("c0"), X.char_at("s", 9).alias("c9"), X.char_at("s", -1).alias("last"),
         F.repeat("s", 2).alias("rep")).first()
-    assert (r.c0, r.c9, r.rep) == ("S", "", "SainsSains")
+    assert (r.c0, r.c9, r.last, r.rep) == ("p", "", "m", "plumplum")
+
+
+def test_dictionary_rules_with_nulls(spark):
+    from martwright.functions import collections as L
+
+    m = F.create_map(F.lit("a"), F.lit(1), F.lit("b"), F.lit(2))
+    none = F.lit(None).cast("string")
+    r = spark.range(1).select(
+        L.map_remove(m, none).alias("kept"), L.map_set(m, none, F.lit(9)).alias("unset"),
+        L.map_update(m, F.create_map(F.lit("b"), F.lit(7), F.lit("c"), F.lit(8))).alias("updated"),
+        L.map_fromkeys(F.array(F.lit("x"), none, F.lit("x")), F.lit(0)).alias("built"),
+        L.map_clear(m).alias("cleared"),
+        L.list_insert(F.array(F.lit(1)), F.lit(None).cast("int"), F.lit(2)).alias("no_index"),
+        L.list_pop_at(F.array(F.lit(1), F.lit(2), F.lit(3)), -2).alias("popped"),
+        L.list_pop_at(F.array(F.lit(1)), 5).alias("out_of_range")).first()
+    assert r.kept == r.unset == {"a": 1, "b": 2}
+    assert r.updated == {"a": 1, "b": 7, "c": 8}
+    assert (r.built, r.cleared, r.no_index) == ({"x": 0}, {}, None)
+    assert (r.popped, r.out_of_range) == ([1, 3], [1])
+
+
+def test_zip_rows_keeps_the_other_list(spark):
+    from martwright.functions import collections as L
+
+    df = spark.createDataFrame([(1, ["a", "b"], None), (2, None, None)],
+                               "id int, l array<string>, r array<int>")
+    got = sorted((r.id, r.x, r.y) for r in L.zip_rows(df, ["id"], {"x": F.col("l"), "y": F.col("r")}).collect())
+    assert got == [(1, "a", None), (1, "b", None)]

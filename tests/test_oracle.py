@@ -7,11 +7,12 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from martwright import registry
 from martwright.sources.tables import TEST_TABLES
 from scripts.oracle_check import _digest, _duck_rows, _spark_rows
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = registry.queries()
+ORACLE = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -36,6 +37,11 @@ def test_query_matches_oracle(spark, con, name):
     assert _digest(srows, None) == _digest(drows, None)
 
 
+def test_the_entry_has_every_query():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLE) <= set(entry.oracle_sql())
+
+
 def test_entry_runs(spark):
     df = entry.entry(spark)
     rows = df.collect()

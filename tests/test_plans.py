@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import pytest
 
-import __spark_entry__ as entry
 from conftest import SF_SMALL
+from martwright import registry
 
 
 def _physical(df) -> str:
@@ -17,20 +17,20 @@ def _optimized(df) -> str:
 
 
 def test_sales_lines_only_invoice_join_is_outer(spark):
-    plan = _optimized(entry.queries()["sales_lines"](spark, SF_SMALL))
+    plan = _optimized(registry.queries()["sales_lines"](spark, SF_SMALL))
     assert plan.count("LeftOuter") == 1
     assert plan.count("Inner") == 3
 
 
 def test_transactions_outer_joins_are_the_optional_tail(spark):
-    plan = _optimized(entry.queries()["transactions"](spark, SF_SMALL))
+    plan = _optimized(registry.queries()["transactions"](spark, SF_SMALL))
     # invoice->customer, customer->nation, nation->region (staging), lines->invoices
     assert plan.count("LeftOuter") == 4
     assert plan.count("Inner") == 1
 
 
 def test_filters_and_pruning_reach_the_scan(spark):
-    plan = _physical(entry.queries()["sales_lines"](spark, SF_SMALL))
+    plan = _physical(registry.queries()["sales_lines"](spark, SF_SMALL))
     assert "PushedFilters: [IsNotNull(l_orderkey), IsNotNull(l_suppkey)]" in plan
     # the line scan reads only the five columns it needs
     assert ("ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint,l_linenumber:int,"
@@ -38,34 +38,34 @@ def test_filters_and_pruning_reach_the_scan(spark):
 
 
 def test_mart_reads_only_needed_columns(spark):
-    plan = _physical(entry.queries()["visit_frequency"](spark, SF_SMALL))
+    plan = _physical(registry.queries()["visit_frequency"](spark, SF_SMALL))
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderdate:timestamp_ntz>" in plan
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_no_python_evaluation(spark, name):
-    plan = _physical(entry.queries()[name](spark, SF_SMALL))
+    plan = _physical(registry.queries()[name](spark, SF_SMALL))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
                  "MapInPandas", "PythonUDF"):
         assert node not in plan, node
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_no_cross_or_nested_loop_join(spark, name):
-    plan = _physical(entry.queries()[name](spark, SF_SMALL))
+    plan = _physical(registry.queries()[name](spark, SF_SMALL))
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
 
 
 def test_aggregates_are_partial_then_final(spark):
-    plan = _physical(entry.queries()["artist_revenue"](spark, SF_SMALL))
+    plan = _physical(registry.queries()["artist_revenue"](spark, SF_SMALL))
     assert "partial_sum" in plan
 
 
 def test_line_marts_share_one_scan(spark, tmp_path):
     from martwright.plans import marts
 
-    lines = entry.queries()["sales_lines"](spark, SF_SMALL)
+    lines = registry.queries()["sales_lines"](spark, SF_SMALL)
     path = str(tmp_path / "sales_lines")
     lines.write.parquet(path)
     totals = marts.sales_line_totals(spark.read.parquet(path))

@@ -6,7 +6,7 @@ from __future__ import annotations
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from martwright import registry
 from conftest import SF_CHECK
 from martwright.sources.tables import TEST_TABLES
 
@@ -34,8 +34,8 @@ def con():
 def test_report_order_matches_sql(spark, con, name):
     keys = SORT_KEYS[name]
     got = [tuple(r[k] for k in keys)
-           for r in entry.queries()[name](spark, SF_CHECK).collect()]
-    rel = con.sql(entry.oracle_sql()[name])
+           for r in registry.queries()[name](spark, SF_CHECK).collect()]
+    rel = con.sql(registry.oracle_sql()[name])
     idx = [rel.columns.index(k) for k in keys]
     want = [tuple(row[i] for i in idx) for row in rel.fetchall()]
     assert got == want
