@@ -11,8 +11,9 @@ The shuffle deals variants by *slice*, a linear function of their bits.  The
 variants of a fingerprint that lie in a slice are the fingerprint XOR the error
 patterns with the right image, so a slice is sent the fingerprint alone and
 lists them itself: at most one row for each fingerprint and slice moves, never
-more than one for each variant.  The number of slices follows the number of
-fingerprints, so a slice lists about ``SLICE`` variants at any size.
+more than one for each variant.  There are ``LEAST_SLICES`` slices, and more
+when one would hold over ``SLICE`` variants; a slice lists its variants in parts
+of ``LISTED``, so memory stays bounded.
 
 Fingerprints that share a variant are all within ``distance`` of each other,
 so linking each of them to the smallest loses no component; copies share one
@@ -37,7 +38,9 @@ from martwright.llm.common import map_batches, only, ship, stored
 from martwright.llm.components import components
 
 WORDS, SEED, DISTANCE = 4, 42, 4
-SLICE = 8_000_000  # variants listed together
+SLICE = 64_000_000  # variants that one slice holds at most, about
+LEAST_SLICES = 64
+LISTED = 8_000_000  # of these, listed at once
 _ROWS = 1 << 14
 
 
@@ -141,7 +144,7 @@ def fingerprint_links(distinct: DataFrame, distance: int = DISTANCE) -> DataFram
     ship(distinct.sparkSession)
     errors = len(error_patterns(radius))
     listed = distinct.count() * errors
-    bits = min(32, max(0, (-(-listed // SLICE) - 1).bit_length()))
+    bits = min(32, (max(LEAST_SLICES, -(-listed // SLICE)) - 1).bit_length())
     images = np.unique(slice_of(error_patterns(radius), bits))
 
     def deal(batch):
@@ -151,7 +154,10 @@ def fingerprint_links(distinct: DataFrame, distance: int = DISTANCE) -> DataFram
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
         fps = pdf["fp"].to_numpy().astype(np.int64).view(np.uint64)
-        found = linked_in_slice(fps, int(pdf["slice"].iloc[0]), bits, radius, distance)
+        at = int(pdf["slice"].iloc[0])
+        more = max(0, (-(-len(fps) * errors // (LISTED << bits)) - 1).bit_length())
+        found = np.concatenate([linked_in_slice(fps, (at << more) + part, bits + more, radius, distance)
+                                for part in range(1 << more)])
         return pd.DataFrame({"low": found[:, 0], "high": found[:, 1]})
 
     return (map_batches(only(distinct, "fp"), "slice long, fp long", deal)
