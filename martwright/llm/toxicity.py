@@ -9,8 +9,8 @@ of ``2**BITS`` slots.
 
 Training runs in numpy on a bounded sample of labelled rows (``SAMPLE``):
 FTRL with an L1 penalty for w, AdaGrad with an L2 penalty for v.  A term has
-factors only while its w is not zero, so rare terms add no noise to the pairs
-of a long text.  Scoring is one pass over the documents without a shuffle.
+factors only while its w is ``STRONG``, so that the many weak terms of a long
+text add no noise to its pairs.  Scoring is one pass over the documents without a shuffle.
 
 Defined results: a null or empty text scores sigmoid(w0); without any
 labelled row all weights are zero (score 0.5); repeated rows score alike.
@@ -28,8 +28,10 @@ from martwright.llm.common import labelled_sample, map_batches, only, ship
 
 BITS = 18
 FACTORS = 4
+FACTOR_RATE = 0.2
+STRONG = 0.5  # a term has factors while its weight is at least this, up or down
 SAMPLE = 16_000  # most labelled rows that a fit uses
-EPOCHS = 12
+EPOCHS = 8  # passes over the sample, and more for a small one
 # letters and all that isn't ASCII stay, the rest parts words
 _LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 _CACHE_MOST = 200_000  # words that a scorer remembers
@@ -42,7 +44,7 @@ def _terms(text: str | None) -> set[bytes]:
 def _slots(word: bytes) -> tuple[int, ...]:
     mask = (1 << BITS) - 1
     whole = zlib.crc32(word) & mask
-    return (whole, zlib.crc32(b"^" + word[:4]) & mask) if len(word) > 4 else (whole,)
+    return (whole, zlib.crc32(b"^" + word[:4]) & mask) if len(word) >= 4 else (whole,)
 
 
 def term_slots(text: str | None) -> np.ndarray:
@@ -85,8 +87,8 @@ class FactorizationMachine:
         return float(1 / (1 + np.exp(-np.clip(self.logit(slots), -30, 30))))
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, rate: float = 1.5,
-        l1: float = 0.3, l2: float = 1e-2, batch: int = 256, seed: int = 7) -> FactorizationMachine:
+def fit(rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, rate: float = 2.0,
+        l1: float = 0.35, l2: float = 1e-2, batch: int = 256, seed: int = 7) -> FactorizationMachine:
     """A machine from the slots of each row and its 0/1 label."""
     fm, rng = FactorizationMachine(), np.random.default_rng(seed)
     n = len(rows)
@@ -96,10 +98,10 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, rate:
     share = min(max(float(labels.mean()), 1 / (n + 1)), n / (n + 1))
     fm.w0 = float(np.log(share / (1 - share)))
     z, q = np.zeros(1 << BITS), np.zeros(1 << BITS)  # FTRL's state for w
-    start = rng.normal(0, 0.05, (1 << BITS, FACTORS)).astype(np.float32)
+    start = rng.normal(0, 0.1, (1 << BITS, FACTORS)).astype(np.float32)
     gv, g0 = np.full((1 << BITS, FACTORS), 1e-2, np.float32), 1.0
     alpha, beta = rate, 1.0
-    for _ in range(epochs):
+    for _ in range(epochs + 30_000 // n):
         order = rng.permutation(n)
         for at in range(0, n, batch):
             part = order[at:at + batch]
@@ -107,13 +109,14 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, rate:
             idx = np.concatenate([rows[i] for i in part])
             row = np.repeat(np.arange(len(part)), sizes)
             active = fm.w[idx] != 0
-            ai, ar = idx[active], row[active]
+            strong = np.abs(fm.w[idx]) >= STRONG
+            ai, ar = idx[strong], row[strong]
             va = fm.v[ai]
             sums = np.zeros((len(part), FACTORS))
             squares = np.zeros(len(part))
             np.add.at(sums, ar, va)
             np.add.at(squares, ar, (va * va).sum(1))
-            linear = np.bincount(ar, fm.w[ai], len(part))
+            linear = np.bincount(row[active], fm.w[idx[active]], len(part))
             logit = fm.w0 + linear + 0.5 * ((sums ** 2).sum(1) - squares)
             error = 1 / (1 + np.exp(-np.clip(logit, -30, 30))) - labels[part]
             # FTRL on w, one step for each slot of the batch
@@ -126,7 +129,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, rate:
             zs = z[slots]
             new = np.where(np.abs(zs) <= l1, 0, -(zs - np.sign(zs) * l1) / ((beta + np.sqrt(q[slots])) / alpha + l2))
             fm.w[slots] = new
-            born = slots[(old == 0) & (new != 0) & ~fm.v[slots].any(1)]
+            born = slots[(np.abs(new) >= STRONG) & ~fm.v[slots].any(1)]
             fm.v[born] = start[born]
             # AdaGrad on the factors that took part
             if len(ai):
@@ -136,10 +139,10 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, rate:
                 np.add.at(gsum, inv, grad)
                 gsum += l2 * fm.v[touched]
                 gv[touched] += gsum ** 2
-                fm.v[touched] -= 0.05 * gsum / np.sqrt(gv[touched])
+                fm.v[touched] -= FACTOR_RATE * gsum / np.sqrt(gv[touched])
             g0 += float(error.sum()) ** 2
             fm.w0 -= rate * float(error.sum()) / np.sqrt(g0)
-    fm.v[fm.w == 0] = 0
+    fm.v[np.abs(fm.w) < STRONG] = 0
     return fm
 
 
