@@ -43,6 +43,24 @@ def unpack(b: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(kind.itemsize, -1).T).reshape(-1).view(kind)
 
 
+def pack_ids(ids: list, kind=None) -> bytes:
+    """Document ids of any type, nulls among them (pandas has no whole null)."""
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(ids, kind)], ["id"])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpack_ids(b: bytes) -> list:
+    import pyarrow as pa
+
+    with pa.ipc.open_stream(b) as reader:
+        return reader.read_all().column("id").to_pylist()
+
+
 def word_hash(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word)
 
@@ -70,9 +88,9 @@ def store_blocks(docs: DataFrame, id_col: str, text_col: str, flag: Column | Non
 
     spark, size = docs.sparkSession, size or SIZE
     ship(spark)
-    kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"block long, n long, ids array<{kind}>, flags binary, sizes binary, tokens binary, words binary"
+    schema = "block long, n long, ids binary, flags binary, sizes binary, tokens binary, words binary"
     arrow = to_arrow_schema(StructType.fromDDL(schema))
+    id_kind = to_arrow_schema(StructType([docs.schema[id_col]])).field(0).type
 
     class Words(dict):
         def __missing__(self, word: bytes) -> int:
@@ -88,7 +106,7 @@ def store_blocks(docs: DataFrame, id_col: str, text_col: str, flag: Column | Non
 
         def block() -> pa.RecordBatch:
             text = zstandard.ZstdCompressor(level=1).compress(b" ".join(list(words)[1:]))
-            row = [number, n, ids, np.array(flags, np.uint8).tobytes(), np.array(sizes, "<i4").tobytes(),
+            row = [number, n, pack_ids(ids, id_kind), np.array(flags, np.uint8).tobytes(), np.array(sizes, "<i4").tobytes(),
                    pack(np.concatenate(tokens)), text]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, arrow)], schema=arrow)
 

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from martwright.llm.blocks import (ANSWER, PART, REQUEST, Block, Merged, answered, bits_for, mix, requests,
-                                   store_blocks, word_hash)
+                                   store_blocks, unpack_ids, word_hash)
 from martwright.llm.common import stored
 
 K = 5  # counts above it are not discounted
@@ -212,7 +212,7 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str =
         log[seen] = np.log10(_discounted(pairs[seen], m.d2)) - denominator[b.first[seen]]
         log[~seen] = alpha[b.first[~seen]] + np.log10(m.unigram(words[b.second[~seen]]))
         return pd.DataFrame({
-            id_col: list(block.iloc[0]["ids"]), "held_out": b.held, "n_tokens": b.sizes,
+            id_col: pd.Series(unpack_ids(block.iloc[0]["ids"]), dtype=object), "held_out": b.held, "n_tokens": b.sizes,
             "n_known": np.add.reduceat((words[b.tokens] > 0).astype(np.int64), b.start), "train_tokens": m.total,
             "base_score": np.add.reduceat(m.base(words)[b.tokens], b.start),
             "score": np.add.reduceat(log[b.occurrence], b.start)})

@@ -33,8 +33,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from martwright.llm.blocks import (ANSWER, PART, REQUEST, Block, Merged, answered, bits_for, mix, requests,
-                                   store_blocks, pack)
+from martwright.llm.blocks import (ANSWER, PART, REQUEST, Block, Merged, answered, bits_for, mix, pack, requests,
+                                   store_blocks, unpack_ids)
 from martwright.llm.common import stored
 
 LENGTH, SHINGLE = 13, 6
@@ -128,7 +128,7 @@ class Windows(Block):
     def __init__(self, row, length: int):
         super().__init__(row)
         self.length = length
-        self.ids = np.array([NOBODY if i is None else int(i) for i in row["ids"]], np.int64)
+        self.ids = np.array([NOBODY if i is None else int(i) for i in unpack_ids(row["ids"])], np.int64)
         stream = self.hashes[self.tokens]
         shingle = min(SHINGLE, length)
         s = _rolling(stream, shingle)
@@ -290,7 +290,7 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
         for a, n in zip(b.start.tolist(), (b.sizes - 1).tolist()):
             kept = b.tokens[a:a + n][~gone[a:a + n]].tolist()
             texts.append(b" ".join([b.words[t] for t in kept]).decode("utf-8", "replace"))
-        return pd.DataFrame({id_col: list(block.iloc[0]["ids"]), "n_words": b.sizes - 1,
+        return pd.DataFrame({id_col: pd.Series(unpack_ids(block.iloc[0]["ids"]), dtype=object), "n_words": b.sizes - 1,
                              "n_removed": np.add.reduceat(gone, b.start).astype(np.int64) if len(gone) else 0,
                              text_col: texts})
 
