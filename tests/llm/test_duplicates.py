@@ -7,6 +7,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from fixtures import messy, nothing, small  # noqa: F401
 from helpers import components, pairs
 
 from martwright.llm import blocks, simhash, substring_dedup

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from fixtures import messy, nothing, small  # noqa: F401
 from helpers import pairs
 from pyspark.sql import functions as F
 

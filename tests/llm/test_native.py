@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import pytest
 
+from fixtures import messy, nothing, small  # noqa: F401
 from helpers import pairs
 
 from martwright.llm import line_dedup, pii

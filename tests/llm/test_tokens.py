@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from fixtures import messy, nothing, small  # noqa: F401
 from helpers import pairs
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
