@@ -10,7 +10,7 @@ smaller document owns, judged on the input.
    whose anchor one document alone holds can't repeat.
 2. The rest, runs of neighbouring windows with one anchor, are dealt by anchor
    to reference shards, each distinct run of a block once with its smallest
-   id.  A shard builds one suffix automaton over its runs, carries smallest ids
+   id; a task gets many small shards, and works through them one by one.  A shard builds one suffix automaton over its runs, carries smallest ids
    up the suffix links, streams every run for its matching statistics, and
    where at least ``length`` words match it names the owner of the window.
 3. The owners go back to the blocks, which cut the maximal spans.
@@ -39,7 +39,8 @@ from martwright.llm.common import stored
 
 LENGTH, SHINGLE = 13, 6
 HOT = 2000  # documents; windows of a more frequent anchor are dealt by themselves
-SHARD = 8_000  # runs in a shard, about
+PART_RUNS = 8_000  # runs that one task gets together, about
+SHARD_BITS = 8  # of the key, after those that name the part: shards of a few dozen runs
 RUN = 64  # most windows in a run
 NOBODY = np.iinfo(np.int64).max
 
@@ -74,14 +75,21 @@ class SuffixAutomaton:
         for word in words:
             known = nxt[last].get(word)
             if known is not None:
-                last = self._follow(last, word, known)
+                last = known if size[known] == size[last] + 1 else self._follow(last, word, known)
             else:
-                state, p = self._new(size[last] + 1, {}, 0), last
-                while p >= 0 and word not in nxt[p]:
-                    nxt[p][word] = state
+                state, p = len(size), last
+                nxt.append({})
+                size.append(size[last] + 1)
+                least.append(NOBODY)
+                link.append(0)
+                while p >= 0:
+                    edges = nxt[p]
+                    q = edges.get(word)
+                    if q is not None:
+                        link[state] = q if size[q] == size[p] + 1 else self._follow(p, word, q)
+                        break
+                    edges[word] = state
                     p = link[p]
-                if p >= 0:
-                    link[state] = self._follow(p, word, nxt[p][word])
                 last = state
             if owner < least[last]:
                 least[last] = owner
@@ -145,11 +153,12 @@ class Windows(Block):
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct anchors, in how many documents each is, and each window's number."""
-        keys, number = np.unique(self.anchor, return_inverse=True)
-        first = np.ones(len(number), bool)
-        first[1:] = (number[1:] != number[:-1]) | (self.document[1:] != self.document[:-1])
-        pairs = np.unique(number[first] * len(self.sizes) + self.document[first])
-        return keys, np.bincount(pairs // max(1, len(self.sizes)), minlength=len(keys)), number
+        first = np.ones(len(self.anchor), bool)  # neighbours mostly have one anchor
+        first[1:] = (self.anchor[1:] != self.anchor[:-1]) | (self.document[1:] != self.document[:-1])
+        keys, number = np.unique(self.anchor[first], return_inverse=True)
+        pairs = np.unique(number * len(self.sizes) + self.document[first])
+        held_by = np.bincount(pairs // max(1, len(self.sizes)), minlength=len(keys))
+        return keys, held_by, number[np.cumsum(first) - 1]
 
     def runs(self, held_by: np.ndarray, number: np.ndarray) -> None:
         """The distinct runs of windows that can repeat, in order of shard key:
@@ -204,29 +213,32 @@ def _held_by(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _owned(length: int):
-    def shard(pdf: pd.DataFrame) -> pd.DataFrame:
+    def part(pdf: pd.DataFrame) -> pd.DataFrame:
         import zstandard
 
         pdf = pdf.sort_values("block")
         texts = [zstandard.ZstdDecompressor().decompress(b).split(b"\n") for b in pdf["texts"]]
         ids = [np.frombuffer(b, np.int64) for b in pdf["least"]]
-        least: dict[bytes, int] = {}
-        for part, own in zip(texts, ids):
-            for text, i in zip(part, own.tolist()):
+        shards: dict[int, dict[bytes, int]] = {}  # runs with their smallest id
+        for runs, own, at in zip(texts, ids, pdf["shards"]):
+            for text, i, s in zip(runs, own.tolist(), np.frombuffer(at, np.uint16).tolist()):
+                least = shards.setdefault(s, {})
                 if i < least.get(text, NOBODY + 1):
                     least[text] = i
-        numbers: dict[bytes, int] = {}
-        automaton, words = SuffixAutomaton(), {}
-        for text in sorted(least):
-            words[text] = [numbers.setdefault(w, len(numbers)) for w in text.split()]
-            automaton.add(words[text], least[text])
-        automaton.finish()
-        owners = {text: automaton.owners(w, length) for text, w in words.items()}
+        owners: dict[bytes, list[int]] = {}
+        for least in shards.values():
+            automaton, words = SuffixAutomaton(), {}
+            for text in sorted(least):
+                words[text] = text.split()
+                automaton.add(words[text], least[text])
+            automaton.finish()
+            for text, w in words.items():
+                owners[text] = automaton.owners(w, length)
         return pd.DataFrame({
             "block": pdf["block"].to_numpy(), "kind": "owner", "part": pdf["part"].to_numpy(),
-            "a": [pack(np.array([o for text in part for o in owners[text]], np.int64)) for part in texts],
+            "a": [pack(np.array([o for text in runs for o in owners[text]], np.int64)) for runs in texts],
             "b": [b""] * len(pdf)})
-    return shard
+    return part
 
 
 def drop_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
@@ -250,7 +262,7 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
 
     held = stored(blocks.drop("n").mapInArrow(anchors_asked, REQUEST + ", counts binary")
                   .groupBy("part").applyInPandas(_held_by, ANSWER + ", runs long"), "anchors")
-    shards = bits_for(held.agg(F.sum("runs")).first()[0] or 0, SHARD)
+    shards = bits_for(held.agg(F.sum("runs")).first()[0] or 0, PART_RUNS)
     held = held.drop("runs")
 
     def opened(block: pd.DataFrame, answers: pd.DataFrame) -> Windows | None:
@@ -266,15 +278,16 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
         out, b = [], opened(block, answers)
         if len(b.at) and len(b.keys):
             part = (b.keys >> np.uint64(64 - shards)).astype(np.int64) if shards else np.zeros(len(b.keys), np.int64)
+            shard = (b.keys >> np.uint64(64 - shards - SHARD_BITS) & np.uint64((1 << SHARD_BITS) - 1)).astype(np.uint16)
             edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
             for i, j in zip(edges[:-1].tolist(), edges[1:].tolist()):
                 texts = b"\n".join(b.text(a, n) for a, n in zip(b.begin[i:j].tolist(), b.extent[i:j].tolist()))
                 out.append((b.number, int(part[i]), zstandard.ZstdCompressor(level=3).compress(texts),
-                            b.least[i:j].tobytes()))
-        return pd.DataFrame(out, columns=["block", "part", "texts", "least"])
+                            b.least[i:j].tobytes(), shard[i:j].tobytes()))
+        return pd.DataFrame(out, columns=["block", "part", "texts", "least", "shards"])
 
     owners = (blocks.drop("n").groupBy("block").cogroup(held.groupBy("block"))
-              .applyInPandas(runs_asked, "block long, part int, texts binary, least binary")
+              .applyInPandas(runs_asked, "block long, part int, texts binary, least binary, shards binary")
               .groupBy("part").applyInPandas(_owned(length), ANSWER))
 
     def cut(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:

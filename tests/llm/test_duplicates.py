@@ -42,7 +42,7 @@ def got_repeats(df, length=substring_dedup.LENGTH):
 @pytest.mark.parametrize("size, shard, hot", [(2_000_000, 8_000, 2_000), (2_000, 50, 3)])
 def test_repeats_against_brute_force(spark, monkeypatch, size, shard, hot):
     monkeypatch.setattr(blocks, "SIZE", size)
-    monkeypatch.setattr(substring_dedup, "SHARD", shard)
+    monkeypatch.setattr(substring_dedup, "PART_RUNS", shard)
     monkeypatch.setattr(substring_dedup, "HOT", hot)
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").repartition(4)
     got = got_repeats(df)
