@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from martwright.llm.common import ship, workers
 from martwright.session import checkpoint_dir
 
-SIZE = 4_000_000  # tokens of a block, about
+SIZE = 2_000_000  # tokens of a block, about
 PART = 2_000_000  # keys that one task merges, about
 END = b"\n</s>"  # ends each text, word number 0; no word holds a line end
 
