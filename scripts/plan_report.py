@@ -31,7 +31,7 @@ def main() -> None:
                     help="queries whose whole final plan is appended")
     args = ap.parse_args()
 
-    import __spark_entry__ as entry
+    from martwright import registry
     from martwright.session import build_session
 
     spark = build_session("local[8]", shuffle_partitions=8)
@@ -45,7 +45,7 @@ def main() -> None:
     print("| query | shuffles | BHJ | SMJ | windows | hash aggs | sort aggs | python | scans (columns / pushed filters) |")
     print("|---|---|---|---|---|---|---|---|---|")
     full_plans: dict[str, str] = {}
-    for name, build in entry.queries().items():
+    for name, build in registry.queries().items():
         df = build(spark, args.sf_dir)
         qe = df._jdf.queryExecution()
         qe.toRdd().count()  # execute this plan (JVM side) so its adaptive plan is final
