@@ -33,8 +33,9 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from martwright.llm.common import map_batches, only, ship, stored
+from martwright.llm.common import fresh, map_batches, only, ship, stored
 from martwright.llm.components import components
 
 WORDS, SEED, DISTANCE = 4, 42, 4
@@ -164,27 +165,55 @@ def fingerprint_links(distinct: DataFrame, distance: int = DISTANCE) -> DataFram
             .groupBy("slice").applyInPandas(link, "low long, high long"))
 
 
+def _rooted(each: DataFrame, distance: int) -> DataFrame:
+    """``each`` (distinct ``fp``) with ``root``, the smallest fingerprint of its group."""
+    stars = components(fingerprint_links(each, distance))
+    return (each.join(stars.withColumnRenamed("high", "fp"), "fp", "left")
+            .withColumn("root", F.coalesce("low", "fp")).drop("low"))
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, fp, component_id`` of each row."""
     rows = stored(fingerprints(docs, words, id_col, text_col), "fingerprints")
     each = stored(rows.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
-    stars = components(fingerprint_links(each, distance))
-    rooted = (each.join(stars.withColumnRenamed("high", "fp"), "fp", "left")
-              .select("fp", "least", F.coalesce("low", "fp").alias("root")))
+    rooted = _rooted(each, distance)
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(ids, "root").select("fp", "component_id")
     return rows.join(named, "fp").select("id", "fp", "component_id")
 
 
+def _tagged(docs: DataFrame, words: int, text_col: str, fp: str) -> DataFrame:
+    """``docs`` with the fingerprint of each row as the column ``fp``."""
+    import pyarrow as pa
+
+    ship(docs.sparkSession)
+
+    def run(batches):
+        for batch in batches:
+            text = batch.column(batch.schema.get_field_index(text_col))
+            found = np.array([fingerprint(t.as_py(), words) for t in text], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.view(np.int64))],
+                                             names=[*batch.schema.names, fp])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(fp, LongType())]))
+
+
 def keep_first(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of ``docs`` for each group: that of its smallest id (of rows
-    that share this id, any one; a group without ids keeps one row)."""
-    groups = near_duplicates(docs, words, distance, id_col, text_col)
-    key, = [f"_key{'_' * n}" for n in range(9) if f"_key{'_' * n}" not in docs.columns][:1]
-    none = F.lit("null")
-    kept = groups.where(F.col("id").eqNullSafe(F.col("component_id"))).select(
-        F.coalesce(F.col("id").cast("string"), none).alias(key)).distinct()
-    return (docs.withColumn(key, F.coalesce(F.col(f"`{id_col}`").cast("string"), none))
-            .join(kept, key, "left_semi").dropDuplicates([key]).drop(key))
+    """One row of ``docs`` for each group: that of its smallest id, null ids
+    last; of rows that share it, the one with the least fingerprint, then the
+    least hash of the whole row.  Groups are told apart by their root, not by
+    an id, so groups without ids or with the same id keep a row each."""
+    fp, row = fresh(docs, "_fp", "_row")
+    cols = [F.col(f"`{c}`") for c in docs.columns]
+    # nulls leave a hash as it is, so it takes in where they are
+    rows = stored(_tagged(docs, words, text_col, fp).withColumn(
+        row, F.xxhash64(*cols, *map(F.isnull, cols))), "fingerprinted")
+    held = F.col(f"`{id_col}`")
+    first = F.min(F.struct(held.isNull().alias("none"), held.alias("id"), F.col(row).alias("row")))
+    each = stored(rows.groupBy(F.col(fp).alias("fp")).agg(first.alias("first")), "distinct")
+    kept = _rooted(each, distance).groupBy("root").agg(
+        F.min(F.struct("first.none", "first.id", "fp", "first.row")).alias("first"))
+    kept = kept.select(F.col("first.fp").alias(fp), F.col("first.row").alias(row))
+    return rows.join(kept, [fp, row], "left_semi").dropDuplicates([fp, row]).drop(fp, row)

@@ -110,6 +110,23 @@ def test_one_row_of_each_group_stays(messy, nothing):
     assert simhash.keep_first(nothing).count() == simhash.near_duplicates(nothing).count() == 0
 
 
+def test_each_group_keeps_a_row_whatever_its_ids(spark, messy):
+    rows = [(None, f"text number {k} without an id, long enough {k * 7919}") for k in range(30)]
+    rows += [(7, f"text number {k} under one id, long enough {k * 7919}") for k in range(30)]
+    rows += [(None, rows[0][1]), (8, rows[1][1]), (4, rows[1][1]), (7, rows[40][1]), (2, rows[40][1])]
+    shared = spark.createDataFrame([(*r, "a", None) for r in rows] + [(None, rows[0][1], None, "a")],
+                                   "doc_id long, text string, fp string, _fp string").repartition(3)
+    for df in (shared, messy):
+        all_rows = pairs(df)
+        fp = {t: brute_fingerprint(t) for _, t in all_rows}
+        group = components(set(fp.values()), near(set(fp.values())))
+        expected = {}
+        for i, t in all_rows:
+            expected.setdefault(group[fp[t]], []).append((i is None, i or 0))
+        got = [(group[fp[t]], (i is None, i or 0)) for i, t in pairs(simhash.keep_first(df))]
+        assert sorted(got) == sorted((g, min(ids)) for g, ids in expected.items())
+
+
 @pytest.mark.parametrize("bits", [0, 1, 6, 9])
 @pytest.mark.parametrize("distance", [0, 2, 4])
 def test_ball_hashing_connects_all_near_words(bits, distance):
