@@ -21,7 +21,9 @@ context.  The last three are left out where they overlap one of the first
 four.  Spans are code points, the end exclusive.
 
 The positions come from ``split`` and ``regexp_extract_all`` with one pattern:
-gaps and matches alternate, and their lengths add up to positions.  Patterns
+gaps and matches alternate, and their lengths add up to positions.  Context
+is taken from the text, joined from the gaps and matches around a span, so it
+doesn't end at the next match.  Patterns
 use possessive loops, and the two with an open run at the front start at the
 run's first character only, so time is linear in the text whatever it holds.
 
@@ -116,7 +118,30 @@ def _score(kind: str, before: Column, after: Column) -> Column:
     return F.lit(0.4 if kind in MORE[1:] else 0.8) + F.when(near, 0.3).otherwise(0.0)
 
 
-def _kind_spans(kind: str, gaps: Column, hits: Column) -> Column:
+def _pieces(gaps: Column, hits: Column) -> Column:
+    """For each match, the end of the text up to and with it, and the start of
+    the text from it on, as far as its own two gaps tell."""
+    return F.transform(hits, lambda h, i: F.struct(
+        F.concat(F.right(F.get(gaps, i), F.lit(CONTEXT)), F.right(h, F.lit(CONTEXT))).alias("back"),
+        F.concat(F.left(h, F.lit(CONTEXT)), F.left(F.get(gaps, i + 1), F.lit(CONTEXT))).alias("ahead")))
+
+
+def _around(gaps: Column, hits: Column, pieces: Column) -> Column:
+    """Each match with the ``CONTEXT`` code points of text before and after it."""
+    most = CONTEXT // 2  # a match has at least two code points
+
+    def around(hit: Column, i: Column) -> Column:
+        back = F.slice(pieces, F.greatest(i - most, F.lit(0)) + 1, F.least(i, F.lit(most)))["back"]
+        ahead = F.slice(pieces, i + 2, F.lit(most))["ahead"]
+        before = F.concat(F.array_join(back, ""), F.right(F.get(gaps, i), F.lit(CONTEXT)))
+        after = F.concat(F.left(F.get(gaps, i + 1), F.lit(CONTEXT)), F.array_join(ahead, ""))
+        return F.struct(hit.alias("hit"), F.right(before, F.lit(CONTEXT)).alias("before"),
+                        F.left(after, F.lit(CONTEXT)).alias("after"))
+
+    return F.transform(hits, around)
+
+
+def _kind_spans(kind: str, gaps: Column, hits: Column, around: Column) -> Column:
     """Confirmed spans of one kind from its gaps and matches."""
     sizes = F.zip_with(F.slice(gaps, 1, F.size(hits)), hits,
                        lambda g, h: F.struct(F.length(g).alias("g"), F.length(h).alias("h")))
@@ -124,19 +149,13 @@ def _kind_spans(kind: str, gaps: Column, hits: Column) -> Column:
         sizes, F.array().cast("array<int>"),
         lambda a, s: F.concat(a, F.array(F.coalesce(F.get(a, F.size(a) - 1), F.lit(0)) + s["g"] + s["h"])))
 
-    def span(hit: Column, i: Column) -> Column:
-        before = F.right(F.get(gaps, i), F.lit(CONTEXT))
-        after = F.left(F.get(gaps, i + 1), F.lit(CONTEXT))
-        return F.when(_confirmed(kind, hit, before, after), F.struct(
-            F.lit(kind).alias("kind"), F.length(hit).alias("n"), i.alias("i"),
-            _score(kind, before, after).alias("score")))
+    def span(m: Column, end: Column) -> Column:
+        return F.when(_confirmed(kind, m["hit"], m["before"], m["after"]), F.struct(
+            F.lit(kind).alias("kind"), (end - F.length(m["hit"])).alias("start"), end.alias("end"),
+            _score(kind, m["before"], m["after"]).alias("score")))
 
-    found = F.filter(F.transform(hits, span), lambda s: s.isNotNull() & (s["score"] >= KEEP))
-    empty = F.array().cast(SPAN)
-    made = F.transform(found, lambda s: F.struct(
-        s["kind"].alias("kind"), (F.get(ends, s["i"]) - s["n"]).alias("start"),
-        F.get(ends, s["i"]).alias("end"), s["score"].alias("score")))
-    return F.when(F.size(found) > 0, made).otherwise(empty)
+    found = F.filter(F.zip_with(around, ends, span), lambda s: s.isNotNull() & (s["score"] >= KEEP))
+    return F.when(F.size(hits) > 0, found).otherwise(F.array().cast(SPAN))
 
 
 def find_pii(docs: DataFrame, text_col: str = "text", out_col: str = "pii") -> DataFrame:
@@ -147,12 +166,17 @@ def find_pii(docs: DataFrame, text_col: str = "text", out_col: str = "pii") -> D
     none = F.array().cast("array<string>")
     by_kind = {}
     for kind in (*BASE, *MORE):
-        hits, gaps, out = fresh(df, f"_{kind}_hits", f"_{kind}_gaps", f"_{kind}")
+        hits, gaps, pieces, around, out = fresh(
+            df, f"_{kind}_hits", f"_{kind}_gaps", f"_{kind}_pieces", f"_{kind}_around", f"_{kind}")
         maybe = _HINT.get(kind, lambda c: c.rlike("[0-9]"))(F.col(t))
         df = df.withColumn(hits, F.when(maybe, F.regexp_extract_all(
             F.col(t), F.lit(PATTERNS[kind]), F.lit(0))).otherwise(none))
         df = df.withColumn(gaps, F.when(F.size(hits) > 0, F.split(F.col(t), PATTERNS[kind], -1)).otherwise(none))
-        df = df.withColumn(out, _kind_spans(kind, F.col(gaps), F.col(hits))).drop(hits, gaps)
+        # columns of their own, so that no match makes them anew
+        df = df.withColumn(pieces, _pieces(F.col(gaps), F.col(hits)))
+        df = df.withColumn(around, _around(F.col(gaps), F.col(hits), F.col(pieces)))
+        df = df.withColumn(out, _kind_spans(kind, F.col(gaps), F.col(hits), F.col(around)))
+        df = df.drop(hits, gaps, pieces, around)
         by_kind[kind] = out
     base, = fresh(df, "_base")
     df = df.withColumn(base, F.concat(*[F.col(by_kind[k]) for k in BASE]))

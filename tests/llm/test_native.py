@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 from collections import defaultdict
 
@@ -88,6 +89,32 @@ def test_extra_kinds_need_checksum_or_context(spark):
     assert list(map(kinds.get, texts)) == [["iban"], [], ["national_id"], [], ["local_phone"], [], ["phone"]]
 
 
+def near_word(kind, text, start, end):
+    words = re.compile(rf"(?i)\b(?:{pii.CONTEXT_WORDS[kind]})")
+    return bool(words.search(text[max(0, start - 40):start]) or words.search(text[end:end + 40]))
+
+
+def test_context_reaches_past_other_matches(spark):
+    rng = random.Random(3)
+    parts = ["(784) 555-9263", "784 555 9264", "219-09-9999", "call", "recall", "SSN", "or", "é🤗", ",", "4111 1", "a@b.co",
+             "1.2.3.4", "host", "mail", "+1 784 555 9263", "filler words here", "1.2.3.400"]
+    texts = ["Call (784) 555-9263 or (784) 555-9264.", "SSN 219-09-9999, 219-09-9998, 219-09-9997",
+             "219-09-9999 219-09-9998 ssn", "call " + "(784) 555-9263 " * 4]
+    texts += [" ".join(rng.choices(parts, k=rng.randint(1, 25))) for _ in range(150)]
+    got = pii.find_pii(spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)).collect()
+    for r in got:
+        base = [s for s in r.pii if s.kind in pii.BASE]
+        for s in base:
+            assert s.score == pytest.approx(1.1 if near_word(s.kind, r.text, s.start, s.end) else 0.8), (r.text, s)
+        for kind in ("national_id", "local_phone"):
+            expected = [m.span() for m in re.finditer(pii.PATTERNS[kind], r.text)
+                        if near_word(kind, r.text, *m.span())
+                        and not re.search("[0-9+-]$", r.text[:m.start()]) and not re.match("[0-9-]", r.text[m.end():])
+                        and not any(s.start < m.end() and m.start() < s.end for s in base)]
+            assert [(s.start, s.end) for s in r.pii if s.kind == kind] == expected, r.text
+    assert [len(r.pii) for t in texts[:4] for r in got if r.text == t] == [2, 3, 2, 3]
+
+
 def test_masking(spark, messy):
     texts = {"write a@b.co, or +1 784 555 92 63!": "write [EMAIL], or [PHONE]!", "x@1.2.3.4 é": "[EMAIL] é",
              "12 a": "12 a", None: None, "": ""}
