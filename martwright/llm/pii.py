@@ -10,7 +10,8 @@ email          pattern                                                0.8
 ip             four parts of at most 255                              0.8
 card           13 to 19 digits, Luhn                                  0.8
 phone          ``+`` form, 9 to 15 digits                             0.8
-iban           15 to 34 letters and digits, mod 97 = 1                0.8
+iban           15 to 34 letters and digits, mod 97 = 1, no part of    0.8
+               a longer word
 national_id    ddd-dd-dddd, not inside a longer number                0.4
 local_phone    ddd ddd dddd without ``+``, not inside a number        0.4
 =============  =====================================================  ==========
@@ -20,6 +21,10 @@ more are reported.  So the first five stand alone, and the last two need
 context.  The last three are left out where they overlap one of the first
 four.  Spans are code points, the end exclusive.
 
+An IBAN may be followed by a space and more capitals or digits, so every end
+of a word from 15 to 34 is tested.  Of several that pass, the one its country
+prescribes counts, else the longest; spans are taken from the left.
+
 The positions come from ``split`` and ``regexp_extract_all`` with one pattern:
 gaps and matches alternate, and their lengths add up to positions.  Context
 is taken from the text, joined from the gaps and matches around a span, so it
@@ -52,6 +57,17 @@ PATTERNS = {
     "national_id": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
     "local_phone": r"\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}",
 }
+# Where an IBAN can start; its end is searched for from there.  (The SQL form
+# of op1_pii tests the whole match of the pattern above instead.)
+IBAN_START = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:\x20?[A-Z0-9]){11})"
+IBAN_AHEAD = 64  # the rest of 34 with spaces between, and what follows
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+    32: "LC", 33: "RU",
+}
 CONTEXT_WORDS = {
     "email": "mail|contact",
     "ip": "ip|address|host|server",
@@ -104,9 +120,7 @@ def _confirmed(kind: str, hit: Column, before: Column, after: Column) -> Column:
     if kind == "phone":
         return n.between(9, 15)
     if kind == "iban":
-        plain = F.replace(hit, F.lit(" "), F.lit(""))
-        return (~before.rlike("[A-Za-z0-9]$") & ~after.rlike("^[A-Za-z0-9]")
-                & F.length(plain).between(15, 34) & mod97(plain))
+        return hit.isNotNull()
     if kind in ("national_id", "local_phone"):
         return ~before.rlike("[0-9+-]$") & ~after.rlike("^[0-9-]")
     return F.lit(True)
@@ -118,43 +132,79 @@ def _score(kind: str, before: Column, after: Column) -> Column:
     return F.lit(0.4 if kind in MORE[1:] else 0.8) + F.when(near, 0.3).otherwise(0.0)
 
 
-def _pieces(gaps: Column, hits: Column) -> Column:
+def _iban(words: Column) -> Column:
+    """The IBAN that ``words`` start with, its spaces included; null if none."""
+    parts = F.split(F.regexp_extract(words, r"^(?:\x20?[A-Z0-9]++(?![a-z]))++", 0), " ")
+    plain = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.struct(
+        k.alias("k"), F.array_join(F.slice(parts, F.lit(1), k), "").alias("plain")))
+    passed = F.filter(plain, lambda c: F.length(c["plain"]).between(15, 34) & mod97(c["plain"]))
+    usual = F.create_map(*[F.lit(x) for n, codes in IBAN_LENGTHS.items() for c in codes.split() for x in (c, n)])
+    best = F.array_max(F.transform(passed, lambda c: F.struct(
+        F.coalesce(F.length(c["plain"]) == F.try_element_at(usual, F.left(c["plain"], F.lit(2))), F.lit(False)).alias("usual"),
+        F.length(c["plain"]).alias("n"), c["k"].alias("k"))))
+    return F.left(words, best["n"] + best["k"] - 1)
+
+
+def _pieces(gaps: Column, hits: Column, width: int) -> Column:
     """For each match, the end of the text up to and with it, and the start of
     the text from it on, as far as its own two gaps tell."""
     return F.transform(hits, lambda h, i: F.struct(
         F.concat(F.right(F.get(gaps, i), F.lit(CONTEXT)), F.right(h, F.lit(CONTEXT))).alias("back"),
-        F.concat(F.left(h, F.lit(CONTEXT)), F.left(F.get(gaps, i + 1), F.lit(CONTEXT))).alias("ahead")))
+        F.concat(F.left(h, F.lit(width)), F.left(F.get(gaps, i + 1), F.lit(width))).alias("ahead")))
 
 
-def _around(gaps: Column, hits: Column, pieces: Column) -> Column:
-    """Each match with the ``CONTEXT`` code points of text before and after it."""
-    most = CONTEXT // 2  # a match has at least two code points
+def _around(gaps: Column, hits: Column, pieces: Column, width: int) -> Column:
+    """Each match with the ``CONTEXT`` code points of text before it and the
+    ``width`` after it."""
+    most = width // 2  # a match has at least two code points
 
     def around(hit: Column, i: Column) -> Column:
         back = F.slice(pieces, F.greatest(i - most, F.lit(0)) + 1, F.least(i, F.lit(most)))["back"]
         ahead = F.slice(pieces, i + 2, F.lit(most))["ahead"]
         before = F.concat(F.array_join(back, ""), F.right(F.get(gaps, i), F.lit(CONTEXT)))
-        after = F.concat(F.left(F.get(gaps, i + 1), F.lit(CONTEXT)), F.array_join(ahead, ""))
+        after = F.concat(F.left(F.get(gaps, i + 1), F.lit(width)), F.array_join(ahead, ""))
         return F.struct(hit.alias("hit"), F.right(before, F.lit(CONTEXT)).alias("before"),
-                        F.left(after, F.lit(CONTEXT)).alias("after"))
+                        F.left(after, F.lit(width)).alias("after"))
 
     return F.transform(hits, around)
 
 
+def _whole_ibans(around: Column) -> Column:
+    """Starts of IBANs, each made the whole of its IBAN (null if there is none)."""
+    words = F.transform(around, lambda m: F.struct(
+        m["before"].alias("before"), F.concat(m["hit"], m["after"]).alias("words"),
+        _iban(F.concat(m["hit"], F.left(m["after"], F.lit(IBAN_AHEAD)))).alias("hit")))
+    return F.transform(words, lambda m: F.struct(
+        m["hit"].alias("hit"), m["before"].alias("before"),
+        F.substring(m["words"], F.length(m["hit"]) + 1, F.lit(CONTEXT)).alias("after")))
+
+
+def _from_the_left(spans: Column) -> Column:
+    """``spans`` without those that start inside an earlier one."""
+    def add(kept: Column, s: Column) -> Column:
+        end = F.coalesce(F.get(kept, F.size(kept) - 1)["end"], F.lit(0))
+        return F.when(s["start"] < end, kept).otherwise(F.concat(kept, F.array(s)))
+
+    return F.aggregate(spans, F.array().cast(SPAN), add)
+
+
 def _kind_spans(kind: str, gaps: Column, hits: Column, around: Column) -> Column:
     """Confirmed spans of one kind from its gaps and matches."""
     sizes = F.zip_with(F.slice(gaps, 1, F.size(hits)), hits,
                        lambda g, h: F.struct(F.length(g).alias("g"), F.length(h).alias("h")))
-    ends = F.aggregate(
+    ends = F.aggregate(  # of the gaps and matches alone, an IBAN's match being its start
         sizes, F.array().cast("array<int>"),
         lambda a, s: F.concat(a, F.array(F.coalesce(F.get(a, F.size(a) - 1), F.lit(0)) + s["g"] + s["h"])))
 
-    def span(m: Column, end: Column) -> Column:
+    def span(m: Column, at: Column) -> Column:
+        start = at - (4 if kind == "iban" else F.length(m["hit"]))
         return F.when(_confirmed(kind, m["hit"], m["before"], m["after"]), F.struct(
-            F.lit(kind).alias("kind"), (end - F.length(m["hit"])).alias("start"), end.alias("end"),
+            F.lit(kind).alias("kind"), start.alias("start"), (start + F.length(m["hit"])).alias("end"),
             _score(kind, m["before"], m["after"]).alias("score")))
 
     found = F.filter(F.zip_with(around, ends, span), lambda s: s.isNotNull() & (s["score"] >= KEEP))
+    if kind == "iban":
+        found = _from_the_left(found)
     return F.when(F.size(hits) > 0, found).otherwise(F.array().cast(SPAN))
 
 
@@ -168,13 +218,16 @@ def find_pii(docs: DataFrame, text_col: str = "text", out_col: str = "pii") -> D
     for kind in (*BASE, *MORE):
         hits, gaps, pieces, around, out = fresh(
             df, f"_{kind}_hits", f"_{kind}_gaps", f"_{kind}_pieces", f"_{kind}_around", f"_{kind}")
+        pattern, width = (IBAN_START, IBAN_AHEAD + CONTEXT) if kind == "iban" else (PATTERNS[kind], CONTEXT)
         maybe = _HINT.get(kind, lambda c: c.rlike("[0-9]"))(F.col(t))
         df = df.withColumn(hits, F.when(maybe, F.regexp_extract_all(
-            F.col(t), F.lit(PATTERNS[kind]), F.lit(0))).otherwise(none))
-        df = df.withColumn(gaps, F.when(F.size(hits) > 0, F.split(F.col(t), PATTERNS[kind], -1)).otherwise(none))
+            F.col(t), F.lit(pattern), F.lit(0))).otherwise(none))
+        df = df.withColumn(gaps, F.when(F.size(hits) > 0, F.split(F.col(t), pattern, -1)).otherwise(none))
         # columns of their own, so that no match makes them anew
-        df = df.withColumn(pieces, _pieces(F.col(gaps), F.col(hits)))
-        df = df.withColumn(around, _around(F.col(gaps), F.col(hits), F.col(pieces)))
+        df = df.withColumn(pieces, _pieces(F.col(gaps), F.col(hits), width))
+        df = df.withColumn(around, _around(F.col(gaps), F.col(hits), F.col(pieces), width))
+        if kind == "iban":
+            df = df.withColumn(around, _whole_ibans(F.col(around)))
         df = df.withColumn(out, _kind_spans(kind, F.col(gaps), F.col(hits), F.col(around)))
         df = df.drop(hits, gaps, pieces, around)
         by_kind[kind] = out

@@ -115,6 +115,17 @@ def test_context_reaches_past_other_matches(spark):
     assert [len(r.pii) for t in texts[:4] for r in got if r.text == t] == [2, 3, 2, 3]
 
 
+def test_ibans_end_where_they_should(spark):
+    de, gb, no, fr = ("DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "NO9386011117947",
+                      "FR14 2004 1010 0505 0001 3M02 606")
+    own = "QX" + next(f"{c:02}" for c in range(2, 99) if int("1234567890" "101112" "2633" + f"{c:02}") % 97 == 1) + "1234567890ABC"
+    cases = {f"{de} BIC COBADEFFXXX": [de], f"{de} Please": [de], f"{de} {gb}": [de, gb], f"{gb} {de} {no} 7": [gb, de, no],
+             f"AB12 {de}": [de], f"é{fr} X": [fr], f"{own} {no}, {own}": [own, no, own], f"{de}X": [], f"{de}x": [], f"X{no}": [],
+             f"pay {no} {no} {no} {no}": [no] * 4, f"{de}": [de], f"🤗 {de} 12 {gb}!": [de, gb]}
+    got = pii.find_pii(spark.createDataFrame([(t,) for t in cases], "text string")).collect()
+    assert {r.text: [r.text[s.start:s.end] for s in r.pii if s.kind == "iban"] for r in got} == cases
+
+
 def test_masking(spark, messy):
     texts = {"write a@b.co, or +1 784 555 92 63!": "write [EMAIL], or [PHONE]!", "x@1.2.3.4 é": "[EMAIL] é",
              "12 a": "12 a", None: None, "": ""}
