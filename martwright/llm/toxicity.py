@@ -8,9 +8,13 @@ the longer ones, so that inflected forms share evidence; each is hashed to one
 of ``2**BITS`` slots.
 
 Training runs in numpy on a bounded sample of labelled rows (``SAMPLE``):
-FTRL with an L1 penalty for w, AdaGrad with an L2 penalty for v.  A term has
-factors only while its w is ``STRONG``, so that the many weak terms of a long
-text add no noise to its pairs.  Scoring is one pass over the documents without a shuffle.
+FTRL with an L1 penalty for w, AdaGrad with an L2 penalty for v.  In the first
+part of a fit a term has factors only while its w is ``STRONG``, so that the
+many weak terms of a long text add no noise to its pairs.  In the second part
+every term that ``OFTEN`` rows hold has factors, whatever its w, as a term that
+says nothing alone can in a pair; theirs are held short by a penalty on their
+length, which takes those that no pair needs to zero.
+Scoring is one pass over the documents without a shuffle.
 
 Defined results: a null or empty text scores sigmoid(w0); without any
 labelled row all weights are zero (score 0.5); repeated rows score alike.
@@ -29,7 +33,11 @@ from martwright.llm.common import labelled_sample, map_batches, only, ship
 BITS = 18
 FACTORS = 4
 FACTOR_RATE = 0.2
-STRONG = 0.5  # a term has factors while its weight is at least this, up or down
+STRONG = 0.5  # in the first part of a fit, a term has factors while its weight is at least this, up or down
+OFTEN = 20  # in the second, every term that so many rows of the sample hold
+START = 0.05  # deviation of the factors that begin there
+LATE_RATE = 0.05
+SHRINK = 0.02  # penalty on the length of their v, for each row that holds the term
 SAMPLE = 16_000  # most labelled rows that a fit uses
 EPOCHS = 8  # passes over the sample, and more for a small one
 # letters and all that isn't ASCII stay, the rest parts words
@@ -73,20 +81,24 @@ class FactorizationMachine:
         for word in _terms(text):
             slots = active.get(word)
             if slots is None:
-                slots = active[word] = tuple(s for s in _slots(word) if self.w[s])
+                slots = active[word] = tuple(s for s in _slots(word) if self.w[s] or self.v[s].any())
             if slots:
                 found.update(slots)
         return self.score(np.array(sorted(found), np.int64))
 
     def logit(self, slots: np.ndarray) -> float:
-        s = slots[self.w[slots] != 0]
-        v = self.v[s]
-        return float(self.w0 + self.w[s].sum() + 0.5 * ((v.sum(0) ** 2).sum() - (v * v).sum()))
+        v = self.v[slots].astype(float)
+        return float(self.w0 + self.w[slots].sum() + 0.5 * ((v.sum(0) ** 2).sum() - (v * v).sum()))
 
     def score(self, slots: np.ndarray) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.logit(slots), -30, 30))))
 
 
+def _sums(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """The sums of the rows of ``values`` that share an ``at``."""
+    return np.stack([np.bincount(at, column, n) for column in values.T], 1)
+
+
 def fit(rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, rate: float = 2.0,
         l1: float = 0.35, l2: float = 1e-2, batch: int = 256, seed: int = 7) -> FactorizationMachine:
     """A machine from the slots of each row and its 0/1 label."""
@@ -99,24 +111,28 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, rate:
     fm.w0 = float(np.log(share / (1 - share)))
     z, q = np.zeros(1 << BITS), np.zeros(1 << BITS)  # FTRL's state for w
     start = rng.normal(0, 0.1, (1 << BITS, FACTORS)).astype(np.float32)
+    often = np.bincount(np.concatenate(rows), minlength=1 << BITS) >= OFTEN
+    late = np.zeros(1 << BITS, bool)  # slots whose factors begin in the second part
     gv, g0 = np.full((1 << BITS, FACTORS), 1e-2, np.float32), 1.0
     alpha, beta = rate, 1.0
-    for _ in range(epochs + 30_000 // n):
+    first = epochs + 30_000 // n
+    for epoch in range(first + -(-first // 2)):
+        if epoch == first:
+            fm.v[np.abs(fm.w) < STRONG] = 0
+            late = often & ~fm.v.any(1)
+            fm.v[late] = rng.normal(0, START, (int(late.sum()), FACTORS))
         order = rng.permutation(n)
         for at in range(0, n, batch):
             part = order[at:at + batch]
             sizes = np.array([len(rows[i]) for i in part])
             idx = np.concatenate([rows[i] for i in part])
             row = np.repeat(np.arange(len(part)), sizes)
-            active = fm.w[idx] != 0
-            strong = np.abs(fm.w[idx]) >= STRONG
-            ai, ar = idx[strong], row[strong]
-            va = fm.v[ai]
-            sums = np.zeros((len(part), FACTORS))
-            squares = np.zeros(len(part))
-            np.add.at(sums, ar, va)
-            np.add.at(squares, ar, (va * va).sum(1))
-            linear = np.bincount(row[active], fm.w[idx[active]], len(part))
+            has = fm.v[idx].any(1) if epoch >= first else np.abs(fm.w[idx]) >= STRONG
+            ai, ar = idx[has], row[has]
+            va = fm.v[ai].astype(float)
+            sums = _sums(ar, va, len(part))
+            squares = np.bincount(ar, (va * va).sum(1), len(part))
+            linear = np.bincount(row, fm.w[idx], len(part))
             logit = fm.w0 + linear + 0.5 * ((sums ** 2).sum(1) - squares)
             error = 1 / (1 + np.exp(-np.clip(logit, -30, 30))) - labels[part]
             # FTRL on w, one step for each slot of the batch
@@ -129,20 +145,21 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, rate:
             zs = z[slots]
             new = np.where(np.abs(zs) <= l1, 0, -(zs - np.sign(zs) * l1) / ((beta + np.sqrt(q[slots])) / alpha + l2))
             fm.w[slots] = new
-            born = slots[(np.abs(new) >= STRONG) & ~fm.v[slots].any(1)]
-            fm.v[born] = start[born]
-            # AdaGrad on the factors that took part
+            if epoch < first:
+                born = slots[(np.abs(new) >= STRONG) & ~fm.v[slots].any(1)]
+                fm.v[born] = start[born]
+            # AdaGrad on the factors that took part, then the penalty of the late ones
             if len(ai):
-                grad = error[ar][:, None] * (sums[ar] - va)
                 touched, inv = np.unique(ai, return_inverse=True)
-                gsum = np.zeros((len(touched), FACTORS))
-                np.add.at(gsum, inv, grad)
-                gsum += l2 * fm.v[touched]
+                gsum = _sums(inv, error[ar][:, None] * (sums[ar] - va), len(touched)) + l2 * fm.v[touched]
                 gv[touched] += gsum ** 2
-                fm.v[touched] -= FACTOR_RATE * gsum / np.sqrt(gv[touched])
+                step = np.where(late[touched], LATE_RATE, FACTOR_RATE)[:, None] / np.sqrt(gv[touched])
+                moved = fm.v[touched] - step * gsum
+                pull = SHRINK * np.bincount(inv) * late[touched] * step.mean(1)
+                length = np.maximum(np.sqrt((moved ** 2).sum(1)), 1e-12)
+                fm.v[touched] = moved * np.maximum(0, 1 - pull / length)[:, None]
             g0 += float(error.sum()) ** 2
             fm.w0 -= rate * float(error.sum()) / np.sqrt(g0)
-    fm.v[np.abs(fm.w) < STRONG] = 0
     return fm
 
 

@@ -174,6 +174,20 @@ def test_pairs_count_beyond_single_terms():
     assert abs(float(fm.v[1] @ fm.v[2])) > 0.1
 
 
+def test_pairs_with_a_term_that_is_neutral_alone():
+    """Term 2 turns 1 from clean to toxic and 3 from toxic to clean, and says nothing by itself."""
+    rng = np.random.default_rng(1)
+    rows, labels = [], []
+    for _ in range(3000):
+        a, b = rng.random(2) < 0.5
+        rows.append(np.unique([1 if a else 3] + [2] * int(b) + [10 + int(x) for x in rng.integers(0, 50, 5)]).astype(np.int64))
+        labels.append(float(a == b))
+    assert abs(np.mean([y for r, y in zip(rows, labels) if 2 in r]) - np.mean(labels)) < 0.03
+    fm = toxicity.fit(rows, np.array(labels), epochs=40)
+    score = lambda *s: fm.score(np.array(s, np.int64))
+    assert min(score(1, 2), score(3)) > 0.7 > 0.3 > max(score(1), score(2, 3))
+
+
 def test_toxicity_on_awkward_tables(spark, messy, nothing):
     docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
     fm = toxicity.train(docs, labels)
