@@ -118,7 +118,8 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label_col: str, bou
     """``doc_id, text, label`` of at most ``bound`` labelled rows, those with
     the smallest hash of their id.  ``skip_mod=(m, r)`` leaves out the rows
     whose crc32(doc_id as text) mod m is r.  The bound keeps the broadcast of
-    the ids small whatever the tables hold.
+    the ids small whatever the tables hold.  Of documents that share an id, the
+    one with the least hash of its text stands for it.
     """
     label = F.col(f"`{label_col}`").cast("int")
     known = labels.where(F.col("doc_id").isNotNull() & label.isNotNull())
@@ -126,4 +127,6 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label_col: str, bou
         known = known.where(F.crc32(F.col("doc_id").cast("string")) % skip_mod[0] != skip_mod[1])
     known = known.groupBy("doc_id").agg(F.max(label).alias("label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
-    return only(documents, "doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    found = only(documents, "doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least")
+    return found.groupBy("doc_id", "label").agg(least).select("doc_id", "least.text", "label")

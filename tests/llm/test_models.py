@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from martwright.llm import blocks, katz, quality, toxicity
 from martwright.llm import queries as Q
+from martwright.llm.common import labelled_sample
 
 SMALL = "/root/testdata/sf0.001"
 START, END = "<start>", "<end>"
@@ -188,6 +189,16 @@ def test_pairs_with_a_term_that_is_neutral_alone():
     assert min(score(1, 2), score(3)) > 0.7 > 0.3 > max(score(1), score(2, 3))
 
 
+def test_labelled_sample_has_a_row_for_each_id(spark):
+    rows = [(i, f"text {i}") for i in range(40)] + [(7, f"copy {k}") for k in range(200)] + [(None, "none")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    got = [sorted(map(tuple, labelled_sample(d, labels, "toxic", 40).collect())) for d in (docs, docs.repartition(5))]
+    assert got[0] == got[1]
+    assert [(i, label) for i, _, label in got[0]] == [(i, i % 2) for i in range(40)]
+    assert set((i, t) for i, t, _ in got[0]) <= set(rows)
+
+
 def test_toxicity_on_awkward_tables(spark, messy, nothing):
     docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
     fm = toxicity.train(docs, labels)
