@@ -1,10 +1,11 @@
 """Table-level operators: thresholds, distinct, appends, shares, ordered scans."""
 
+from martwright.operators.positions import with_positions
 from martwright.operators.table_ops import (append_rows, distinct_values, event_share,
                                             neighbour_diff, record_count, rows_at_or_below,
                                             take_until, threshold_summary)
 
 __all__ = [
     "append_rows", "distinct_values", "event_share", "neighbour_diff", "record_count",
-    "rows_at_or_below", "take_until", "threshold_summary",
+    "rows_at_or_below", "take_until", "threshold_summary", "with_positions",
 ]

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from martwright.functions.exprs import day_of, money_round
+from martwright.operators.positions import with_positions
 from martwright.plans import datasets
 
 _RAW_REVENUE = "_raw_revenue"
@@ -128,7 +129,8 @@ def daily_revenue_from_sources(artist: DataFrame, album: DataFrame, track: DataF
 def artist_revenue_from_sources(artist: DataFrame, album: DataFrame, track: DataFrame,
                                 invoice_line: DataFrame, invoice: DataFrame,
                                 invoice_id_is_key: bool = False,
-                                ordered_report: bool = False) -> DataFrame:
+                                ordered_report: bool = False,
+                                positions: bool = False) -> DataFrame:
     """Q6 from the sources.
 
     Lines are summed per (invoice, artist) before the invoice join, so the
@@ -139,12 +141,15 @@ def artist_revenue_from_sources(artist: DataFrame, album: DataFrame, track: Data
     The join only adds a date that this mart does not use.  A caller who
     knows that invoice ids don't repeat may say so with
     ``invoice_id_is_key``; the join changes no row then and is left out.
+    ``ordered_report`` sorts the result, ``positions`` numbers its rows.
     """
     lines = datasets.artist_lines(artist, album, track, invoice_line)
     if not invoice_id_is_key:
         lines = (lines.groupBy("invoice_id", "artist_name")
                  .agg(F.sum("total_price").alias("total_price"))
                  .join(invoice.select("invoice_id"), "invoice_id", "left"))
+    if positions:
+        return positioned("artist_revenue", lines)
     return ordered_artist_revenue(lines) if ordered_report else artist_revenue(lines)
 
 
@@ -202,27 +207,47 @@ def daily_totals(df: DataFrame, ts_col: str, value_col: str,
 # Report orders.  Null placement: the three extracts sort nulls last (their
 # source database does), the marts sort nulls first (their warehouse does).
 
+# The keys of each report: column, ascending or not, nulls first or not.
+_REPORT_KEYS = {
+    # the source leaves ties open; with more keys the range boundaries can
+    # split the rows of one artist (or customer) over many tasks
+    "sales_lines": [(k, True, False) for k in ("artist_id", "invoice_id", "invoice_line_id", "track_id")],
+    "catalog": [("artist_id", True, False), ("track_id", True, False)],
+    "transactions": [(k, True, False) for k in ("customer_id", "invoice_id", "track_id")],
+    "daily_revenue": [("invoice_date", True, True)],
+    "artist_productivity": [("genre_name", True, True), ("counted_songs", False, True)],
+    "artist_revenue": [(_RAW_REVENUE, False, True)],
+    "visit_frequency": [("frequency_level", False, True), ("country", True, True)],
+}
+
+
+def _sort_column(name: str, ascending: bool, nulls_first: bool):
+    c = F.col(name)
+    if ascending:
+        return c.asc_nulls_first() if nulls_first else c.asc_nulls_last()
+    return c.desc_nulls_first() if nulls_first else c.desc_nulls_last()
+
+
 def ordered(name: str, df: DataFrame) -> DataFrame:
     """Apply the source query's ORDER BY to a dataset or mart by name."""
-    c = F.col
-    if name == "sales_lines":
-        # the source leaves ties open; with more keys the range boundaries can
-        # split the rows of one artist (or customer) over many tasks
-        return df.orderBy(*[c(k).asc_nulls_last() for k in
-                            ("artist_id", "invoice_id", "invoice_line_id", "track_id")])
-    if name == "catalog":
-        return df.orderBy(c("artist_id").asc_nulls_last(), c("track_id").asc_nulls_last())
-    if name == "transactions":
-        return df.orderBy(*[c(k).asc_nulls_last() for k in ("customer_id", "invoice_id", "track_id")])
-    if name == "daily_revenue":
-        return df.orderBy(c("invoice_date").asc_nulls_first())
-    if name == "artist_productivity":
-        return df.orderBy(c("genre_name").asc_nulls_first(),
-                          c("counted_songs").desc_nulls_first())
-    if name == "visit_frequency":
-        return df.orderBy(c("frequency_level").desc_nulls_first(),
-                          c("country").asc_nulls_first())
-    raise KeyError(f"no report order for {name!r}; artist_revenue uses ordered_artist_revenue")
+    if name == "artist_revenue" or name not in _REPORT_KEYS:
+        raise KeyError(f"no report order for {name!r}; artist_revenue uses ordered_artist_revenue")
+    return df.orderBy(*[_sort_column(*k) for k in _REPORT_KEYS[name]])
+
+
+def positioned(name: str, df: DataFrame) -> DataFrame:
+    """A dataset or mart with its report order as the column ``position``.
+
+    The order is the source query's; ties that it leaves open go by the
+    remaining columns, ascending with nulls last, so that the positions of
+    different rows are fixed.  ``artist_revenue`` takes the sales lines, as
+    its order is that of a sum it doesn't show.
+    """
+    if name == "artist_revenue":
+        df = _artist_revenue_raw(df)
+    keys = _REPORT_KEYS[name]
+    rest = [(c, True, False) for c in df.columns if c not in {k for k, *_ in keys}]
+    return with_positions(df, *[_sort_column(*k) for k in keys + rest]).drop(_RAW_REVENUE)
 
 
 def ordered_artist_revenue(sales_lines: DataFrame) -> DataFrame:

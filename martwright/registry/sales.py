@@ -49,11 +49,10 @@ def _daily_revenue(spark, sf_dir):
                                             r["invoice_line"], r["invoice"])
 
 
-def _artist_revenue(spark, sf_dir, ordered_report=False):
+def _artist_revenue(spark, sf_dir):
     r = _shared_roles(spark, sf_dir, sales_roles)
     return marts.artist_revenue_from_sources(r["artist"], r["album"], r["track"],
-                                             r["invoice_line"], r["invoice"],
-                                             ordered_report=ordered_report)
+                                             r["invoice_line"], r["invoice"])
 
 
 def _artist_productivity(spark, sf_dir):
@@ -174,33 +173,35 @@ LEFT JOIN region r   ON n.n_regionkey = r.r_regionkey
 WHERE l.l_orderkey IS NOT NULL
 """
 
+# Read-side orders: the place of each row as a column.
 def _daily_revenue_report(spark, sf_dir):
-    return marts.ordered("daily_revenue", _daily_revenue(spark, sf_dir))
+    return marts.positioned("daily_revenue", _daily_revenue(spark, sf_dir))
 
 
 def _artist_productivity_report(spark, sf_dir):
-    return marts.ordered("artist_productivity", _artist_productivity(spark, sf_dir))
+    return marts.positioned("artist_productivity", _artist_productivity(spark, sf_dir))
 
 
 def _artist_revenue_report(spark, sf_dir):
-    return _artist_revenue(spark, sf_dir, ordered_report=True)
+    r = _shared_roles(spark, sf_dir, sales_roles)
+    return marts.artist_revenue_from_sources(r["artist"], r["album"], r["track"],
+                                             r["invoice_line"], r["invoice"], positions=True)
 
 
 def _visit_frequency_report(spark, sf_dir):
-    return marts.ordered("visit_frequency", _visit_frequency(spark, sf_dir))
+    return marts.positioned("visit_frequency", _visit_frequency(spark, sf_dir))
 
 
-# Read-side orders of the extracts (a range-partitioned global sort).
 def _sales_lines_report(spark, sf_dir):
-    return marts.ordered("sales_lines", _sales_lines(spark, sf_dir))
+    return marts.positioned("sales_lines", _sales_lines(spark, sf_dir))
 
 
 def _catalog_report(spark, sf_dir):
-    return marts.ordered("catalog", _catalog(spark, sf_dir))
+    return marts.positioned("catalog", _catalog(spark, sf_dir))
 
 
 def _transactions_report(spark, sf_dir):
-    return marts.ordered("transactions", _transactions(spark, sf_dir))
+    return marts.positioned("transactions", _transactions(spark, sf_dir))
 
 
 QUERIES = {
@@ -274,20 +275,36 @@ SELECT NULL, artist_name, 2, ROUND(SUM(total_price), 2) FROM sl GROUP BY artist_
 """
 ORACLE["positional_names"] = "SELECT n_nationkey AS album_id, n_name AS title FROM nation\n"
 
-# Report orders: the marts' ORDER BY clauses (nulls first, as in the warehouse).
-ORACLE["daily_revenue_report"] = ORACLE["daily_revenue"] + "ORDER BY invoice_date NULLS FIRST\n"
-ORACLE["artist_productivity_report"] = (
-    ORACLE["artist_productivity"]
-    + "ORDER BY genre_name ASC NULLS FIRST, counted_songs DESC NULLS FIRST\n")
+
+
+def _numbered(name: str, order: str, sql: str | None = None) -> str:
+    """The rows of a query with their place by ``order``."""
+    return f"""
+WITH report AS ({sql or ORACLE[name]})
+SELECT *, row_number() OVER (ORDER BY {order}) AS position FROM report
+"""
+
+
+# Report orders: the marts' ORDER BY clauses (nulls first, as in the warehouse),
+# the extracts' (nulls last, as in the source database), then the other columns.
+ORACLE["daily_revenue_report"] = _numbered("daily_revenue", "invoice_date NULLS FIRST")
+ORACLE["artist_productivity_report"] = _numbered(
+    "artist_productivity", "genre_name ASC NULLS FIRST, counted_songs DESC NULLS FIRST, artist_name NULLS LAST")
 ORACLE["artist_revenue_report"] = f"""
-WITH sl AS ({SALES_LINES_SQL})
-SELECT artist_name, ROUND(SUM(total_price), 2) AS total_revenue
-FROM sl GROUP BY artist_name
-ORDER BY SUM(total_price) DESC NULLS FIRST
+WITH sl AS ({SALES_LINES_SQL}),
+raw AS (SELECT artist_name, SUM(total_price) AS revenue FROM sl GROUP BY artist_name)
+SELECT artist_name, ROUND(revenue, 2) AS total_revenue,
+       row_number() OVER (ORDER BY revenue DESC NULLS FIRST, artist_name NULLS LAST) AS position
+FROM raw
 """
-ORACLE["visit_frequency_report"] = (
-    ORACLE["visit_frequency"] + "ORDER BY frequency_level DESC NULLS FIRST, country NULLS FIRST\n")
-# Extract orders: nulls last, as the source database sorts.
-ORACLE["sales_lines_report"] = SALES_LINES_SQL + "ORDER BY artist_id ASC NULLS LAST\n"
-ORACLE["catalog_report"] = CATALOG_SQL + "ORDER BY artist_id ASC NULLS LAST, track_id ASC NULLS LAST\n"
-ORACLE["transactions_report"] = TRANSACTIONS_SQL + "ORDER BY customer_id ASC NULLS LAST\n"
+ORACLE["visit_frequency_report"] = _numbered(
+    "visit_frequency", "frequency_level DESC NULLS FIRST, country NULLS FIRST")
+ORACLE["sales_lines_report"] = _numbered("sales_lines", ", ".join(f"{c} ASC NULLS LAST" for c in (
+    "artist_id", "invoice_id", "invoice_line_id", "track_id", "artist_name", "album_title", "song_title",
+    "total_price", "invoice_date")))
+ORACLE["catalog_report"] = _numbered("catalog", ", ".join(f"{c} ASC NULLS LAST" for c in (
+    "artist_id", "track_id", "album_id", "genre_id", "artist_name", "album_title", "song_title", "genre_name",
+    "unit_price", "bytes")))
+ORACLE["transactions_report"] = _numbered("transactions", ", ".join(f"{c} ASC NULLS LAST" for c in (
+    "customer_id", "invoice_id", "track_id", "full_name", "address", "city", "state", "country", "postal_code",
+    "email", "total", "invoice_date")))
