@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martwright.llm import katz, line_dedup, packing, pii, quality, sentencepiece_codec, simhash, substring_dedup, topk, toxicity
+from martwright.llm import (fim, jaccard_join, katz, line_dedup, packing, pii, quality, resampling, sentencepiece_codec,
+                            simhash, substring_dedup, topk, toxicity)
 from martwright.llm.common import documents, only
 
 # Production parameters of the contracts.
@@ -19,6 +20,9 @@ TOP, SCALE, QUERY_EVERY = 20, 64.0, 20
 REPEAT = 13  # words of a window
 SHINGLE, DISTANCE = 4, 4
 CAPACITY, END_ID = 1024, 2
+BUCKETS, FEATURE_WORDS, DRAW_SEED, DRAW_WORDS, DRAW_PERCENT = 10_000, 1, 2024, 20, 10
+SIMILAR_WORDS, SIMILAR_PERCENT = 3, 90
+FIM_SEED, PLAIN_FROM, SPM_BELOW = 1, 90, 20
 
 
 def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +96,24 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    drawn = resampling.resample(documents(spark, sf_dir), target, buckets=BUCKETS, run=FEATURE_WORDS, seed=DRAW_SEED,
+                                least_words=DRAW_WORDS, percent=DRAW_PERCENT)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = jaccard_join.link_classes(documents(spark, sf_dir), SIMILAR_WORDS, SIMILAR_PERCENT)
+    return linked.withColumnRenamed("id", "doc_id")
+
+
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.fill_in_middle(documents(spark, sf_dir), seed=FIM_SEED, plain_from=PLAIN_FROM, spm_below=SPM_BELOW)
+    columns = ("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256")
+    return fim.restore(made, *columns).drop("restored")
+
+
 # chr(9) to chr(13) and the space, as DuckDB text
 _WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -185,6 +207,56 @@ SELECT * FROM ranked WHERE rank <= {TOP}
 """
 
 
+OP11_SQL = f"""
+WITH tab AS (SELECT list(list_reduce([CAST(i AS UBIGINT), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, x:
+               CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) AS t FROM range(256) r(i)),
+word AS (SELECT 'd' AS side, doc_id, rowid AS place, unnest(regexp_extract_all({_LOW.format("text")},
+                '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS w
+         FROM (SELECT *, row_number() OVER () AS rowid FROM documents)
+         UNION ALL
+         SELECT 'b', NULL, NULL, unnest(regexp_extract_all({_LOW.format("text")},
+                '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) FROM benchmark),
+byte AS (SELECT w, [CAST('0x' || substr(h, CAST(2 * i + 1 AS BIGINT), 2) AS UBIGINT) FOR i IN range(CAST(length(h) // 2 AS BIGINT))] AS b
+         FROM (SELECT w, hex(encode(w)) AS h FROM (SELECT DISTINCT w FROM word))),
+known AS (SELECT w, xor(list_reduce([CAST(4294967295 AS UBIGINT)] || b, lambda a, x:
+                 xor(a >> 8, t[CAST(xor(a, x) & 255 AS BIGINT) + 1])), 4294967295) % {BUCKETS} AS bucket
+          FROM byte, tab),
+feature AS (SELECT side, doc_id, place, bucket FROM word JOIN known USING (w)),
+total AS (SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 'b') AS t FROM feature GROUP BY bucket),
+size AS (SELECT CAST(sum(s) AS DOUBLE) AS s_all, CAST(sum(t) AS DOUBLE) AS t_all FROM total),
+gain AS (SELECT bucket, CAST(floor(1000 * ln((t + 1) * (s_all + {BUCKETS}) / ((s + 1) * (t_all + {BUCKETS})))) AS BIGINT) AS g
+         FROM total, size),
+weighed AS (SELECT place, CAST(count(*) AS BIGINT) AS n, CAST(sum(g) AS BIGINT) AS weight
+            FROM feature JOIN gain USING (bucket) WHERE side = 'd' GROUP BY place),
+scored AS (SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+                  coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('{DRAW_SEED}:' || doc_id), 1, 8) AS BIGINT)
+                    + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+           FROM (SELECT doc_id, row_number() OVER () AS place FROM documents) LEFT JOIN weighed USING (place)),
+ranked AS (SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n_all
+           FROM scored WHERE n_features >= {DRAW_WORDS})
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= n_all * {DRAW_PERCENT} // 100 THEN r END AS rank FROM ranked
+UNION ALL
+SELECT doc_id, n_features, weight, score, NULL FROM scored WHERE n_features < {DRAW_WORDS}
+"""
+
+OP13_SQL = f"""
+WITH doc AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+                    sha256('{FIM_SEED}:' || doc_id) AS h FROM documents),
+drawn AS (SELECT doc_id, text, n, [CAST('0x' || substr(h, CAST(8 * i + 1 AS BIGINT), 8) AS BIGINT) FOR i IN range(4)] AS h FROM doc),
+formed AS (SELECT doc_id, text, n, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+                  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                            OR h[3] % 100 >= {PLAIN_FROM} THEN 'plain'
+                       WHEN h[4] % 100 < {SPM_BELOW} THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+cut AS (SELECT *, array_slice(text, 1, a) AS p, array_slice(text, a + 1, b) AS m, array_slice(text, b + 1, n) AS s FROM formed)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM cut
+"""
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_katz": op2_katz,
@@ -196,10 +268,15 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_packing": op9_packing,
     "op10_line_dedup": op10_line_dedup,
+    "op11_resampling": op11_resampling,
+    "op12_jaccard_join": op12_jaccard_join,
+    "op13_fim": op13_fim,
 }
 
 ORACLE = {
     "op1_pii": _op1_sql(),
     "op3_topk": OP3_SQL,
     "op10_line_dedup": OP10_SQL,
+    "op11_resampling": OP11_SQL,
+    "op13_fim": OP13_SQL,
 }

@@ -24,13 +24,17 @@ COLUMNS = {
     "op9_packing": {"doc_id": "bigint", "piece": "int", "start": "bigint", "length": "bigint", "ids_crc32": "bigint",
                     "sequence_id": "bigint", "offset": "bigint"},
     "op10_line_dedup": {"doc_id": "bigint", "n_lines": "bigint", "n_dropped": "bigint", "kept_sha256": "string"},
+    "op11_resampling": {"doc_id": "bigint", "n_features": "bigint", "weight": "bigint", "score": "bigint", "rank": "bigint"},
+    "op12_jaccard_join": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint"},
+    "op13_fim": {"doc_id": "bigint", "n": "bigint", "form": "string", "prefix_chars": "bigint", "middle_chars": "bigint",
+                 "output_sha256": "string", "restored_sha256": "string"},
 }
 
 
 @pytest.mark.parametrize("name", sorted(Q.ORACLE))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "labels"):
+    for t in ("documents", "embeddings", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     scols, srows = _spark_rows(Q.QUERIES[name](spark, SMALL))
     dcols, drows = _duck_rows(con, Q.ORACLE[name])
@@ -46,4 +50,4 @@ def test_columns(spark, name):
 
 
 def test_every_operator_has_its_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in Q.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in Q.QUERIES) == list(range(1, 14))
