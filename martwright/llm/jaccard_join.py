@@ -21,11 +21,14 @@ classes or more go on, each with its smallest class as *leader*.  First every
 member is verified against its leaders, in chunks of ``CHUNK`` members, so a
 leader with very many is split.  The links' components are found, and a
 signature whose members are in one component is done.  In the others the pairs
-across components are still open: members are dealt into blocks of about
-``BLOCK``, and tasks take pairs of blocks, skip what has become connected and
-verify the rest.  So all pairs of a group of near copies are never made, and no
-link between components is lost.  Verification counts the shingles of both
-whole texts.
+across components are still open.  Open signatures that share members form a
+family; a family of up to ``FAMILY_BLOCKS`` blocks is one group, in a larger one
+each signature is (a text then goes to each of its open signatures, not to each
+block of a very large family).  Members of a group are dealt into blocks of
+about ``BLOCK``, and tasks take pairs of blocks, skip what has become connected
+and verify the rest.  So the pairs of a group of near copies are never made as
+rows, and no link between components is lost.  Verification counts the shingles
+of both whole texts.
 
 Texts move by the hash of their text, and only those of candidates.  Set ids
 and shingles are 64-bit hashes.
@@ -58,6 +61,7 @@ GROWTH = 1.4  # of the sizes from band to band
 INNER, LEFT_OUT = 1, 0  # n2, the smaller parts of a part, and k2, how many of them a subset leaves out
 CHUNK = 256  # members verified against a leader by one task
 BLOCK = 64  # members of an open group that meet another block in one task
+FAMILY_BLOCKS = 8  # blocks up to which a family of open signatures is one group
 CACHE = 1_000_000  # words whose hash a task remembers, and set ids it has seen
 
 
@@ -247,24 +251,37 @@ def _across(shared: DataFrame, texts: DataFrame, stars: DataFrame, words: int, p
     """Links between components among the members of one signature that the
     leader has not decided."""
     rooted = shared.join(stars.withColumnRenamed("high", "sid"), "sid", "left").select(
-        "sig", "sid", F.coalesce("low", "sid").alias("root"))
+        "sig", "leader", "sid", F.coalesce("low", "sid").alias("root"))
+    groups = rooted.groupBy("sig").agg(F.count(F.lit(1)).alias("m"), F.min("root").alias("least"), F.max("root").alias("most"))
+    still = groups.where("least < most and m > 2").select("sig", "m")
+    members = written(rooted.join(still, "sig"), "open-members")
+    # signatures that hang together by members have much the same members
+    tied = components(members.where("sid != leader").select(F.col("leader").alias("low"), F.col("sid").alias("high")))
+    family = (members.select("sid", "root").distinct()
+              .join(tied.withColumnRenamed("high", "sid").withColumnRenamed("low", "family"), "sid", "left")
+              .withColumn("family", F.coalesce("family", "sid")))
+    size = family.groupBy("family").agg(F.count(F.lit(1)).alias("f"))
+    family = written(family.join(size, "family"), "families")
+    whole = F.col("f") <= FAMILY_BLOCKS * BLOCK
+    together = family.where(whole).select(F.lit("family").alias("kind"), F.col("family").alias("key"), "sid", "root",
+                                          F.col("f").alias("m"))
     # many signatures have the same members: one of them stands for all
     mark = F.xxhash64("sid")
-    groups = rooted.groupBy("sig").agg(
-        F.count(F.lit(1)).alias("m"), F.min("root").alias("least"), F.max("root").alias("most"),
-        F.bit_xor(mark).alias("one"), F.sum(F.shiftright(mark, 20)).alias("two"))
-    still = groups.where("least < most and m > 2").groupBy("m", "one", "two").agg(F.min("sig").alias("sig"))
-    members = rooted.join(still.select("sig", "m"), "sig").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("long"))
-    members = members.withColumn("side", F.pmod(F.xxhash64("sid", F.lit(1)), "blocks"))
-    dealt = (members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-             .select("sig", "sid", "root", "side", F.least("side", "other").alias("low"),
+    apart = members.join(family.where(~whole).select("sid"), "sid")
+    chosen = (apart.groupBy("sig", "m").agg(F.bit_xor(mark).alias("one"), F.sum(F.shiftright(mark, 20)).alias("two"))
+              .groupBy("m", "one", "two").agg(F.min("sig").alias("sig")).select("sig"))
+    signed = apart.join(chosen, "sig").select(F.lit("signature").alias("kind"), F.col("sig").alias("key"), "sid", "root", "m")
+    blocked = (together.union(signed).withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("long"))
+               .withColumn("side", F.pmod(F.xxhash64("sid", F.lit(1)), "blocks")))
+    dealt = (blocked.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+             .select("kind", "key", "sid", "root", "side", F.least("side", "other").alias("low"),
                      F.greatest("side", "other").alias("high")))
 
     def verify(pdf: pd.DataFrame) -> pd.DataFrame:
         found = _open_links(pdf, Shingles(words), percent)
         return pd.DataFrame({"low": [a for a, _ in found], "high": [b for _, b in found]}, dtype="int64")
 
-    return dealt.join(texts, "sid").groupBy("sig", "low", "high").applyInPandas(verify, "low long, high long")
+    return dealt.join(texts, "sid").groupBy("kind", "key", "low", "high").applyInPandas(verify, "low long, high long")
 
 
 def link_classes(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id",

@@ -89,7 +89,8 @@ def test_messy_and_given_tables(spark, messy, nothing):
     assert got(docs) == brute(pairs(docs))
 
 
-def test_a_large_group_in_blocks(spark, monkeypatch):
+@pytest.mark.parametrize("family_blocks", [0, 2, 100])
+def test_a_large_group_in_blocks(spark, monkeypatch, family_blocks):
     """A hub that all share signatures with, but few link to: the leader alone
     decides little, and the open pairs go through blocks."""
     rng = random.Random(8)
@@ -98,6 +99,7 @@ def test_a_large_group_in_blocks(spark, monkeypatch):
     rows += [(1000 + k, rows[0][1]) for k in range(100)]
     monkeypatch.setattr(jaccard_join, "BLOCK", 7)
     monkeypatch.setattr(jaccard_join, "CHUNK", 5)
+    monkeypatch.setattr(jaccard_join, "FAMILY_BLOCKS", family_blocks)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert got(df) == brute(rows)
 
