@@ -137,11 +137,13 @@ def store_blocks(docs: DataFrame, id_col: str, text_col: str, flag: Column | Non
 class Block:
     """A row of the table, opened."""
 
+    TOKEN = np.int64  # type of the word numbers
+
     def __init__(self, row):
         self.number = int(row["block"])
         self.sizes = np.frombuffer(row["sizes"], "<i4").astype(np.int64)
         self.flags = np.frombuffer(row["flags"], np.uint8).astype(bool)
-        self.tokens = unpack(row["tokens"], "<i4").astype(np.int64)
+        self.tokens = unpack(row["tokens"], "<i4").astype(self.TOKEN, copy=False)
         self.words = [END, *zstandard.ZstdDecompressor().decompress(row["words"]).split()]
         self.hashes = np.fromiter(map(word_hash, self.words), np.uint64, len(self.words))
         self.start = np.concatenate([[0], np.cumsum(self.sizes)[:-1]]).astype(np.int64)

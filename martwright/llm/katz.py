@@ -32,12 +32,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from martwright.llm import blocks as block_table
 from martwright.llm.blocks import (ANSWER, PART, REQUEST, Block, Merged, answered, bits_for, mix, requests,
                                    store_blocks, unpack_ids, word_hash)
 from martwright.llm.common import stored
 
 K = 5  # counts above it are not discounted
 START = b"\n<s>"  # no word holds a line end
+BLOCK = 750_000  # tokens of a block, about: a task holds a dozen arrays of that length
 
 
 def bigram_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -47,6 +49,8 @@ def bigram_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 class Grams(Block):
     """A block's distinct words, bigrams and histories."""
 
+    TOKEN = np.int32
+
     def __init__(self, row):
         super().__init__(row)
         self.held = self.flags
@@ -61,19 +65,28 @@ class Grams(Block):
     def bigrams(self) -> None:
         """Fills in the distinct bigrams, in order of their hashes."""
         n = len(self.words)
-        before = np.empty_like(self.tokens)
-        before[1:] = self.tokens[:-1]
-        before[self.start] = n  # the start of a text
-        codes, inverse = np.unique(before * (n + 1) + self.tokens, return_inverse=True)
-        del before
-        first, second = codes // (n + 1), codes % (n + 1)
+        codes = np.empty(len(self.tokens), np.int64)
+        codes[1:] = self.tokens[:-1]
+        codes[self.start] = n  # the start of a text
+        codes *= n + 1
+        codes += self.tokens
+        # one sort: the distinct codes, and the place of each occurrence among them
+        by_code = np.argsort(codes).astype(np.int32)
+        codes = codes[by_code]
+        new = np.concatenate([[True], codes[1:] != codes[:-1]])[:len(codes)]
+        self.occurrence = np.empty(len(codes), np.int32)
+        self.occurrence[by_code] = np.cumsum(new, dtype=np.int32) - 1
+        del by_code
+        codes = codes[new]
+        first, second = (codes // (n + 1)).astype(np.int32), (codes % (n + 1)).astype(np.int32)
+        del codes, new
         hashes = np.append(self.hashes, np.uint64(word_hash(START)))
         keys = bigram_keys(hashes[first], hashes[second])
-        order = np.argsort(keys)
+        order = np.argsort(keys).astype(np.int32)
         place = np.empty_like(order)
-        place[order] = np.arange(len(order))
+        place[order] = np.arange(len(order), dtype=np.int32)
         self.first, self.second, self.keys = first[order], second[order], keys[order]
-        self.occurrence = place[inverse]
+        self.occurrence = place[self.occurrence]
         self.counts = np.bincount(self.occurrence[self.train], minlength=len(keys))
         self.histories = hashes
 
@@ -152,21 +165,24 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str =
     import pyarrow as pa
 
     spark = docs.sparkSession
-    blocks = store_blocks(docs, id_col, text_col, held, lower=True)
+    blocks = store_blocks(docs, id_col, text_col, held, lower=True, size=min(BLOCK, block_table.SIZE))
     bits = bits_for(blocks.agg(F.sum("n")).first()[0] or 0, PART)
     ask = REQUEST + ", counts binary"
 
     def counts_asked(batches):
         for batch in batches:
-            for row in batch.to_pylist():
-                b = Grams(row)
+            for k in range(batch.num_rows):  # one block at a time
+                b = Grams({name: batch.column(name)[k].as_py() for name in batch.schema.names})
                 _, words, counts = b.unigrams()
                 asked = requests(b.number, "unigram", words, bits, counts=counts.astype(np.uint32))
                 b.bigrams()
                 asked += requests(b.number, "bigram", b.keys, bits, counts=b.counts.astype(np.uint32))
+                del b, words, counts
                 yield pa.RecordBatch.from_pylist(asked, pa.schema(
                     [("block", pa.int64()), ("kind", pa.string()), ("part", pa.int32()),
                      ("keys", pa.binary()), ("counts", pa.binary())]))
+                del asked
+                pa.default_memory_pool().release_unused()
 
     needed = blocks.select("block", "flags", "sizes", "tokens", "words")
     counted = stored(needed.mapInArrow(counts_asked, ask).groupBy("kind", "part").applyInPandas(
