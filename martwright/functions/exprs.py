@@ -115,28 +115,40 @@ def compound_growth(principal: ColumnOrName, rate: ColumnOrName | float,
     return _c(principal) * F.pow(F.lit(1.0) + _c(rate), _c(periods))
 
 
+def _as_decimal(x: Column, kind: str) -> Column:
+    """``x`` as a decimal that holds it in full, null where it doesn't fit."""
+    d = x.try_cast(kind)
+    return F.when(d.cast("double") == x.cast("double"), d)
+
+
 def simple_interest(principal: ColumnOrName, rate: ColumnOrName | float,
                     periods: ColumnOrName | int, scale: int = 2) -> Column:
-    """``p * (1 + r * t)`` in decimal arithmetic, rounded, then double.
+    """``p * (1 + r * t)``, rounded at the end, as double.
 
-    The principal counts to four places, the rate to twelve, the periods
-    (whole or not) to six; the product keeps at least nine before rounding.
+    In decimal arithmetic, and so exact before rounding, where the principal
+    has up to four decimal places (and 14 before), the rate twelve and the
+    periods six.  Other values keep all digits of a double: ``p + p * r * t``
+    in double arithmetic, then rounded.  Nothing is cut or refused.
     """
-    p = _c(principal).cast("decimal(18,4)")
-    r = _c(rate).cast("decimal(18,12)")
-    t = _c(periods).cast("decimal(12,6)")
-    return F.round(p * (F.lit(1).cast("decimal(1,0)") + r * t), scale).cast("double")
+    p, r, t = _c(principal), _c(rate), _c(periods)
+    exact = _as_decimal(p, "decimal(18,4)") * (
+        F.lit(1).cast("decimal(1,0)") + _as_decimal(r, "decimal(18,12)") * _as_decimal(t, "decimal(12,6)"))
+    pd = p.cast("double")
+    return F.coalesce(F.round(exact, scale).cast("double"),
+                      F.round(pd + pd * r.cast("double") * t.cast("double"), scale))
 
 
 def goal_shortfall(total: ColumnOrName, goal: ColumnOrName | float) -> Column:
     """0 when the goal is reached, else how much is missing.
 
-    The amounts are compared as they are; the difference is taken in decimal
-    to twelve places.
+    The amounts are compared as they are; the difference is exact (decimal)
+    where both have up to twelve decimal places and 18 before, else that of
+    doubles.
     """
     tot, g = _c(total), _c(goal)
-    missing = g.cast("decimal(30,12)") - tot.cast("decimal(30,12)")
-    return F.when(tot >= g, F.lit(0.0)).otherwise(missing.cast("double"))
+    exact = _as_decimal(g, "decimal(30,12)") - _as_decimal(tot, "decimal(30,12)")
+    missing = F.coalesce(exact.cast("double"), g.cast("double") - tot.cast("double"))
+    return F.when(tot >= g, F.lit(0.0)).otherwise(missing)
 
 
 def equal_split(amount: ColumnOrName, parts: ColumnOrName | int) -> Column:

@@ -100,7 +100,7 @@ class _Roles(Mapping[str, DataFrame]):
 def _split(role: Callable[[str], DataFrame]):
     sales = _Roles(role, ("artist", "album", "track", "invoice_line", "invoice"))
     catalog = _Roles(role, ("artist", "album", "track", "genre"))
-    transactions = _Roles(role, ("track", "invoice_line", "invoice", "customer"))
+    transactions = _Roles(role, ("track", "album", "invoice_line", "invoice", "customer"))
     return sales, catalog, transactions
 
 

@@ -15,7 +15,9 @@ is small and plans a sort-merge join (AQE splitting skewed keys) when it is
 not.  Pre-joining the dimensions would hide their size: without CBO a join's
 estimate is the product of its inputs, so the chain would never be broadcast
 up front and the fact table would be shuffled before AQE saw the real size.
-The optional invoice (and customer) tail is joined last, on the invoice key.
+The optional invoice (and customer) tail is joined last, on the invoice key;
+there AQE splits a hot partition by its bytes, and ``salted=True`` spreads heavy
+invoices by their row counts.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from martwright.functions.exprs import full_name, line_total, repair_text
+from martwright.operators.multiplicity import repeated, with_matches
+from martwright.operators.skew import salted_join
 from martwright.plans.schemas import CATALOG, SALES_LINES, TRANSACTIONS, conform
 
 # The replacement character and the letters that replace it in
@@ -52,16 +56,24 @@ def artist_lines(artist: DataFrame, album: DataFrame, track: DataFrame,
     )
 
 
+def _line_join(lines: DataFrame, invoices: DataFrame, salted: bool) -> DataFrame:
+    """The optional invoice tail of the lines."""
+    if salted:
+        return salted_join(lines, invoices, "invoice_id", "left")
+    return lines.join(invoices, "invoice_id", "left")
+
+
 def sales_lines(artist: DataFrame, album: DataFrame, track: DataFrame,
-                invoice_line: DataFrame, invoice: DataFrame) -> DataFrame:
+                invoice_line: DataFrame, invoice: DataFrame, salted: bool = False) -> DataFrame:
     """Invoice lines with artist, album and song, plus the line total (Q1).
 
     A line is kept when its track, the track's album and the album's artist
     all exist and its invoice key is not null; the invoice itself is
-    optional (a missing invoice gives a null date).
+    optional (a missing invoice gives a null date).  ``salted`` spreads the
+    lines of invoices that have a large share of them (see ``operators.skew``).
     """
-    joined = (artist_lines(artist, album, track, invoice_line)
-              .join(invoice.select("invoice_id", "invoice_date"), "invoice_id", "left"))
+    joined = _line_join(artist_lines(artist, album, track, invoice_line),
+                        invoice.select("invoice_id", "invoice_date"), salted)
     out = joined.select(
         "artist_id", "track_id", "invoice_line_id", "invoice_id",
         "artist_name", "album_title", "song_title", "total_price", "invoice_date")
@@ -98,14 +110,19 @@ def catalog(artist: DataFrame, album: DataFrame, track: DataFrame,
 def transactions(track: DataFrame, invoice_line: DataFrame, invoice: DataFrame,
                  customer: DataFrame,
                  last_name_repair: tuple[str, str] = LAST_NAME_REPAIR,
-                 address_repair: tuple[str, str] = ADDRESS_REPAIR) -> DataFrame:
+                 address_repair: tuple[str, str] = ADDRESS_REPAIR,
+                 album: DataFrame | None = None, salted: bool = False) -> DataFrame:
     """Customer transactions at line grain with cleaned names (Q3).
 
     A line is kept when its track exists and its invoice key is not null;
     the invoice and the invoice's customer are optional.
 
-    The album join of the source query is left out: it feeds no column and,
-    with the album id as the album key, changes no row.
+    The source query also joins ``album`` and uses none of its columns: a line
+    is repeated for each album row with its track's album id.  With ``album``
+    given (and ``album_id`` in ``track``) that is done exactly, by counting the
+    album rows of each id; the counts meet the tracks and the lines are repeated
+    last, after all shuffles.  Leaving ``album`` out says that album ids don't
+    repeat, so that the join would change no row.
 
     ``invoice (+) customer`` is built first at invoice grain and then joined
     to the lines, which is the same result as the source's chain
@@ -116,7 +133,11 @@ def transactions(track: DataFrame, invoice_line: DataFrame, invoice: DataFrame,
     over lines over-counts.
     """
     invoices = customer_invoices(invoice, customer, last_name_repair, address_repair)
-    joined = track_lines(track, invoice_line).join(invoices, "invoice_id", "left")
+    if album is not None:
+        track = with_matches(track, "album_id", album, "album_id")
+    joined = _line_join(track_lines(track, invoice_line), invoices, salted)
+    if album is not None:
+        joined = repeated(joined)
     out = joined.select(
         F.col("customer_id_out").alias("customer_id"), "track_id", "invoice_id",
         "full_name", "address", "city", "state", "country", "postal_code", "email",
@@ -126,10 +147,11 @@ def transactions(track: DataFrame, invoice_line: DataFrame, invoice: DataFrame,
 
 def track_lines(track: DataFrame, invoice_line: DataFrame) -> DataFrame:
     """(invoice_id, track_id) of lines whose track exists and whose invoice
-    key is not null: the inner part of Q3."""
+    key is not null: the inner part of Q3 (with the tracks' number of album
+    matches where they have it)."""
     return (invoice_line.where(F.col("invoice_id").isNotNull())
             .select("invoice_id", "track_id")
-            .join(track.select("track_id"), "track_id"))
+            .join(track.select("track_id", *[c for c in track.columns if c == "_matches"]), "track_id"))
 
 
 def customer_invoices(invoice: DataFrame, customer: DataFrame,

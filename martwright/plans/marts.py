@@ -5,6 +5,9 @@ into a partial (map-side) and a final aggregate, so even a group that holds a
 third of all rows is pre-reduced inside every input task before the shuffle;
 only one partial row per group and task crosses the network.
 
+Money is summed without rounding in between (``functions.exact_sum``): the same
+rows give the same bits under any partitioning, also through several steps.
+
 The unordered functions are what gets stored: an ``ORDER BY`` in front of a
 table write gives no order on read.  The order of each source query is
 available as a separate read-side step in :func:`ordered`.
@@ -14,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from martwright.functions.exact_sum import exact_sum, merged_parts, sum_of_parts, sum_parts
 from martwright.functions.exprs import day_of, money_round
 from martwright.operators.positions import with_positions
 from martwright.plans import datasets
@@ -29,7 +33,7 @@ def daily_revenue(sales_lines: DataFrame) -> DataFrame:
     """
     return (sales_lines
             .groupBy(day_of("invoice_date").alias("invoice_date"))
-            .agg(money_round(F.sum("total_price")).alias("total_revenue")))
+            .agg(money_round(exact_sum("total_price")).alias("total_revenue")))
 
 
 def artist_productivity(catalog: DataFrame) -> DataFrame:
@@ -44,9 +48,12 @@ def artist_productivity(catalog: DataFrame) -> DataFrame:
 
 def _artist_revenue_raw(sales_lines: DataFrame) -> DataFrame:
     return (sales_lines.groupBy("artist_name")
-            .agg(F.sum("total_price").alias(_RAW_REVENUE))
-            .select("artist_name", money_round(_RAW_REVENUE).alias("total_revenue"),
-                    _RAW_REVENUE))
+            .agg(exact_sum("total_price").alias(_RAW_REVENUE))
+            .transform(_shown_revenue))
+
+
+def _shown_revenue(raw: DataFrame) -> DataFrame:
+    return raw.select("artist_name", money_round(_RAW_REVENUE).alias("total_revenue"), _RAW_REVENUE)
 
 
 def artist_revenue(sales_lines: DataFrame) -> DataFrame:
@@ -71,7 +78,7 @@ def sales_line_totals(sales_lines: DataFrame) -> DataFrame:
                                "total_price")
     return (lines.groupingSets([["invoice_date"], ["artist_name"]],
                                "invoice_date", "artist_name")
-            .agg(F.sum("total_price").alias(_RAW_REVENUE), F.grouping_id().alias(_SET)))
+            .agg(exact_sum("total_price").alias(_RAW_REVENUE), F.grouping_id().alias(_SET)))
 
 
 def split_sales_line_totals(totals: DataFrame, ordered_report: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -119,11 +126,12 @@ def daily_revenue_from_sources(artist: DataFrame, album: DataFrame, track: DataF
     """
     per_invoice = (datasets.artist_lines(artist, album, track, invoice_line)
                    .groupBy("invoice_id")
-                   .agg(F.sum("total_price").alias("_invoice_total")))
+                   .agg(*sum_parts("total_price", "_sum")))
     return (per_invoice
             .join(invoice.select("invoice_id", "invoice_date"), "invoice_id", "left")
             .groupBy(day_of("invoice_date").alias("invoice_date"))
-            .agg(money_round(F.sum("_invoice_total")).alias("total_revenue")))
+            .agg(*merged_parts("_sum"))
+            .select("invoice_date", money_round(sum_of_parts("_sum")).alias("total_revenue")))
 
 
 def artist_revenue_from_sources(artist: DataFrame, album: DataFrame, track: DataFrame,
@@ -144,13 +152,17 @@ def artist_revenue_from_sources(artist: DataFrame, album: DataFrame, track: Data
     ``ordered_report`` sorts the result, ``positions`` numbers its rows.
     """
     lines = datasets.artist_lines(artist, album, track, invoice_line)
-    if not invoice_id_is_key:
-        lines = (lines.groupBy("invoice_id", "artist_name")
-                 .agg(F.sum("total_price").alias("total_price"))
-                 .join(invoice.select("invoice_id"), "invoice_id", "left"))
+    if invoice_id_is_key:
+        raw = _artist_revenue_raw(lines)
+    else:
+        raw = _shown_revenue(lines.groupBy("invoice_id", "artist_name")
+                             .agg(*sum_parts("total_price", "_sum"))
+                             .join(invoice.select("invoice_id"), "invoice_id", "left")
+                             .groupBy("artist_name").agg(*merged_parts("_sum"))
+                             .select("artist_name", sum_of_parts("_sum").alias(_RAW_REVENUE)))
     if positions:
-        return positioned("artist_revenue", lines)
-    return ordered_artist_revenue(lines) if ordered_report else artist_revenue(lines)
+        return _positioned_revenue(raw)
+    return _by_revenue(raw) if ordered_report else raw.drop(_RAW_REVENUE)
 
 
 def artist_productivity_from_sources(artist: DataFrame, album: DataFrame, track: DataFrame,
@@ -187,20 +199,26 @@ def visit_frequency_from_sources(track: DataFrame, invoice_line: DataFrame,
     aggregation in every map task) before meeting the invoices: the invoice
     join shuffles one row per invoice instead of one per line.
     """
+    return (visits_from_sources(track, invoice_line, invoice, customer)
+            .groupBy("country")
+            .agg(F.countDistinct("invoice_date").alias("frequency_level")))
+
+
+def visits_from_sources(track: DataFrame, invoice_line: DataFrame, invoice: DataFrame,
+                        customer: DataFrame) -> DataFrame:
+    """``country, invoice_date`` of the invoices that have lines, countries not null."""
     invoices_with_lines = datasets.track_lines(track, invoice_line).select("invoice_id").distinct()
     invoices = datasets.customer_invoices(invoice, customer).select(
         "invoice_id", "country", "invoice_date")
     return (invoices_with_lines.join(invoices, "invoice_id")
-            .where(F.col("country").isNotNull())
-            .groupBy("country")
-            .agg(F.countDistinct("invoice_date").alias("frequency_level")))
+            .where(F.col("country").isNotNull()).select("country", "invoice_date"))
 
 
 def daily_totals(df: DataFrame, ts_col: str, value_col: str,
                  out_value: str = "total_value") -> DataFrame:
     """Any timestamped table summed per day (P8 + A2 on a generic table)."""
     return (df.groupBy(F.date_trunc("day", F.col(ts_col)).cast("date").alias("day"))
-            .agg(money_round(F.sum(value_col)).alias(out_value)))
+            .agg(money_round(exact_sum(value_col)).alias(out_value)))
 
 
 # ---------------------------------------------------------------------------
@@ -244,14 +262,24 @@ def positioned(name: str, df: DataFrame) -> DataFrame:
     its order is that of a sum it doesn't show.
     """
     if name == "artist_revenue":
-        df = _artist_revenue_raw(df)
+        return _positioned_revenue(_artist_revenue_raw(df))
+    return _positioned(name, df)
+
+
+def _positioned(name: str, df: DataFrame) -> DataFrame:
     keys = _REPORT_KEYS[name]
     rest = [(c, True, False) for c in df.columns if c not in {k for k, *_ in keys}]
-    return with_positions(df, *[_sort_column(*k) for k in keys + rest]).drop(_RAW_REVENUE)
+    return with_positions(df, *[_sort_column(*k) for k in keys + rest])
+
+
+def _positioned_revenue(raw: DataFrame) -> DataFrame:
+    return _positioned("artist_revenue", raw).drop(_RAW_REVENUE)
+
+
+def _by_revenue(raw: DataFrame) -> DataFrame:
+    return raw.orderBy(F.col(_RAW_REVENUE).desc_nulls_first()).drop(_RAW_REVENUE)
 
 
 def ordered_artist_revenue(sales_lines: DataFrame) -> DataFrame:
     """Artist revenue ordered by the *unrounded* sum, descending."""
-    return (_artist_revenue_raw(sales_lines)
-            .orderBy(F.col(_RAW_REVENUE).desc_nulls_first())
-            .drop(_RAW_REVENUE))
+    return _by_revenue(_artist_revenue_raw(sales_lines))

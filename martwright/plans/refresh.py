@@ -64,7 +64,7 @@ def _dataset_plan(name: str, sales: Mapping[str, DataFrame], catalog: Mapping[st
                                 catalog["genre"])
     return datasets.transactions(transactions["track"], transactions["invoice_line"],
                                  transactions["invoice"], transactions["customer"],
-                                 **transaction_kw)
+                                 album=transactions.get("album"), **transaction_kw)
 
 
 def refresh(spark: SparkSession, sales: Mapping[str, DataFrame],
@@ -82,6 +82,10 @@ def refresh(spark: SparkSession, sales: Mapping[str, DataFrame],
     ``report_order`` stores each output sorted as its report is; the files
     then are in this order, one after another.
 
+    With an ``album`` table among its roles (and ``album_id`` in ``track``),
+    ``transactions`` repeats lines as the source's album join does; without one
+    album ids are taken not to repeat.
+
     Returns ``{name: path or table}`` for the outputs written.  Each output is
     replaced as a whole or not at all (see ``publish``).
     """

@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from martwright.plans import datasets, marts
+from martwright.plans import colocated, datasets, instants, marts
 from martwright.plans.schemas import name_by_position
 from martwright.registry._inputs import roles as _shared_roles
 from martwright.registry._inputs import tables as _shared_tables
-from martwright.sources import catalog_roles, sales_roles, transaction_roles
+from martwright.sources import album_roles, catalog_roles, sales_roles, transaction_roles
 from martwright.sources.staging import TEST_ADDRESS_REPAIR, TEST_LAST_NAME_REPAIR
 
 
@@ -108,6 +108,56 @@ def _positional_names(spark, sf_dir):
                             ["album_id", "title"])
 
 
+# The source's unused album join, on an album table whose ids repeat.
+def _transactions_with_album(spark, sf_dir):
+    r = _shared_roles(spark, sf_dir, album_roles)
+    return datasets.transactions(r["track"], r["invoice_line"], r["invoice"], r["customer"],
+                                 last_name_repair=TEST_LAST_NAME_REPAIR,
+                                 address_repair=TEST_ADDRESS_REPAIR, album=r["album"])
+
+
+# Heavy invoices spread by their row counts.
+def _sales_lines_salted(spark, sf_dir):
+    r = _shared_roles(spark, sf_dir, sales_roles)
+    return datasets.sales_lines(r["artist"], r["album"], r["track"], r["invoice_line"], r["invoice"],
+                                salted=True)
+
+
+def _transactions_salted(spark, sf_dir):
+    r = _shared_roles(spark, sf_dir, transaction_roles)
+    return datasets.transactions(r["track"], r["invoice_line"], r["invoice"], r["customer"],
+                                 last_name_repair=TEST_LAST_NAME_REPAIR,
+                                 address_repair=TEST_ADDRESS_REPAIR, salted=True)
+
+
+# Lines and invoices published bucketed by the invoice key, joined where they lie.
+def _sales_lines_colocated(spark, sf_dir):
+    r = _shared_roles(spark, sf_dir, sales_roles)
+    tables = colocated.publish_line_tables(r["invoice_line"], r["invoice"].select("invoice_id", "invoice_date"))
+    return colocated.sales_lines(r["artist"], r["album"], r["track"], tables)
+
+
+def _transactions_colocated(spark, sf_dir):
+    r = _shared_roles(spark, sf_dir, transaction_roles)
+    tables = colocated.publish_customer_invoices(r["invoice_line"], r["invoice"], r["customer"],
+                                                 TEST_LAST_NAME_REPAIR, TEST_ADDRESS_REPAIR)
+    return colocated.transactions(r["track"], tables)
+
+
+# Distinct instants kept as bitmaps: a first load, then the later visits.
+SECOND_LOAD = "1995-01-01"
+
+
+def _visit_frequency_bitmaps(spark, sf_dir):
+    r = _shared_roles(spark, sf_dir, transaction_roles)
+    visits = marts.visits_from_sources(r["track"], r["invoice_line"], r["invoice"], r["customer"]).select(
+        "country", F.col("invoice_date").alias("instant"))
+    early = F.coalesce(F.col("instant") < F.lit(SECOND_LOAD).cast("timestamp_ntz"), F.lit(False))
+    dictionary, bitmaps = instants.add_visits(visits.where(early))
+    _, bitmaps = instants.add_visits(visits.where(~early), dictionary, bitmaps)
+    return instants.frequency(bitmaps)
+
+
 def _daily_revenue_events(spark, sf_dir):
     events = _tables(spark, sf_dir)["events"]
     return marts.daily_totals(events, "ts", "value")
@@ -220,6 +270,12 @@ QUERIES = {
     "dataset_artist_revenue_alone": _single_artist_revenue,
     "dataset_artist_productivity": _dataset_artist_productivity,
     "dataset_visit_frequency": _dataset_visit_frequency,
+    "transactions_with_album": _transactions_with_album,
+    "sales_lines_salted": _sales_lines_salted,
+    "transactions_salted": _transactions_salted,
+    "sales_lines_colocated": _sales_lines_colocated,
+    "transactions_colocated": _transactions_colocated,
+    "visit_frequency_bitmaps": _visit_frequency_bitmaps,
     "positional_names": _positional_names,
     "daily_revenue_report": _daily_revenue_report,
     "artist_productivity_report": _artist_productivity_report,
@@ -273,6 +329,11 @@ FROM sl GROUP BY 1
 UNION ALL
 SELECT NULL, artist_name, 2, ROUND(SUM(total_price), 2) FROM sl GROUP BY artist_name
 """
+ORACLE["transactions_with_album"] = TRANSACTIONS_SQL.replace(
+    "LEFT JOIN lineitem l ON", "LEFT JOIN supplier a ON a.s_nationkey = p.p_size\nLEFT JOIN lineitem l ON")
+for _name in ("sales_lines", "transactions"):
+    ORACLE[f"{_name}_salted"] = ORACLE[f"{_name}_colocated"] = ORACLE[_name]
+ORACLE["visit_frequency_bitmaps"] = ORACLE["visit_frequency"]
 ORACLE["positional_names"] = "SELECT n_nationkey AS album_id, n_name AS title FROM nation\n"
 
 

@@ -28,9 +28,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch_table(spark: SparkSession, name: str) -> str:
+    """A catalog name for an intermediate table of this session (bucketed
+    tables are known by name only)."""
+    app = "".join(c if c.isalnum() else "_" for c in spark.sparkContext.applicationId)
+    return f"martwright_{app}_{name}".lower()
+
+
 def clean(spark: SparkSession) -> bool:
     """Remove the session's intermediate tables; true if there were any.
     DataFrames that still read them can't be evaluated any more."""
+    for t in spark.catalog.listTables(pattern=f"{scratch_table(spark, '')}*"):
+        spark.sql(f"DROP TABLE IF EXISTS {t.name}")
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_dir(spark))
     fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return fs.delete(at, True)
