@@ -1,4 +1,5 @@
-"""Named scalar formulas as SQL functions.
+"""Named scalar formulas as SQL functions (R28), and SQL functions that give
+rows (R21, R23).
 
 ``CREATE TEMPORARY FUNCTION ... RETURN <expr>`` defines a SQL function whose
 body Catalyst inlines into the calling plan: it is an ordinary expression
@@ -22,6 +23,24 @@ FORMULAS: dict[str, tuple[str, str]] = {
 }
 
 
+# Functions that give rows: name -> (parameter list, columns, query).  The
+# body is one generator over the arguments, so a lateral call is planned as that
+# generator behind the outer table, with no join.
+TABLE_FUNCTIONS: dict[str, tuple[str, str, str]] = {
+    "word_rows": ("line STRING", "pos INT, word STRING", "SELECT pos, col FROM posexplode(split(line, ' '))"),
+    "pair_rows": ("m MAP<STRING, STRING>", "name STRING, item STRING", "SELECT key, value FROM explode(m)"),
+    "zipped_rows": ("a ARRAY<STRING>, b ARRAY<STRING>", "first STRING, second STRING",
+                    "SELECT * FROM inline(arrays_zip(a, b))"),
+}
+
+
+def register_table_functions(spark: SparkSession) -> list[str]:
+    """Create the temporary SQL table functions in this session."""
+    for name, (params, columns, query) in TABLE_FUNCTIONS.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({params}) RETURNS TABLE({columns}) RETURN {query}")
+    return list(TABLE_FUNCTIONS)
+
+
 def register_formulas(spark: SparkSession) -> list[str]:
     """Create the temporary SQL functions in this session, once."""
     if getattr(spark, "_martwright_formulas", False):

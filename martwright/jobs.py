@@ -71,7 +71,8 @@ def _role_reader(spark: SparkSession, args) -> Callable[[str], DataFrame]:
             if r not in opened:
                 opened[r] = renamed(r, read_jdbc_table(
                     spark, args.jdbc_url, names.get(r, {}).get("table", r), properties=props,
-                    partition_column=source_column(r, ROLE_KEYS[r]), num_partitions=args.partitions))
+                    partition_column=source_column(r, ROLE_KEYS[r]), num_partitions=args.partitions,
+                    balanced=args.balanced))
             return opened[r]
         return jdbc_role
     tables = {r: names.get(r, {}).get("table", r) for r in ROLES}
@@ -97,21 +98,22 @@ class _Roles(Mapping[str, DataFrame]):
         return len(self._names)
 
 
-def _split(role: Callable[[str], DataFrame]):
+def _split(role: Callable[[str], DataFrame], album_ids_unique: bool = False):
     sales = _Roles(role, ("artist", "album", "track", "invoice_line", "invoice"))
     catalog = _Roles(role, ("artist", "album", "track", "genre"))
-    transactions = _Roles(role, ("track", "album", "invoice_line", "invoice", "customer"))
+    transactions = _Roles(role, ("track", "invoice_line", "invoice", "customer",
+                                 *([] if album_ids_unique else ["album"])))
     return sales, catalog, transactions
 
 
 def _target(args) -> Target:
     if args.target_database:
-        return Target(database=args.target_database, fmt=args.format)
-    return Target(base_path=args.target_path, fmt=args.format)
+        return Target(database=args.target_database, fmt=args.format, versioned=args.versioned)
+    return Target(base_path=args.target_path, fmt=args.format, versioned=args.versioned)
 
 
 def cmd_refresh(spark: SparkSession, args) -> dict[str, str]:
-    sales, catalog, transactions = _split(_role_reader(spark, args))
+    sales, catalog, transactions = _split(_role_reader(spark, args), args.album_ids_unique)
     only = [n.strip() for n in args.only.split(",") if n.strip()] if args.only else None
     return refresh(spark, sales, catalog, transactions, _target(args), only=only,
                    report_order=args.report_order)
@@ -143,6 +145,8 @@ def _parser() -> argparse.ArgumentParser:
         p.add_argument("--jdbc-url", help="read the role tables over JDBC instead")
         p.add_argument("--jdbc-props", help="JSON file with connection properties")
         p.add_argument("--names", help="JSON file with the source's table and column names")
+        p.add_argument("--balanced", action="store_true",
+                       help="JDBC slices of about equal rows, all up to the same highest id")
         p.add_argument("--partitions", type=int,
                        help="JDBC read slices per table, split on its id column (needed with --jdbc-url)")
 
@@ -153,6 +157,10 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--format", default="parquet", help="Spark format of the published tables")
     r.add_argument("--report-order", action="store_true",
                    help="store each output in its report order")
+    r.add_argument("--versioned", action="store_true",
+                   help="keep versions and switch them, so that readers never find a table missing")
+    r.add_argument("--album-ids-unique", action="store_true",
+                   help="album ids don't repeat: leave out the transactions' album join, which then changes nothing")
     r.add_argument("--only", help="comma list of outputs to refresh, e.g. transactions,"
                                   "visit_frequency (default: all seven)")
 

@@ -27,11 +27,13 @@ MARTS = ("daily_revenue", "artist_productivity", "artist_revenue", "visit_freque
 @dataclass(frozen=True)
 class Target:
     """Where the job publishes: a folder (one sub-folder per table) or a
-    catalog database (one table per name)."""
+    catalog database (one table per name); ``versioned`` for a replace that
+    readers never find half done."""
 
     base_path: str | None = None
     database: str | None = None
     fmt: str = "parquet"
+    versioned: bool = False
 
     def location(self, name: str) -> dict[str, str]:
         if self.database is not None:
@@ -101,7 +103,8 @@ def refresh(spark: SparkSession, sales: Mapping[str, DataFrame],
     for name in DATASETS:
         if name in wanted:
             plan = _dataset_plan(name, sales, catalog, transactions, **transaction_kw)
-            written[name] = publish(arranged(name, plan), fmt=target.fmt, **target.location(name))
+            written[name] = publish(arranged(name, plan), fmt=target.fmt, versioned=target.versioned,
+                                    **target.location(name))
     pending = [m for m in MARTS if m in wanted]
     if {"daily_revenue", "artist_revenue"} <= set(pending):
         # Both marts of the line dataset from one scan of it.  The combined
@@ -110,14 +113,14 @@ def refresh(spark: SparkSession, sales: Mapping[str, DataFrame],
         # are split from that table, so the lines are not scanned twice and
         # the lineage stops at a written table.
         lines = read_published(spark, fmt=target.fmt, **target.location("sales_lines"))
-        publish(marts.sales_line_totals(lines), fmt=target.fmt,
+        publish(marts.sales_line_totals(lines), fmt=target.fmt, versioned=target.versioned,
                 **target.location(LINE_TOTALS))
         totals = read_published(spark, fmt=target.fmt, **target.location(LINE_TOTALS))
         daily, artist = marts.split_sales_line_totals(totals, report_order)
         written["daily_revenue"] = publish(arranged("daily_revenue", daily), fmt=target.fmt,
-                                           **target.location("daily_revenue"))
+                                           versioned=target.versioned, **target.location("daily_revenue"))
         written["artist_revenue"] = publish(artist, fmt=target.fmt,
-                                            **target.location("artist_revenue"))
+                                            versioned=target.versioned, **target.location("artist_revenue"))
         pending = [m for m in pending if m not in ("daily_revenue", "artist_revenue")]
     for name in pending:
         stored = read_published(spark, fmt=target.fmt, **target.location(MART_SOURCE[name]))
@@ -125,5 +128,5 @@ def refresh(spark: SparkSession, sales: Mapping[str, DataFrame],
             mart = marts.ordered_artist_revenue(stored)
         else:
             mart = arranged(name, MART_FUNCTIONS[name](stored))
-        written[name] = publish(mart, fmt=target.fmt, **target.location(name))
+        written[name] = publish(mart, fmt=target.fmt, versioned=target.versioned, **target.location(name))
     return {n: written[n] for n in [*DATASETS, *MARTS] if n in written}

@@ -7,9 +7,9 @@ are listed in ``queries()`` only.
 
 from __future__ import annotations
 
-from martwright.registry import collections, columns, sales, tables
+from martwright.registry import collections, columns, rows, sales, tables
 
-_MODULES = [sales, columns, collections, tables]
+_MODULES = [sales, columns, collections, rows, tables]
 
 
 def queries():

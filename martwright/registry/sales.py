@@ -330,7 +330,7 @@ UNION ALL
 SELECT NULL, artist_name, 2, ROUND(SUM(total_price), 2) FROM sl GROUP BY artist_name
 """
 ORACLE["transactions_with_album"] = TRANSACTIONS_SQL.replace(
-    "LEFT JOIN lineitem l ON", "LEFT JOIN supplier a ON a.s_nationkey = p.p_size\nLEFT JOIN lineitem l ON")
+    "LEFT JOIN lineitem l ON", "LEFT JOIN nation a ON a.n_regionkey = p.p_size\nLEFT JOIN lineitem l ON")
 for _name in ("sales_lines", "transactions"):
     ORACLE[f"{_name}_salted"] = ORACLE[f"{_name}_colocated"] = ORACLE[_name]
 ORACLE["visit_frequency_bitmaps"] = ORACLE["visit_frequency"]

@@ -124,14 +124,14 @@ def transaction_roles(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 def album_roles(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The transaction roles with an album table whose ids repeat: a part's
-    album id is its size, an album row is a supplier under its nation's number
-    (many suppliers to a nation; the sizes above have no album)."""
+    album id is its size, an album row is a nation under its region's number
+    (several nations to a region; most sizes have no album)."""
     r = transaction_roles(t)
     return {
         **r,
         "track": t["part"].select(_id("p_partkey").alias("track_id"),
                                   _id("p_size").alias("album_id"),
                                   F.col("p_name").alias("name")),
-        "album": t["supplier"].select(_id("s_nationkey").alias("album_id"),
-                                      F.col("s_name").alias("title")),
+        "album": t["nation"].select(_id("n_regionkey").alias("album_id"),
+                                    F.col("n_name").alias("title")),
     }

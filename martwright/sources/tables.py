@@ -7,6 +7,8 @@ from collections.abc import Iterable, Iterator, Mapping
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from martwright.sinks.publish import current_version
+
 # The driver's test tables, one parquet file (or folder) each.
 TEST_TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -63,9 +65,10 @@ def read_parquet_tables(
 
 def read_published(spark: SparkSession, *, path: str | None = None, table: str | None = None,
                    fmt: str = "parquet") -> DataFrame:
-    """Read a dataset written by :func:`martwright.sinks.publish`."""
+    """Read a dataset written by :func:`martwright.sinks.publish` (S6), the
+    current version where it has versions."""
     if (path is None) == (table is None):
         raise ValueError("give exactly one of path= or table=")
     if table is not None:
         return spark.table(table)
-    return spark.read.format(fmt).load(path)
+    return spark.read.format(fmt).load(current_version(spark, path))

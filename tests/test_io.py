@@ -235,7 +235,7 @@ def test_refresh_job_cli_with_other_names(spark, scratch):
         with open(files[name], "w", encoding="utf-8") as fh:
             json.dump(value, fh)
     command = ["refresh", "--jdbc-url", url, "--jdbc-props", files["props"], "--names", files["names"],
-               "--target-path", os.path.join(scratch, "out"), "--only", "transactions,visit_frequency"]
+               "--target-path", os.path.join(scratch, "out"), "--only", "transactions,visit_frequency", "--album-ids-unique"]
     with pytest.raises(SystemExit):
         main(command, spark=spark)  # the number of slices has to be given
     written = main([*command, "--partitions", "2", "--report-order"], spark=spark)
@@ -286,7 +286,7 @@ def test_refresh_only_some_outputs(spark, scratch):
     for name in ("track", "invoice_line", "invoice", "customer"):  # no artist/album/genre
         x[name].write.parquet(os.path.join(src, f"{name}.parquet"))
     out = os.path.join(scratch, "out")
-    written = main(["refresh", "--source", src, "--target-path", out,
+    written = main(["refresh", "--source", src, "--target-path", out, "--album-ids-unique",
                     "--only", "transactions,visit_frequency"], spark=spark)
     assert set(written) == {"transactions", "visit_frequency"}
     again = main(["refresh", "--source", src, "--target-path", out,

@@ -1,0 +1,138 @@
+"""Gap-free replace, balanced JDBC slices, the exact album join in the job."""
+
+from __future__ import annotations
+
+import os
+import threading
+import uuid
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from martwright.plans import datasets
+from martwright.plans.refresh import Target, refresh
+from martwright.sinks import publish
+from martwright.sinks.publish import _mark, complete_versions, current_version, versions_of_table
+from martwright.sources import (album_roles, catalog_roles, read_jdbc_table, read_parquet_tables, read_published,
+                                sales_roles)
+from martwright.sources.jdbc import balanced_slices
+
+DERBY = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+
+
+def _rows(df):
+    return Counter(map(tuple, df.collect()))
+
+
+def test_a_version_counts_from_its_marker_on(spark, scratch):
+    path = os.path.join(scratch, "t")
+    publish(spark.range(3), path=path, versioned=True)
+    opened = read_published(spark, path=path)
+    spark.range(9).write.parquet(f"{path}/v000000000002-new")  # written, not yet current
+    assert read_published(spark, path=path).count() == 3
+    _mark(spark, path, "v000000000002-new")
+    assert read_published(spark, path=path).count() == 9
+    assert opened.count() == 3  # who had opened the old version keeps it
+    publish(spark.range(4), path=path, versioned=True)
+    assert read_published(spark, path=path).count() == 4
+    assert len(complete_versions(spark, path)) == 2 and len([n for n in os.listdir(path) if n[0] == "v"]) == 2
+
+
+def test_readers_always_find_a_whole_version(spark, scratch):
+    path = os.path.join(scratch, "t")
+    publish(spark.range(10), path=path, versioned=True)
+    seen, failed, stop = [], [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            try:
+                seen.append(read_published(spark, path=path).count())
+            except Exception as e:  # noqa: BLE001
+                failed.append(e)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for n in range(11, 17):
+        publish(spark.range(n), path=path, versioned=True, keep=3)
+    stop.set()
+    reader.join()
+    assert not failed and seen and set(seen) <= set(range(10, 17))
+
+
+def test_a_failing_write_changes_nothing(spark, scratch):
+    path, table = os.path.join(scratch, "t"), f"mw_v_{uuid.uuid4().hex[:8]}"
+    bad = spark.range(5).select(F.when(F.col("id") == 3, F.raise_error(F.lit("no"))).otherwise(F.col("id")).alias("id"))
+    for target in ({"path": path}, {"table": table}):
+        for n in (4, 6):
+            publish(spark.range(n), versioned=True, **target)
+            with pytest.raises(Exception, match="no"):
+                publish(bad, versioned=True, **target)
+            assert read_published(spark, **target).count() == n
+    with pytest.raises(ValueError, match="columns"):
+        publish(spark.range(2).toDF("other"), table=table, versioned=True)
+    assert spark.table(table).count() == 6
+    assert spark.sql(f"SELECT count(*) FROM {table}").first()[0] == 6
+    assert versions_of_table(spark, table).endswith("__versions")
+    with pytest.raises(ValueError):
+        publish(spark.range(2), path=path, versioned=True, keep=0)
+
+
+def test_paths_without_versions_are_read_as_before(spark, scratch):
+    path = os.path.join(scratch, "t")
+    publish(spark.range(2), path=path)
+    assert current_version(spark, path) == path and read_published(spark, path=path).count() == 2
+
+
+def test_refresh_with_versions_and_album_rows(spark, scratch):
+    t = read_parquet_tables(spark, SF_SMALL)
+    a = album_roles(t)
+    target = Target(base_path=os.path.join(scratch, "wh"), versioned=True)
+    for _ in range(2):
+        written = refresh(spark, sales_roles(t), catalog_roles(t), a, target)
+    want = datasets.transactions(a["track"], a["invoice_line"], a["invoice"], a["customer"], album=a["album"])
+    got = read_published(spark, path=written["transactions"])
+    assert _rows(got) == _rows(want)
+    without = datasets.transactions(a["track"], a["invoice_line"], a["invoice"], a["customer"])
+    assert got.count() > without.count()  # album ids repeat
+    assert read_published(spark, path=written["artist_revenue"]).count() == 5
+
+
+@pytest.fixture(scope="module")
+def skewed_table(spark):
+    """Most ids lie close together, a few very far away, one is very frequent."""
+    url = f"jdbc:derby:memory:mwskew{uuid.uuid4().hex[:8]};create=true"
+    ids = [*range(1_000_000, 1_003_000), *range(1, 50), 10 ** 12, 10 ** 12 + 7, -5, None, None, *[1_500_000] * 800]
+    df = spark.createDataFrame([(i, n) for n, i in enumerate(ids)], "id long, n long")
+    df.write.format("jdbc").options(url=url, dbtable="SKEWED", **DERBY).mode("overwrite").save()
+    return url, df
+
+
+def test_balanced_slices_of_skewed_keys(spark, skewed_table):
+    url, df = skewed_table
+    plain = read_jdbc_table(spark, url, "SKEWED", properties=DERBY, partition_column="id", num_partitions=8)
+    even = read_jdbc_table(spark, url, "SKEWED", properties=DERBY, partition_column="id", num_partitions=8, balanced=True)
+    assert _rows(plain) == _rows(even) == _rows(df)
+    sizes = [r["count"] for r in even.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    worst = max(r["count"] for r in plain.groupBy(F.spark_partition_id().alias("p")).count().collect())
+    assert max(sizes) <= 2 * 800 and worst > 3000  # equal strides: nearly all rows in one slice
+
+
+def test_slices_share_a_mark(spark, skewed_table):
+    url, df = skewed_table
+    options = {"url": url, "dbtable": "SKEWED", **DERBY}
+    slices = balanced_slices(spark, options, "SKEWED", "id", 4)
+    assert sum("IS NULL" in s for s in slices) == 1 and slices[-1].endswith(f"<= {10 ** 12 + 7}")
+    marked = read_jdbc_table(spark, url, "SKEWED", properties=DERBY, partition_column="id", num_partitions=4,
+                             balanced=True, as_of='"n" < 2000')
+    assert _rows(marked) == _rows(df.where("n < 2000"))
+    assert _rows(read_jdbc_table(spark, url, "SKEWED", properties=DERBY, as_of='"n" < 2000')) == _rows(df.where("n < 2000"))
+    with pytest.raises(ValueError):
+        read_jdbc_table(spark, url, "SKEWED", properties=DERBY, balanced=True)
+
+
+def test_balanced_slices_of_an_empty_table(spark):
+    url = f"jdbc:derby:memory:mwnone{uuid.uuid4().hex[:8]};create=true"
+    spark.createDataFrame([], "id long").write.format("jdbc").options(url=url, dbtable="NONE_T", **DERBY).mode("overwrite").save()
+    assert read_jdbc_table(spark, url, "NONE_T", properties=DERBY, partition_column="id", num_partitions=3, balanced=True).count() == 0
