@@ -30,7 +30,7 @@ TABLE_FUNCTIONS: dict[str, tuple[str, str, str]] = {
     "word_rows": ("line STRING", "pos INT, word STRING", "SELECT pos, col FROM posexplode(split(line, ' '))"),
     "pair_rows": ("m MAP<STRING, STRING>", "name STRING, item STRING", "SELECT key, value FROM explode(m)"),
     "zipped_rows": ("a ARRAY<STRING>, b ARRAY<STRING>", "first STRING, second STRING",
-                    "SELECT * FROM inline(arrays_zip(a, b))"),
+                    "SELECT * FROM inline(arrays_zip(coalesce(a, array()), coalesce(b, array())))"),
 }
 
 

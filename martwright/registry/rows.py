@@ -25,13 +25,15 @@ def _mixed_lists(spark, d):
 
 
 def _free_fields(spark, d):
-    """Documents and conversation turns appended as free records."""
+    """Documents and orders appended as free records."""
     doc = read_table(spark, d, "documents").select("doc_id", "lang", "n_chars")
-    turn = read_table(spark, d, "conversations").select("conv_id", "turn", "role")
-    return V.append_records(doc, turn).select(
+    order = read_table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    return V.append_records(doc, order).select(
         V.field("record", "doc_id", "bigint").alias("doc_id"), V.field("record", "lang", "string").alias("lang"),
-        V.field("record", "n_chars", "int").alias("n_chars"), V.field("record", "conv_id", "bigint").alias("conv_id"),
-        V.field("record", "turn", "int").alias("turn"), V.field("record", "role", "string").alias("role"),
+        V.field("record", "n_chars", "int").alias("n_chars"),
+        V.field("record", "o_orderkey", "bigint").alias("o_orderkey"),
+        V.field("record", "o_totalprice", "double").alias("o_totalprice"),
+        V.field("record", "o_orderstatus", "string").alias("o_orderstatus"),
         V.field("record", "unknown", "string").alias("unknown"))
 
 
@@ -74,10 +76,10 @@ SELECT doc_id, 6 AS n, doc_id AS number, lang, TRY_CAST(source AS BIGINT) AS no_
 FROM documents
 """,
     "free_fields": """
-SELECT doc_id, lang, n_chars, CAST(NULL AS BIGINT) AS conv_id, CAST(NULL AS INTEGER) AS turn,
-       CAST(NULL AS VARCHAR) AS role, CAST(NULL AS VARCHAR) AS unknown FROM documents
+SELECT doc_id, lang, n_chars, CAST(NULL AS BIGINT) AS o_orderkey, CAST(NULL AS DOUBLE) AS o_totalprice,
+       CAST(NULL AS VARCHAR) AS o_orderstatus, CAST(NULL AS VARCHAR) AS unknown FROM documents
 UNION ALL
-SELECT NULL, NULL, NULL, conv_id, turn, role, NULL FROM conversations
+SELECT NULL, NULL, NULL, o_orderkey, o_totalprice, o_orderstatus, NULL FROM orders
 """,
     "lateral_words": """
 SELECT doc_id, CAST(pos - 1 AS INTEGER) AS pos, md5(word) AS word
