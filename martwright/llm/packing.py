@@ -5,14 +5,15 @@ A document is its byte-BPE ids and an end id.  One longer than the capacity is
 cut into full pieces, its first piece taking what is over.  Pieces are dealt
 evenly into groups of about ``GROUP``, and each group is packed by bin
 completion: around the largest piece left, the undominated fillings are
-enumerated, least waste first; branches that can't beat the incumbent's waste
-are cut; the incumbent is best-fit decreasing at first.  The search ends at
-the lower bound (L2), or after ``NODES`` steps with the best
-packing so far, so a group is at most a few sequences from its optimum and,
-with thousands of pieces, mostly at its bound.
+enumerated; branches that can't beat the incumbent's waste are cut; the
+incumbent is best-fit decreasing at first.  The search starts with the bins that
+have the most room and those with the most pieces, and takes in more, at last all.  It ends at the lower bound
+(L2), when it has proved the incumbent, or after ``STEPS`` steps with the best
+packing so far.
 
-Ids are those of ``tokenizers`` for the same vocabulary; ``tiktoken`` makes
-them here as it is faster (a test holds one against the other).
+Ids are those of ``tokenizers`` for the same vocabulary, its added token
+included; ``tiktoken`` makes them here as it is faster (a test holds one against
+the other).
 
 Defined results: a null or empty text is the end id alone; repeated rows are
 packed each; null document ids stay; an empty table gives an empty table.
@@ -21,6 +22,7 @@ packed each; null document ids stay; an empty table gives an empty table.
 from __future__ import annotations
 
 import base64
+import itertools
 import re
 import zlib
 from collections.abc import Iterator
@@ -34,8 +36,12 @@ from martwright.llm.common import map_batches, only, stored
 
 CAPACITY, END_ID = 1024, 2
 GROUP = 8192  # pieces packed together
-NODES = 2_000  # steps of the search beyond the first descent
-FILLINGS = 32  # fillings looked at around one piece, the fullest of them first
+STEPS = 200_000  # of the search in one group: the only limit on it
+PORTION = 32  # fillings around one piece that are ordered at a time
+POOREST = 4  # bins with the most room that the search takes first
+SHARES = 12  # parts of the steps, of which a search over some of the bins has one
+# Fixed value: the one added token of the vocabulary, matched in texts as it stands.
+ADDED_TOKEN, ADDED_ID = "<|endoftext|>", 50256
 
 PIECES = "piece int, start long, length long, ids_crc32 long"
 
@@ -89,6 +95,9 @@ def token_bytes(text: str, vocabulary: str) -> bytes:
     """
     if not text:
         return b""
+    if ADDED_TOKEN in text:
+        return np.array([ADDED_ID], "<u4").tobytes().join(
+            token_bytes(part, vocabulary) for part in text.split(ADDED_TOKEN))
     if "  " in text or "\n " in text or "\t " in text or "\r " in text or _ODD_SPACE.search(text):
         return np.array(encoder(vocabulary).encode_ordinary(text), "<u4").tobytes()
     first, *rest = text.split(" ")
@@ -160,101 +169,110 @@ def lower_bound(lengths: list[int], capacity: int) -> int:
     return int((large + np.maximum(0, -(-(small - room) // capacity))).max())
 
 
-def fillings(left: list[int], mask: int, first: int, capacity: int, waste: int) -> list[list[int]]:
-    """Undominated ways to fill the bin that ``first`` opens, fullest first.
+class Budget:
+    """Steps of the search that are left; it ends when there are none."""
 
-    ``left``: how many pieces of each length remain (``first`` taken out);
+    def __init__(self, steps: int):
+        self.left = steps
+
+    def spend(self) -> bool:
+        self.left -= 1
+        return self.left >= 0
+
+
+def fillings(left: list[int], mask: int, first: int, capacity: int, waste: int, budget: Budget) -> Iterator[list[int]]:
+    """Undominated ways to fill the bin that ``first`` opens.
+
+    ``left``: how many pieces of each length remain (``first`` among them);
     ``mask``: its lengths as bits.  A filling is dominated if one more piece
     fits, or a longer piece can stand in for one or two of its own.  Those
-    that waste more than ``waste`` are cut; ``FILLINGS`` bounds how many are
-    looked at.
+    that waste more than ``waste`` are cut.  Fillings without waste by two or
+    three pieces come first, then all others in portions of ``PORTION``, the
+    fullest of a portion first; the iterator goes on where it stopped, so none
+    is left out unless the budget ends.
     """
     room = capacity - first
-    if mask >> room & 1:  # alone it fills the bin, and stands in for any other filling
-        return [[room]] if room else [[]]
-    found: list[tuple[int, list[int]]] = []
-    steps = 0
+    if left[first] == 1:
+        mask &= ~(1 << first)
+    if not room or mask >> room & 1:  # filled by one piece, which stands in for any other filling
+        yield [room] if room else []
+        return
+
+    def spare(n: int, chosen: list[int]) -> int:
+        return left[n] - (n == first) - chosen.count(n)
 
     def largest(room: int, last: int, chosen: list[int]) -> Iterator[int]:
         n = min(room, last)
         while (bits := mask & ((2 << n) - 1)) and (n := bits.bit_length() - 1):
-            if left[n] > chosen.count(n):
+            if spare(n, chosen) > 0:
                 yield n
             n -= 1
 
     def dominated(chosen: list[int], rest: int) -> bool:
-        spare = mask
+        usable = mask
         for n in set(chosen):
-            if left[n] <= chosen.count(n):
-                spare &= ~(1 << n)
+            if spare(n, chosen) <= 0:
+                usable &= ~(1 << n)
         ones = (1 << rest) - 1
-        return any(spare >> (a + 1) & ones or any(
-            spare >> (a + b) & (ones << 1 | 1) for b in chosen[k + 1:]) for k, a in enumerate(chosen))
+        return any(usable >> (a + 1) & ones or any(
+            usable >> (a + b) & (ones << 1 | 1) for b in chosen[k + 1:]) for k, a in enumerate(chosen))
+
+    def exact() -> Iterator[list[int]]:
+        pair = _exact_pair(spare, mask, room, [])
+        if pair:
+            yield pair
+        for n in largest(room, room, []):
+            if not budget.spend():
+                return
+            pair = _exact_pair(spare, mask, room - n, [n])
+            if pair:
+                yield [n, *pair]
 
-    def walk(room: int, last: int, chosen: list[int]) -> bool:
-        """False: enough found."""
-        nonlocal steps
+    def walk(room: int, last: int, chosen: list[int]) -> Iterator[tuple[int, list[int]]]:
         fits = False
         for n in largest(room, last, chosen):
             fits = True
-            steps += 1
-            if steps > 8 * FILLINGS or not walk(room - n, n, [*chosen, n]):
-                return False
+            if not budget.spend():
+                return
+            yield from walk(room - n, n, [*chosen, n])
         if not fits and room <= waste and next(largest(room, room, chosen), 0) == 0 and not dominated(chosen, room):
-            found.append((room, chosen))
-            return room > 0 and len(found) < FILLINGS
-        return True
-
-    pair = _exact_pair(left, mask, room, capacity)
-    if pair:
-        found.append((0, pair))
-    else:
-        for n in largest(room, room, []):
-            steps += 1
-            if steps > FILLINGS:
-                break
-            left[n] -= 1
-            pair = _exact_pair(left, mask if left[n] else mask & ~(1 << n), room - n, capacity)
-            left[n] += 1
-            if pair:
-                found.append((0, [n, *pair]))
-                break
-    steps = 0
-    if not found:
-        walk(room, room, [])
-    found.sort(key=lambda f: f[0])
-    return [f[1] for f in found]
+            yield room, chosen
+
+    seen = set()
+    for filling in exact():
+        key = tuple(sorted(filling))
+        if key not in seen:
+            seen.add(key)
+            yield filling
+    others = walk(room, room, [])
+    while portion := sorted(itertools.islice(others, PORTION)):
+        yield from (chosen for _, chosen in portion if tuple(sorted(chosen)) not in seen)
 
 
-def _exact_pair(left: list[int], mask: int, room: int, capacity: int) -> list[int] | None:
-    """Two lengths left that make up ``room``."""
+def _exact_pair(spare, mask: int, room: int, chosen: list[int]) -> list[int] | None:
+    """Two lengths left beside ``chosen`` that make up ``room``."""
     a = room - 1
     while a * 2 >= room and (bits := mask & ((2 << a) - 1)):
         a = bits.bit_length() - 1
         b = room - a
         if a * 2 < room or a == 0:
             return None
-        if mask >> b & 1 and (a != b or left[a] > 1):
+        if mask >> b & 1 and spare(a, chosen) > 0 and spare(b, [*chosen, a]) > 0:
             return [a, b]
         a -= 1
     return None
 
 
-def pack(lengths: list[int], capacity: int = CAPACITY, nodes: int = NODES) -> list[list[int]]:
-    """Bins of lengths, as few as the search finds."""
-    if not lengths:
-        return []
-    best = best_fit_decreasing(lengths, capacity)
-    total, bound = sum(lengths), lower_bound(lengths, capacity)
-    if len(best) <= bound:
-        return best
-    left, mask = [0] * (capacity + 1), 0
+def complete(lengths: list[int], capacity: int, best: list[list[int]], bound: int, budget: Budget) -> list[list[int]]:
+    """Bin completion: bins of ``lengths``, fewer than ``best`` if the search
+    finds such before the budget ends.  An emptied search proves ``best``."""
+    left, mask, total = [0] * (capacity + 1), 0, sum(lengths)
     for n in lengths:
         left[n] += 1
         mask |= 1 << n
     bins: list[list[int]] = []
     stack: list[Iterator[list[int]]] = []
-    wasted, steps, remaining, most = 0, 0, len(lengths), nodes + len(best)
+    wasted, remaining = 0, len(lengths)
 
     def take(n: int, by: int) -> None:
         nonlocal mask
@@ -263,14 +281,13 @@ def pack(lengths: list[int], capacity: int = CAPACITY, nodes: int = NODES) -> li
 
     def branch() -> Iterator[list[int]]:
         first = mask.bit_length() - 1
-        take(first, -1)
         allowed = (len(best) - 1) * capacity - total - wasted
-        got = fillings(left, mask, first, capacity, allowed) if allowed >= 0 else []
-        take(first, 1)
-        return iter([[first, *f] for f in got])
+        if allowed < 0:
+            return iter([])
+        return ([first, *f] for f in fillings(left, mask, first, capacity, allowed, budget))
 
     stack.append(branch())
-    while stack and steps < most and len(best) > bound:
+    while stack and budget.left > 0 and len(best) > bound:
         filling = next(stack[-1], None)
         if filling is None:
             stack.pop()
@@ -281,7 +298,7 @@ def pack(lengths: list[int], capacity: int = CAPACITY, nodes: int = NODES) -> li
                 for n in undone:
                     take(n, 1)
             continue
-        steps += 1
+        budget.spend()
         waste = capacity - sum(filling)
         if total + wasted + waste > (len(best) - 1) * capacity:
             continue
@@ -296,6 +313,38 @@ def pack(lengths: list[int], capacity: int = CAPACITY, nodes: int = NODES) -> li
     return best
 
 
+def pack(lengths: list[int], capacity: int = CAPACITY, steps: int = STEPS) -> list[list[int]]:
+    """Bins of lengths, as few as the search finds.
+
+    Best-fit decreasing is the first incumbent.  It leaves room behind large
+    pieces once the small ones are used up, so the search takes the bins with
+    the most room together with those of the most pieces, and completes bins
+    anew over the pieces of both; it takes twice as many when that gains
+    nothing, and at last all, with the steps that are left.
+    """
+    if not lengths:
+        return []
+    best = best_fit_decreasing(lengths, capacity)
+    bound, budget, some = lower_bound(lengths, capacity), Budget(steps), POOREST
+    while len(best) > bound and budget.left > 0:
+        best.sort(key=sum)
+        poor, rest = best[:some], best[some:]
+        rest.sort(key=len, reverse=True)
+        chosen, others = poor + rest[:some], rest[some:]
+        held = [n for b in chosen for n in b]
+        share = Budget(min(budget.left, steps // SHARES) if others else budget.left)
+        given = share.left
+        found = complete(held, capacity, chosen, max(1, -(-sum(held) // capacity)), share)
+        budget.left -= given - max(0, share.left)
+        if len(found) < len(chosen):
+            best = found + others
+        elif others:
+            some *= 2
+        else:
+            break
+    return best
+
+
 def pack_documents(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", capacity: int = CAPACITY,
                    end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each piece with its ``sequence_id`` and ``offset``.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 import zlib
 
@@ -25,7 +26,6 @@ SMALL = "/root/testdata/sf0.001"
 
 def brute_pieces(rows):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     out = []
     for i, text in rows:
         ids = np.array([*t.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
@@ -56,9 +56,8 @@ def test_packing_against_the_tokenizer(spark, messy, nothing):
 
 def test_tokens_of_odd_white_space():
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     rng = random.Random(8)
-    texts = ["", " ", "  ", "a  b", " \n \n b", "a \n b ", "\x1ca\x1d b", "a\xa0 \xa0b", "<|endoftext|> x", "it's 1,000 é　中文"]
+    texts = ["", " ", "  ", "a  b", " \n \n b", "a \n b ", "\x1ca\x1d b", "a\xa0 \xa0b", "<|endoftext|> x", "<|endoftext|>", "a<|endoftext|><|endoftext|>  b", "a <|endoftext|>b \n<|endoftext|>", "<|endoftext", "it's 1,000 é　中文"]
     texts += ["".join(rng.choice(" \n\t\r\xa0ab'1.é🤗") for _ in range(rng.randrange(30))) for _ in range(2000)]
     for text in texts:
         got = np.frombuffer(packing.token_bytes(text, "byte_bpe_50k.tiktoken"), "<u4").tolist()
@@ -97,6 +96,35 @@ def test_small_groups_are_packed_best():
     assert packing.pack([]) == []
 
 
+def test_the_search_gains_over_best_fit():
+    """Large pieces with room for a few: best fit wastes, bin completion less."""
+    rng = random.Random(4)
+    gained = 0
+    for _ in range(6):
+        lengths = [rng.randint(200, 700) for _ in range(400)]
+        bins = packing.pack(lengths, 1024)
+        assert sorted(n for b in bins for n in b) == sorted(lengths) and max(map(sum, bins)) <= 1024
+        gained += len(packing.best_fit_decreasing(lengths, 1024)) - len(bins)
+    assert gained > 0
+
+
+def test_every_undominated_filling_comes():
+    """No filling is left out while the budget lasts, however many there are."""
+    rng = random.Random(5)
+    for _ in range(200):
+        lengths = [rng.randint(3, 30) for _ in range(12)]
+        left = [lengths.count(n) for n in range(61)]
+        mask = sum(1 << n for n in set(lengths))
+        first = max(lengths)
+        got = [tuple(sorted(f)) for f in packing.fillings(left, mask, first, 60, 60, packing.Budget(10 ** 6))]
+        assert len(got) == len(set(got))
+        rest = list(lengths)
+        rest.remove(first)
+        least = min(60 - first - sum(c) for k in range(len(rest) + 1) for c in itertools.combinations(rest, k)
+                    if sum(c) <= 60 - first)
+        assert min(60 - first - sum(f) for f in got) == least
+
+
 # --- SentencePiece --------------------------------------------------------
 
 def test_sentencepiece_against_the_library(spark, messy, nothing, small):
