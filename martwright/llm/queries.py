@@ -132,20 +132,21 @@ GROUP BY doc_id
 
 
 def _op1_sql() -> str:
-    """The same rules over the contract's own patterns, span by span."""
+    """The same rules over the contract's own patterns, span by span, with the
+    context taken from the text by position."""
     plain = {
         "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
         "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
         "card": r"[0-9]([\x20-]?[0-9])+",
         **{k: pii.PATTERNS[k] for k in ("phone", *pii.MORE)},
+        "iban": r"(?:^|[^A-Za-z0-9])[A-Z]{2}[0-9]{2}",  # where one can start
     }
     parts = []
     for n, (kind, pattern) in enumerate(plain.items()):
         words = pii.CONTEXT_WORDS[kind]
-        parts.append(f"""SELECT doc_id, {n} AS k, '{kind}' AS kind,
+        parts.append(f"""SELECT doc_id, row, text, {n} AS k, '{kind}' AS kind,
   unnest(regexp_extract_all(text, '{pattern}')) AS hit,
   unnest(string_split_regex(text, '{pattern}')[:-2]) AS before,
-  unnest(string_split_regex(text, '{pattern}')[2:]) AS after,
   generate_subscripts(regexp_extract_all(text, '{pattern}'), 1) AS i,
   '(?i)\\b(?:{words})' AS words
 FROM doc WHERE regexp_matches(text, '{pattern}')""")
@@ -154,42 +155,66 @@ FROM doc WHERE regexp_matches(text, '{pattern}')""")
     mod97 = ("CAST(list_reduce([0] || [CAST(ascii(x) AS INT) FOR x IN string_split("
              "substr(plain, 5) || substr(plain, 1, 4), '')], lambda a, c: CASE WHEN c >= 65 "
              "THEN (a * 100 + c - 55) % 97 ELSE (a * 10 + c - 48) % 97 END) AS INT) = 1")
-    context = pii.CONTEXT
+    usual = ", ".join(f"('{c}', {n})" for n, codes in pii.IBAN_LENGTHS.items() for c in codes.split())
+    context, ahead = pii.CONTEXT, 4 + pii.IBAN_AHEAD
     return f"""
-WITH doc AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+WITH doc AS (SELECT doc_id, row_number() OVER () AS row, coalesce(text, '') AS text FROM documents),
 hit AS ({' UNION ALL '.join(parts)}),
 placed AS (
   SELECT *, length(hit) AS n,
-         sum(length(before) + length(hit)) OVER (PARTITION BY doc_id, k ORDER BY i) AS stop
+         CAST(sum(length(before) + length(hit)) OVER (PARTITION BY row, k ORDER BY i) AS BIGINT) AS stop
   FROM hit),
 tested AS (
-  SELECT *, regexp_replace(hit, '[^0-9]', '', 'g') AS digits, replace(hit, ' ', '') AS plain,
-         right(before, {context}) AS b, left(after, {context}) AS a
-  FROM placed),
+  SELECT *, regexp_replace(hit, '[^0-9]', '', 'g') AS digits,
+         substr(text, greatest(stop - n - {context}, 0) + 1, least(stop - n, {context})) AS b,
+         substr(text, stop + 1, {context}) AS a
+  FROM placed WHERE kind <> 'iban'),
+started AS (
+  SELECT row, k, kind, stop - 4 AS start, substr(text, stop - 3, {ahead}) AS near,
+         regexp_extract(substr(text, stop - 3, {ahead}), '^(?:\\x20?[A-Z0-9]+)+') AS run
+  FROM placed WHERE kind = 'iban'),
+cut AS (
+  SELECT row, k, kind, start,
+         CASE WHEN regexp_matches(substr(near, length(run) + 1, 1), '[a-z]') THEN string_split(run, ' ')[:-2]
+              ELSE string_split(run, ' ') END AS parts
+  FROM started WHERE regexp_matches(near, '^[A-Z]{{2}}[0-9]{{2}}(?:\\x20?[A-Z0-9]){{11}}')),
+ended AS (
+  SELECT row, k, kind, start, j, array_to_string(parts[1:j], '') AS plain
+  FROM (SELECT *, unnest(generate_series(1, len(parts))) AS j FROM cut)),
+whole AS (
+  SELECT row, k, kind, start, start + length(plain) + j - 1 AS stop
+  FROM (SELECT * FROM ended WHERE length(plain) BETWEEN 15 AND 34) e
+  LEFT JOIN (VALUES {usual}) u(country, size) ON country = left(plain, 2) AND size = length(plain)
+  WHERE {mod97}
+  QUALIFY row_number() OVER (PARTITION BY row, start ORDER BY size IS NULL, length(plain) DESC, j DESC) = 1),
+iban AS (  -- from the left, none inside an earlier one
+  SELECT row, k, kind, unnest(list_reduce(spans, lambda a, x:
+           CASE WHEN x[1].start < a[len(a)].stop THEN a ELSE a || x END)) AS s
+  FROM (SELECT row, k, kind, list([{{'start': start, 'stop': stop}}] ORDER BY start) AS spans FROM whole GROUP BY ALL)),
 kept AS (
-  SELECT doc_id, k, kind, CAST(stop - n AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop FROM tested
+  SELECT row, k, kind, CAST(stop - n AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop FROM tested
   WHERE CASE kind
     WHEN 'email' THEN true
     WHEN 'ip' THEN list_max([CAST(x AS HUGEINT) FOR x IN string_split(hit, '.')]) <= 255
     WHEN 'card' THEN CASE WHEN length(digits) BETWEEN 13 AND 19 THEN {luhn} ELSE false END
     WHEN 'phone' THEN length(digits) BETWEEN 9 AND 15
-    WHEN 'iban' THEN NOT regexp_matches(b, '[A-Za-z0-9]$') AND NOT regexp_matches(a, '^[A-Za-z0-9]')
-                     AND length(plain) BETWEEN 15 AND 34 AND {mod97}
     ELSE NOT regexp_matches(b, '[0-9+-]$') AND NOT regexp_matches(a, '^[0-9-]')
-         AND (regexp_matches(b, words) OR regexp_matches(a, words)) END),
+         AND (regexp_matches(b, words) OR regexp_matches(a, words)) END
+  UNION ALL
+  SELECT row, k, kind, s.start, s.stop FROM iban),
 spans AS (
   SELECT * FROM kept m WHERE k < 4 OR NOT EXISTS (
-    SELECT 1 FROM kept o WHERE o.doc_id = m.doc_id AND o.k < 4 AND o.start < m.stop AND m.start < o.stop)),
+    SELECT 1 FROM kept o WHERE o.row = m.row AND o.k < 4 AND o.start < m.stop AND m.start < o.stop)),
 listed AS (
-  SELECT doc_id, count(*) FILTER (k = 0) AS n_email, count(*) FILTER (k = 1) AS n_ip,
+  SELECT row, count(*) FILTER (k = 0) AS n_email, count(*) FILTER (k = 1) AS n_ip,
          count(*) FILTER (k = 2) AS n_card, count(*) FILTER (k = 3) AS n_phone,
          string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY k, start) FILTER (k < 4) AS base,
          string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY k, start) AS spans
-  FROM spans GROUP BY doc_id)
+  FROM spans GROUP BY row)
 SELECT d.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip,
        coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
-FROM doc d LEFT JOIN listed l USING (doc_id)
+FROM doc d LEFT JOIN listed l USING (row)
 """
 
 OP3_SQL = f"""

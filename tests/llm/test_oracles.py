@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import duckdb
 import pytest
 
@@ -43,6 +45,24 @@ def test_query_matches_sql(spark, name):
     assert _digest(srows, None) == _digest(drows, None)
 
 
+def test_pii_sql_states_the_same_rules(spark, scratch):
+    """Context past other matches, IBANs before capitals, a text of numbers alone."""
+    rng = random.Random(6)
+    texts = ["Call (784) 555-9263 or (784) 555-9264.", "DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", "DE89 3704 0044 0532 0130 00 Please",
+             "DE89 3704 0044 0532 0130 00 GB82 WEST 1234 5698 7654 32", "XDE89370400440532013000 DE89370400440532013000x",
+             None, "", " ".join(str(k) for k in range(10, 20_000)), "call " + "784 555 9263, " * 50]
+    words = ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "SSN", "219-09-9999", "call", "784 555 9263", "A1", "ok", "B",
+             "+1 784 555 9263", "4111 1111 1111 1111", "1.2.3.4", "x@y.z", "-", "9", ",", "é"]
+    texts += [" ".join(rng.choice(words) for _ in range(rng.randrange(25))) for _ in range(300)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{scratch}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{scratch}/documents.parquet/*.parquet')")
+    _, srows = _spark_rows(Q.op1_pii(spark, scratch))
+    _, drows = _duck_rows(con, Q.ORACLE["op1_pii"])
+    assert sorted(map(str, srows)) == sorted(map(str, drows))
+    assert sum("iban" in str(r) for r in srows) > 50 and sum("local_phone" in str(r) for r in srows) > 20
+
+
 @pytest.mark.parametrize("name", sorted(COLUMNS))
 def test_columns(spark, name):
     got = dict(Q.QUERIES[name](spark, SMALL).dtypes)
