@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from martwright.session import checkpoint_dir
+from martwright.sinks.scratch import written
 
 # Word separators of all contracts here: space and the control characters 9-13.
 SPACES = " \t\n\x0b\x0c\r"
@@ -44,11 +43,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
     It cuts the lineage: a lost executor costs no recomputation of what lies
     before, and the columnar files let later steps read only what they use.
+    ``martwright.sinks.scratch.clean`` removes the session's tables.
     """
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return written(df, name)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

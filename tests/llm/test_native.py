@@ -38,7 +38,9 @@ def brute_lines(rows, least):
     return sorted(out, key=repr)
 
 
-def test_lines_against_brute_force(messy):
+@pytest.mark.parametrize("heavy", [1, 40, 65_536])  # no line heavy, some, all
+def test_lines_against_brute_force(messy, monkeypatch, heavy):
+    monkeypatch.setattr(line_dedup, "HEAVY", heavy)
     for least in (2, 3):
         got = line_dedup.drop_common_lines(messy, least)
         assert set(messy.columns) - {"N_Lines"} <= set(got.columns) | {"n_lines"}
@@ -144,9 +146,12 @@ def test_empty_tables(nothing):
 
 
 @pytest.mark.parametrize("make", [line_dedup.drop_common_lines, pii.find_pii, pii.mask_pii])
-def test_no_python_in_the_plan(messy, make):
-    plan = make(messy)._jdf.queryExecution().executedPlan().toString()
-    assert not re.search("Python|Pandas|Arrow", plan)
+def test_no_python_in_the_plan(messy, monkeypatch, make):
+    made, write = [], line_dedup.stored
+    monkeypatch.setattr(line_dedup, "stored", lambda df, name: made.append(df) or write(df, name))
+    made.append(make(messy))
+    for df in made:
+        assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
 
 
 def test_a_text_of_a_million_numbers(spark):
