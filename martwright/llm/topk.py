@@ -13,8 +13,10 @@ neighbours, and the triangle inequality holds.
    |d(q, p) - d(x, p)| until it has met ``FIRST`` vectors, which gives its first
    k-th best score, and then every other annulus whose bound is within that
    radius; the rest can hold nothing better.
-3. In a cell, blocks of queries meet the vectors in one matrix product, and each
-   query keeps at most k of them that reach its k-th best score so far.
+3. Queries go into blocks with others of their cell, so that a block asks for
+   few cells, and a vector is sent to a block only if a query there asks for its
+   cell.  In a sub-cell, blocks of queries meet the vectors in one matrix product,
+   and each query keeps at most k of them that reach its k-th best score so far.
 
 All vectors are indexed, and the result is exact: scores are integers, bounds
 have slack for rounding, and equal scores are settled by the smaller id.  The
@@ -24,7 +26,8 @@ Defined results: rows without id or vector, or with a null or non-finite
 component, take no part; shorter vectors are filled up with zeros; rows that
 repeat an id are separate candidates, but none for a query with this id, and
 queries that repeat an id are one query (any of its rows); an empty table gives
-an empty table.
+an empty table; extra columns are not read, whatever their names; very long
+vectors are rows like others, two bytes for each component where these fit.
 """
 
 from __future__ import annotations
@@ -48,6 +51,16 @@ def _inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a.astype(np.int64) @ b.astype(np.int64).T
 
 
+def encode(whole: np.ndarray) -> bytes:
+    """The size of a component and the components, two bytes each if they fit."""
+    kind = np.int16 if np.abs(whole).max(initial=0) < 2 ** 15 else np.int64
+    return bytes([np.dtype(kind).itemsize]) + whole.astype(kind).tobytes()
+
+
+def decode(b: bytes) -> np.ndarray:
+    return np.frombuffer(b, np.int16 if b[0] == 2 else np.int64, offset=1)
+
+
 def vectors(table: DataFrame, scale: float, id_col: str, vector_col: str) -> DataFrame:
     """``id, v, n, norm``: floor(scale * x) of each valid row as bytes, its
     length and squared norm."""
@@ -61,7 +74,7 @@ def vectors(table: DataFrame, scale: float, id_col: str, vector_col: str) -> Dat
             if not np.isfinite(values).all():
                 continue
             whole = np.floor(scale * values).astype(np.int64)
-            for k, value in zip(out, (i, whole.tobytes(), len(whole), int((whole * whole).sum()))):
+            for k, value in zip(out, (i, encode(whole), len(whole), int((whole * whole).sum()))):
                 out[k].append(value)
         return out
 
@@ -72,7 +85,7 @@ class Index:
     """Pivots, annuli and cells; small, sent to all tasks."""
 
     def __init__(self, size: int, longest: int, sample: np.ndarray):
-        self.size, self.longest = size, longest
+        self.size, self.longest, self.first = size, longest, FIRST
         lifted = self.lift(sample)
         chosen = [0] if len(sample) else []
         apart = np.full(len(sample), np.inf)
@@ -93,7 +106,7 @@ class Index:
         """Vectors from their bytes, filled up with zeros."""
         out = np.zeros((len(column), self.size), np.int64)
         for row, b in enumerate(column):
-            x = np.frombuffer(b, np.int64)
+            x = decode(b)
             out[row, :len(x)] = x
         return out
 
@@ -129,10 +142,15 @@ class Index:
         order = np.lexsort((d, bound), axis=1)
         met = np.cumsum(self.count[order], 1)
         first = np.zeros(bound.shape, bool)
-        np.put_along_axis(first, order, (met - self.count[order]) < FIRST, 1)
+        np.put_along_axis(first, order, (met - self.count[order]) < self.first, 1)
         return bound, first
 
 
+def deal(placed: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The index's rows, one for each block that asks for their sub-cell."""
+    return placed.select("id", "v", "cell", "part").join(pairs, ["cell", "part"])
+
+
 def top_k(table: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0, id_col: str = "vec_id",
           vector_col: str = "embedding") -> DataFrame:
     """``query_id, rank, id, score``: for each row of ``table`` for which
@@ -157,15 +175,21 @@ def top_k(table: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0,
     made.hold([tuple(r) for r in placed.groupBy("cell").agg(
         F.count("id"), F.min("distance"), F.max("distance")).collect()])
     held = spark.sparkContext.broadcast(made)
-    queries = placed.where(is_query).dropDuplicates(["id"]).select("id", "v")
-    blocks = -(-max(1, queries.count()) // QUERIES)
     parts = np.zeros(PIVOTS * RINGS, np.int64)
     parts[made.cell] = made.parts
-    # the index's rows, dealt over the parts of their cell, once for each block of queries
-    dealt = placed.select(
-        "id", "v", "cell",
-        F.pmod(F.xxhash64("id", "distance"), F.get(F.array(*[F.lit(int(p)) for p in parts]), F.col("cell"))).cast("int").alias("part"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+
+    def of_cell(numbers: np.ndarray) -> Column:
+        return F.get(F.array(*[F.lit(int(p)) for p in numbers]), F.col("cell"))
+
+    placed = placed.withColumn("part", F.pmod(F.xxhash64("id", "distance"), of_cell(parts)).cast("int"))
+    queries = stored(placed.where(is_query).dropDuplicates(["id"]).select("id", "v", "cell"), "queries")
+    inside, before = np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64)
+    for cell, n in queries.groupBy("cell").count().collect():
+        inside[cell] = n
+    before[1:] = np.cumsum(inside)[:-1]
+    # cell after cell, ``QUERIES`` to a block, about
+    queries = queries.withColumn("block", F.floor(
+        (of_cell(before) + F.pmod(F.xxhash64("id"), of_cell(inside))) / QUERIES).cast("int"))
 
     def visits(first: bool):
         def run(batch):
@@ -179,15 +203,8 @@ def top_k(table: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0,
                 square = (q.astype(float) ** 2).sum(1) + ix.longest - 2.0 * least.astype(float)
                 radius = np.where(least == np.iinfo(np.int64).min, np.inf, np.sqrt(np.maximum(0, square)))
                 go = ~met & (bound <= (radius * (1 + SLACK) + SLACK)[:, None])
-            query, cell = np.nonzero(go)
-            times = ix.parts[cell]
-            query, cell = np.repeat(query, times), np.repeat(cell, times)
-            part = np.arange(len(cell)) - np.repeat(np.cumsum(times) - times, times)
-            ids = np.array(batch.column("id").to_pylist(), np.int64)
-            raw = batch.column("v")
-            import pyarrow as pa
-            return {"query_id": ids[query], "q": raw.take(pa.array(query)), "least": least[query],
-                    "cell": ix.cell[cell].astype(np.int32), "part": part.astype(np.int32)}
+            return {"id": batch.column("id"), "v": batch.column("v"), "block": batch.column("block"), "least": least,
+                    "cells": [ix.cell[row].tolist() for row in go]}
         return run
 
     def meet(key, asked: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
@@ -212,8 +229,15 @@ def top_k(table: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0,
         return pd.DataFrame(dict(zip(("query_id", "id", "score"), map(np.concatenate, zip(*out)))))
 
     def search(asked: DataFrame, first: bool) -> DataFrame:
-        requests = map_batches(asked, "query_id long, q binary, least long, cell int, part int", visits(first))
-        requests = requests.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
+        asks = stored(map_batches(asked.select("id", "v", "least", "block"),
+                                  "id long, v binary, least long, block int, cells array<int>", visits(first)), "asks")
+        every_part = F.explode(F.sequence(F.lit(0), of_cell(parts).cast("int") - 1)).alias("part")
+        pairs = stored(asks.select("block", F.explode("cells").alias("cell")).distinct()
+                       .select("block", "cell", every_part), "pairs")
+        requests = (asks.select(F.col("id").alias("query_id"), F.col("v").alias("q"), "least", "block",
+                                F.explode("cells").alias("cell"))
+                    .select("query_id", "q", "least", "block", "cell", every_part))
+        dealt = deal(placed, pairs)
         key = ["cell", "part", "block"]
         found = requests.groupBy(*key).cogroup(dealt.groupBy(*key)).applyInPandas(meet, result)
         return best(found)
@@ -224,6 +248,6 @@ def top_k(table: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0,
 
     near = stored(search(queries.withColumn("least", F.lit(None).cast("long")), True), "near")
     radius = near.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("least"))
-    rest = search(queries.join(radius, "id", "left").select("id", "v", "least"), False)
+    rest = search(queries.join(radius, "id", "left").select("id", "v", "block", "least"), False)
     return best(near.select("query_id", "id", "score").union(rest.select("query_id", "id", "score"))).select(
         "query_id", "rank", "id", "score")

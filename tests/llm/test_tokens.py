@@ -184,6 +184,31 @@ def test_top_k_against_brute_force(spark, monkeypatch, cell, first, block):
     assert topk.top_k(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_vectors_go_only_where_they_are_asked_for(spark, monkeypatch):
+    """Rows dealt equal those of the (sub-cell, block) pairs that queries ask for."""
+    for name, value in (("CELL", 16), ("FIRST", 30), ("QUERIES", 8)):
+        monkeypatch.setattr(topk, name, value)
+    seen, deal = [], topk.deal
+    monkeypatch.setattr(topk, "deal", lambda placed, pairs: seen.append((placed, pairs)) or deal(placed, pairs))
+    rng = np.random.default_rng(6)
+    rows = [(i, (np.eye(8)[i % 8] * 40 + rng.normal(0, 1, 8)).tolist()) for i in range(800)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, topk.top_k(df, F.col("id") % 5 == 0).collect()))
+    assert got == brute_top(rows, 20, 5)
+    for placed, pairs in seen:
+        size = {(r.cell, r.part): r["count"] for r in placed.groupBy("cell", "part").count().collect()}
+        asked = [tuple(r) for r in pairs.select("cell", "part", "block").collect()]
+        assert len(asked) == len(set(asked))
+        dealt = deal(placed, pairs)
+        assert dealt.count() == sum(size.get(a[:2], 0) for a in asked)
+        assert dealt.count() < 0.5 * len(rows) * 20  # all blocks, the former way
+
+
+def test_vector_bytes():
+    for x in ([], [0, -5], [2 ** 15 - 1], [2 ** 15], [-2 ** 40, 3]):
+        assert topk.decode(topk.encode(np.array(x, np.int64))).tolist() == x
+
+
 def test_pruning_skips_far_cells():
     rng = np.random.default_rng(2)
     x = np.concatenate([c + rng.normal(0, 1, (200, 4)) for c in np.eye(4) * 500]).round().astype(np.int64)
