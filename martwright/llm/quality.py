@@ -13,7 +13,9 @@ most half of them in repeated three-word windows) and its score is at least
 
 Defined results: a null or empty text has no words and fails; without any
 labelled row the trees are empty and the base rule decides; repeated rows and
-null ids are judged row by row; an empty table gives an empty table.
+null ids are judged row by row; an empty table gives an empty table; a very
+long text is counted whole, in one task, with sorts of its words; extra columns
+are not read, whatever their names.
 """
 
 from __future__ import annotations

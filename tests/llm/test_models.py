@@ -147,8 +147,52 @@ def test_trees_are_monotone():
     assert np.mean((trees.score(rows) > 0.5) == labels) > 0.75
 
 
+def test_flattened_trees_against_a_recursive_walk(spark, small):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    trees = quality.train(docs, labels)
+    assert len(trees.roots) > 10
+
+    def walk(node, row):
+        if trees.left[node] == node == trees.right[node]:
+            return trees.value[node]
+        side = trees.left if row[trees.feature[node]] <= trees.threshold[node] else trees.right
+        return walk(side[node], row)
+
+    verdicts = {(r.doc_id, r.n_words): r.kept for r in quality.judge(
+        spark.createDataFrame(small, "doc_id long, text string"), trees).collect()}
+    for i, text in small:
+        counts, row = quality.statistics(text)
+        p = 1 / (1 + math.exp(-(trees.start + sum(walk(r, row) for r in trees.roots))))
+        assert trees.score(np.array([row], float))[0] == pytest.approx(p, abs=1e-9)
+        failed = counts[0] < 50 or 100 * counts[4] > 50 * counts[0]
+        assert verdicts[i, counts[0]] == (not failed and p >= quality.KEEP)
+
+
 # --- toxicity -------------------------------------------------------------
 
+def test_scores_against_all_pairs(messy):
+    """The score by an explicit loop over the pairs of a text's terms."""
+    rng = np.random.default_rng(9)
+    fm = toxicity.FactorizationMachine(-1.5)
+    some = rng.random(1 << toxicity.BITS) < 0.3
+    fm.w[some] = rng.normal(0, 0.3, int(some.sum()))
+    fm.v[some] = rng.normal(0, 0.2, (int(some.sum()), toxicity.FACTORS))
+    scores = {(r.doc_id, r.text): r.score for r in messy.select("doc_id", "text").join(
+        toxicity.score_toxicity(messy.select("doc_id", "text").where("doc_id is not null"), fm), "doc_id").collect()}
+    for i, text in pairs(messy):
+        slots = toxicity.term_slots(text).tolist()
+        assert slots == sorted(set(slots))
+        logit = fm.w0 + sum(float(fm.w[a]) for a in slots)
+        for n, a in enumerate(slots):
+            for b in slots[:n]:
+                logit += sum(float(x) * float(y) for x, y in zip(fm.v[a], fm.v[b]))
+        p = 1 / (1 + math.exp(-min(30, max(-30, logit))))
+        assert fm.text_score(text) == pytest.approx(p, rel=1e-6, abs=1e-9)
+        if i is not None and [x for x, _ in pairs(messy)].count(i) == 1:
+            assert scores[i, text] == pytest.approx(p, rel=1e-6, abs=1e-9)
+
+
+
 def test_toxicity_held_out(spark):
     d = "/root/testdata/sf0.1"
     got = Q.op6_toxicity(spark, d)
