@@ -16,7 +16,7 @@ says nothing alone can in a pair; theirs are held short by a penalty on their
 length, which takes those that no pair needs to zero.
 Scoring is one pass over the documents without a shuffle.
 
-``OFTEN`` and ``SHRINK`` were chosen by four folds inside the training rows; the
+``OFTEN`` and ``SHRINK`` were chosen by folds inside the training rows; the
 held-out rows had no part in it.
 
 Defined results: a null or empty text scores sigmoid(w0); without any
