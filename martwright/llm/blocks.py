@@ -21,10 +21,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from martwright.llm.common import ship, workers
-from martwright.session import checkpoint_dir
+from martwright.sinks.scratch import scratch_dir, scratch_table
 
 SIZE = 2_000_000  # tokens of a block, about
 PART = 2_000_000  # keys that one task merges, about
+BUCKET_BYTES = 256 << 20  # of the texts in one bucket, about
 END = b"\n</s>"  # ends each text, word number 0; no word holds a line end
 
 REQUEST = "block long, kind string, part int, keys binary"
@@ -77,11 +78,31 @@ def bits_for(n: int, each: int) -> int:
     return min(30, max(0, (-(-int(n) // each) - 1).bit_length()))
 
 
+def bucket_count(docs: DataFrame, text_col: str) -> int:
+    """Buckets for about ``BUCKET_BYTES`` of text each, as measured in one pass
+    over the column; the session's shuffle width at least, and no more than
+    Spark allows.  Blocks of a bucket are opened one by one, so a task's memory
+    doesn't follow from this number."""
+    spark = docs.sparkSession
+    held = docs.agg(F.sum(F.octet_length(F.col(f"`{text_col}`")).cast("long"))).first()[0] or 0
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    return min(max(workers(spark), -(-held // BUCKET_BYTES)), most)
+
+
+def one_by_one(batches) -> Iterator[dict]:
+    """The rows of Arrow batches, each made when its turn comes."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield {name: batch.column(name)[k].as_py() for name in batch.schema.names}
+
+
 def store_blocks(docs: DataFrame, id_col: str, text_col: str, flag: Column | None = None,
                  lower: bool = False, size: int | None = None) -> DataFrame:
-    """The texts as blocks, in a table bucketed by block in the shared folder:
-    a join with a block's answers shuffles the answers alone.  ``flag``: a
-    condition kept with each document; ``lower``: lower-case A-Z."""
+    """The texts as blocks, in a table bucketed by block in the session's
+    scratch folder (``sinks.scratch.clean`` drops it): a join with a block's
+    answers shuffles the answers alone.  ``flag``: a condition kept with each
+    document; ``lower``: lower-case A-Z.  A text lies whole in one block, so a
+    block of a very long text is longer than ``size``."""
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -128,9 +149,10 @@ def store_blocks(docs: DataFrame, id_col: str, text_col: str, flag: Column | Non
 
     made = docs.select(F.col(f"`{id_col}`"), F.lit(False) if flag is None else flag,
                        F.col(f"`{text_col}`")).mapInArrow(run, schema)
-    name = f"blocks_{uuid.uuid4().hex}"
-    (made.write.bucketBy(workers(spark), "block").option("path", f"{checkpoint_dir(spark).rstrip('/')}/{name}")
-     .saveAsTable(name))
+    version = uuid.uuid4().hex
+    name = scratch_table(spark, f"blocks_{version}")
+    (made.write.bucketBy(bucket_count(docs, text_col), "block")
+     .option("path", f"{scratch_dir(spark)}/blocks-{version}").saveAsTable(name))
     return spark.table(name)
 
 

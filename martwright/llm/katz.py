@@ -23,7 +23,8 @@ totals reach the driver.
 Words and bigrams are 64-bit hashes.  Defined results: a null or empty text is
 the end token alone; rows that repeat an id count and are scored each; a null
 id trains; without training text every word is unknown; an empty table gives
-an empty table.
+an empty table; a very long text lies whole in one block, whose task holds all
+its words; extra columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from martwright.llm import blocks as block_table
-from martwright.llm.blocks import (ANSWER, PART, REQUEST, Block, Merged, answered, bits_for, mix, requests,
-                                   store_blocks, unpack_ids, word_hash)
+from martwright.llm.blocks import (ANSWER, PART, REQUEST, Block, Merged, answered, bits_for, mix, one_by_one,
+                                   requests, store_blocks, unpack_ids, word_hash)
 from martwright.llm.common import stored
 
 K = 5  # counts above it are not discounted
@@ -170,19 +171,18 @@ def score(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col: str =
     ask = REQUEST + ", counts binary"
 
     def counts_asked(batches):
-        for batch in batches:
-            for k in range(batch.num_rows):  # one block at a time
-                b = Grams({name: batch.column(name)[k].as_py() for name in batch.schema.names})
-                _, words, counts = b.unigrams()
-                asked = requests(b.number, "unigram", words, bits, counts=counts.astype(np.uint32))
-                b.bigrams()
-                asked += requests(b.number, "bigram", b.keys, bits, counts=b.counts.astype(np.uint32))
-                del b, words, counts
-                yield pa.RecordBatch.from_pylist(asked, pa.schema(
-                    [("block", pa.int64()), ("kind", pa.string()), ("part", pa.int32()),
-                     ("keys", pa.binary()), ("counts", pa.binary())]))
-                del asked
-                pa.default_memory_pool().release_unused()
+        for row in one_by_one(batches):
+            b = Grams(row)
+            _, words, counts = b.unigrams()
+            asked = requests(b.number, "unigram", words, bits, counts=counts.astype(np.uint32))
+            b.bigrams()
+            asked += requests(b.number, "bigram", b.keys, bits, counts=b.counts.astype(np.uint32))
+            del b, row, words, counts
+            yield pa.RecordBatch.from_pylist(asked, pa.schema(
+                [("block", pa.int64()), ("kind", pa.string()), ("part", pa.int32()),
+                 ("keys", pa.binary()), ("counts", pa.binary())]))
+            del asked
+            pa.default_memory_pool().release_unused()
 
     needed = blocks.select("block", "flags", "sizes", "tokens", "words")
     counted = stored(needed.mapInArrow(counts_asked, ask).groupBy("kind", "part").applyInPandas(

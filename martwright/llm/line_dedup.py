@@ -41,9 +41,9 @@ def _lines(text: Column) -> Column:
 
 
 def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
-                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                      id_col: str = "doc_id", text_col: str = "text", counts: bool = True) -> DataFrame:
     """``docs`` with the shared lines cut from ``text_col``, and ``n_lines``
-    (before) and ``n_dropped``.
+    (before) and ``n_dropped``; without ``counts`` the columns of ``docs`` alone.
 
     Shuffles: the line hashes to be counted (pre-aggregated, (hash, document)
     pairs first, so a line in a third of all documents is no hot task), those
@@ -81,7 +81,7 @@ def drop_common_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
 
     kept = F.when(cut.isNull(), F.col(lines)).otherwise(
         F.flatten(F.transform(F.sequence(F.lit(0), F.size(cut)), between)))
-    return (joined.withColumn("n_lines", n.cast("long"))
-            .withColumn("n_dropped", F.when(cut.isNull(), F.lit(0)).otherwise(F.size(cut)).cast("long"))
-            .withColumn(text_col, F.concat_ws("\n", kept))
-            .drop(version, drop, lines))
+    if counts:
+        joined = (joined.withColumn("n_lines", n.cast("long"))
+                  .withColumn("n_dropped", F.when(cut.isNull(), F.lit(0)).otherwise(F.size(cut)).cast("long")))
+    return joined.withColumn(text_col, F.concat_ws("\n", kept)).drop(version, drop, lines)

@@ -16,7 +16,9 @@ included; ``tiktoken`` makes them here as it is faster (a test holds one against
 the other).
 
 Defined results: a null or empty text is the end id alone; repeated rows are
-packed each; null document ids stay; an empty table gives an empty table.
+packed each; null document ids stay; an empty table gives an empty table; a
+very long text is encoded whole in one task and leaves as its pieces; extra
+columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -38,7 +38,8 @@ made of confirmed spans alone takes the product of their numbers.
 
 Defined results: a null or empty text has no spans; repeated rows, ties and
 null ids are scored row by row; output columns replace input columns of the
-same name; an empty table gives an empty table.
+same name, all other columns stay; a very long text is searched whole, in one
+task; an empty table gives an empty table.
 """
 
 from __future__ import annotations

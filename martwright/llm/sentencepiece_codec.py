@@ -23,7 +23,9 @@ turns byte pieces into text and space marks into spaces.
 
 Defined results: a null or empty text has no ids and decodes to an empty text;
 U+2581 in a text decodes to a space, as in the library; repeated rows and null
-ids are encoded row by row; an empty table gives an empty table.
+ids are encoded row by row; an empty table gives an empty table; a very long
+text is encoded whole, part by part, in one task; extra columns are not read,
+whatever their names.
 """
 
 from __future__ import annotations

@@ -22,7 +22,9 @@ fingerprint and are never expanded into pairs.
 Defined results: a text without words (null, empty) has fingerprint zero and
 is linked like any other; fewer words than a shingle make one shingle; repeated
 rows and null ids each get the group of their text, whose id is the smallest
-id that is not null (null if there is none); an empty table gives an empty one.
+id that is not null (null if there is none); an empty table gives an empty one; a
+very long text is shingled whole, in one task; extra columns are not read, whatever
+their names, and ``keep_first`` returns them unchanged.
 """
 
 from __future__ import annotations

@@ -24,7 +24,9 @@ whatever repeats.
 
 Ids must be integers.  Defined results: a null or empty text has no words; a
 null id counts as larger than any other; rows that repeat an id own windows
-together and lose none to each other; an empty table gives an empty table.
+together and lose none to each other; an empty table gives an empty table; a
+very long text lies whole in one block, whose task holds all its words; extra
+columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,8 +35,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from martwright.llm.blocks import (ANSWER, PART, REQUEST, Block, Merged, answered, bits_for, mix, pack, requests,
-                                   store_blocks, unpack_ids)
+from martwright.llm.blocks import (ANSWER, PART, REQUEST, Block, Merged, answered, bits_for, mix, one_by_one, pack,
+                                   requests, store_blocks, unpack_ids)
 from martwright.llm.common import stored
 
 LENGTH, SHINGLE = 13, 6
@@ -251,14 +253,13 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     bits = bits_for(blocks.agg(F.sum("n")).first()[0] or 0, 4 * PART)
 
     def anchors_asked(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                b = Windows(row, length)
-                keys, counts, _ = b.anchors()
-                yield pa.RecordBatch.from_pylist(
-                    requests(b.number, "anchor", keys, bits, counts=counts.astype(np.uint32)),
-                    pa.schema([("block", pa.int64()), ("kind", pa.string()), ("part", pa.int32()),
-                               ("keys", pa.binary()), ("counts", pa.binary())]))
+        for row in one_by_one(batches):
+            b = Windows(row, length)
+            keys, counts, _ = b.anchors()
+            yield pa.RecordBatch.from_pylist(
+                requests(b.number, "anchor", keys, bits, counts=counts.astype(np.uint32)),
+                pa.schema([("block", pa.int64()), ("kind", pa.string()), ("part", pa.int32()),
+                           ("keys", pa.binary()), ("counts", pa.binary())]))
 
     held = stored(blocks.drop("n").mapInArrow(anchors_asked, REQUEST + ", counts binary")
                   .groupBy("part").applyInPandas(_held_by, ANSWER + ", runs long"), "anchors")
