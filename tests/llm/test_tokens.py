@@ -238,6 +238,8 @@ def test_pipeline_stages(spark, messy, nothing, tmp_path):
                 path = str(tmp_path / f"{docs.count()}-{n}-{len(columns)}-{random.random()}")
                 out.write.parquet(path)
                 docs = spark.read.parquet(path)
+                extra = columns[5:]
+                assert not extra or docs.where(" or ".join(f"`{c}` <> 'clash'" for c in extra)).isEmpty()
         assert sorted(out.columns) == sorted(["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
         assert sorted(((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in out.collect()), key=repr) == \
             brute_pieces(pairs(docs))
