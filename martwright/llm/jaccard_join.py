@@ -25,8 +25,10 @@ across components are still open.  Open signatures that share members form a
 family; a family of up to ``FAMILY_BLOCKS`` blocks is one group, in a larger one
 each signature is (a text then goes to each of its open signatures, not to each
 block of a very large family).  Members of a group are dealt into blocks of
-about ``BLOCK``, and tasks take pairs of blocks, skip what has become connected
-and verify the rest.  So the pairs of a group of near copies are never made as
+about ``BLOCK`` texts, or ``BLOCK_BYTES`` if they are long, and tasks take pairs
+of blocks, skip what has become connected and verify the rest, a text against
+all of fitting size at once.  So a text is sent and cut into shingles once for
+each block of its group, the pairs of a group of near copies are never made as
 rows, and no link between components is lost.  Verification counts the shingles
 of both whole texts.
 
@@ -60,7 +62,8 @@ SHINGLE, PERCENT = 3, 90
 GROWTH = 1.4  # of the sizes from band to band
 INNER, LEFT_OUT = 1, 0  # n2, the smaller parts of a part, and k2, how many of them a subset leaves out
 CHUNK = 256  # members verified against a leader by one task
-BLOCK = 64  # members of an open group that meet another block in one task
+BLOCK = 512  # members of an open group that meet another block in one task
+BLOCK_BYTES = 4_000_000  # of their texts
 FAMILY_BLOCKS = 8  # blocks up to which a family of open signatures is one group
 CACHE = 1_000_000  # words whose hash a task remembers, and set ids it has seen
 
@@ -205,19 +208,40 @@ def _verified(pdf: pd.DataFrame, known: Shingles, percent: int) -> list[tuple[in
 def _open_links(pdf: pd.DataFrame, known: Shingles, percent: int) -> list[tuple[int, int]]:
     """Links across components among the rows of a pair of blocks; those that
     former links of this task have connected are skipped."""
-    pdf = pdf.drop_duplicates("sid").sort_values("sid")
-    sets = [known.of(t) for t in pdf["text"]]
-    sids, side = pdf["sid"].tolist(), pdf["side"].tolist()
+    pdf = pdf.drop_duplicates("sid").reset_index(drop=True)
     same = pdf["low"].iloc[0] == pdf["high"].iloc[0]
-    root = pdf["root"].to_numpy().copy()
+    sets = [known.of(t) for t in pdf["text"]]
+    order = np.argsort([len(e) for e in sets], kind="stable")
+    sids, side, root = (pdf[c].to_numpy()[order] for c in ("sid", "side", "root"))
+    sets = [sets[k] for k in order]
+    size = np.array([len(e) for e in sets])
+    end = np.cumsum(size)
+    start = end - size
+    held = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    mine = np.zeros(len(held), bool)
     links = []
-    for a, b in itertools.combinations(range(len(sids)), 2):
-        if (same or side[a] != side[b]) and root[a] != root[b] and similar(sets[a], sets[b], percent):
-            links.append((sids[a], sids[b]))
-            root[root == root[b]] = root[a]
+    for a in range(len(sids) - 1):
+        last = int(np.searchsorted(size, 100 * size[a] // percent, side="right"))  # larger ones can't link
+        wanted = root[a + 1:last] != root[a]
+        if not same:
+            wanted &= side[a + 1:last] != side[a]
+        if not wanted.any():
+            continue
+        mine[held[start[a]:end[a]]] = True
+        met = np.add.reduceat(mine[held[start[a + 1]:end[last - 1]]], start[a + 1:last] - start[a + 1], dtype=np.int64)
+        mine[held[start[a]:end[a]]] = False
+        for b in a + 1 + np.flatnonzero(wanted & (100 * met >= percent * (size[a] + size[a + 1:last] - met))):
+            if root[a] != root[b]:
+                links.append((int(min(sids[a], sids[b])), int(max(sids[a], sids[b]))))
+                root[root == root[b]] = root[a]
     return links
 
 
+def _blocks(members: str, size: str):
+    """The number of blocks of a group of so many members and bytes."""
+    return F.greatest(F.ceil(F.col(members) / BLOCK), F.ceil(F.col(size) / BLOCK_BYTES)).cast("long")
+
+
 def class_links(docs: DataFrame, sets: DataFrame, words: int, percent: int, text_col: str) -> DataFrame:
     """``low, high``: links between set ids, enough to connect all that link."""
     sigs = sets.select(F.explode("sigs").alias("sig"), "sid")
@@ -230,7 +254,8 @@ def class_links(docs: DataFrame, sets: DataFrame, words: int, percent: int, text
     chosen = sets.select("sid", "text_hash").join(wanted, "sid").groupBy("sid").agg(F.min("text_hash").alias("text_hash"))
     text = F.col(f"`{text_col}`")
     texts = written(docs.where(text.isNotNull()).select(F.xxhash64(text).alias("text_hash"), text.alias("text"))
-                    .join(chosen, "text_hash").groupBy("sid").agg(F.min("text").alias("text")), "candidate-texts")
+                    .join(chosen, "text_hash").groupBy("sid").agg(F.min("text").alias("text"))
+                    .withColumn("bytes", F.octet_length("text")), "candidate-texts")
 
     count = pairs.groupBy("leader").agg(F.count(F.lit(1)).alias("m"))
     dealt = pairs.join(count, "leader").select(
@@ -241,15 +266,15 @@ def class_links(docs: DataFrame, sets: DataFrame, words: int, percent: int, text
         found = _verified(pdf, Shingles(words), percent)
         return pd.DataFrame({"low": [a for a, _ in found], "high": [b for _, b in found]}, dtype="int64")
 
-    links = written(entries.join(texts, "sid").groupBy("leader", "chunk").applyInPandas(verify, "low long, high long"),
+    links = written(entries.join(texts.drop("bytes"), "sid").groupBy("leader", "chunk").applyInPandas(verify, "low long, high long"),
                     "leader-links")
     more = _across(shared, texts, components(links), words, percent)
     return links.union(more)
 
 
-def _across(shared: DataFrame, texts: DataFrame, stars: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links between components among the members of one signature that the
-    leader has not decided."""
+def _open_blocks(shared: DataFrame, texts: DataFrame, stars: DataFrame) -> DataFrame:
+    """``kind, key, sid, root, side, low, high``: the members of open signatures,
+    in the blocks of their groups, once for each pair of blocks."""
     rooted = shared.join(stars.withColumnRenamed("high", "sid"), "sid", "left").select(
         "sig", "leader", "sid", F.coalesce("low", "sid").alias("root"))
     groups = rooted.groupBy("sig").agg(F.count(F.lit(1)).alias("m"), F.min("root").alias("least"), F.max("root").alias("most"))
@@ -260,28 +285,35 @@ def _across(shared: DataFrame, texts: DataFrame, stars: DataFrame, words: int, p
     family = (members.select("sid", "root").distinct()
               .join(tied.withColumnRenamed("high", "sid").withColumnRenamed("low", "family"), "sid", "left")
               .withColumn("family", F.coalesce("family", "sid")))
-    size = family.groupBy("family").agg(F.count(F.lit(1)).alias("f"))
+    family = family.join(texts.select("sid", "bytes"), "sid")
+    size = (family.groupBy("family").agg(F.count(F.lit(1)).alias("f"), F.sum("bytes").alias("w"))
+            .select("family", _blocks("f", "w").alias("blocks")))
     family = written(family.join(size, "family"), "families")
-    whole = F.col("f") <= FAMILY_BLOCKS * BLOCK
-    together = family.where(whole).select(F.lit("family").alias("kind"), F.col("family").alias("key"), "sid", "root",
-                                          F.col("f").alias("m"))
+    whole = F.col("blocks") <= FAMILY_BLOCKS
+    together = family.where(whole).select(F.lit("family").alias("kind"), F.col("family").alias("key"), "sid", "root", "blocks")
     # many signatures have the same members: one of them stands for all
     mark = F.xxhash64("sid")
-    apart = members.join(family.where(~whole).select("sid"), "sid")
-    chosen = (apart.groupBy("sig", "m").agg(F.bit_xor(mark).alias("one"), F.sum(F.shiftright(mark, 20)).alias("two"))
-              .groupBy("m", "one", "two").agg(F.min("sig").alias("sig")).select("sig"))
-    signed = apart.join(chosen, "sig").select(F.lit("signature").alias("kind"), F.col("sig").alias("key"), "sid", "root", "m")
-    blocked = (together.union(signed).withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("long"))
-               .withColumn("side", F.pmod(F.xxhash64("sid", F.lit(1)), "blocks")))
-    dealt = (blocked.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-             .select("kind", "key", "sid", "root", "side", F.least("side", "other").alias("low"),
-                     F.greatest("side", "other").alias("high")))
+    apart = written(members.drop("m").join(family.where(~whole).select("sid", "bytes"), "sid"), "apart")
+    chosen = (apart.groupBy("sig").agg(F.count(F.lit(1)).alias("m"), F.sum("bytes").alias("w"), F.bit_xor(mark).alias("one"),
+                                       F.sum(F.shiftright(mark, 20)).alias("two"))
+              .groupBy("m", "one", "two").agg(F.min("sig").alias("sig"), F.min("w").alias("w"))
+              .select("sig", _blocks("m", "w").alias("blocks")))
+    signed = apart.join(chosen, "sig").select(F.lit("signature").alias("kind"), F.col("sig").alias("key"), "sid", "root", "blocks")
+    blocked = together.union(signed).withColumn("side", F.pmod(F.xxhash64("sid", F.lit(1)), "blocks"))
+    return (blocked.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+            .select("kind", "key", "sid", "root", "side", F.least("side", "other").alias("low"),
+                    F.greatest("side", "other").alias("high")))
+
 
+def _across(shared: DataFrame, texts: DataFrame, stars: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links between components among the members of one signature that the
+    leader has not decided."""
     def verify(pdf: pd.DataFrame) -> pd.DataFrame:
         found = _open_links(pdf, Shingles(words), percent)
         return pd.DataFrame({"low": [a for a, _ in found], "high": [b for _, b in found]}, dtype="int64")
 
-    return dealt.join(texts, "sid").groupBy("kind", "key", "low", "high").applyInPandas(verify, "low long, high long")
+    return (_open_blocks(shared, texts, stars).join(texts.drop("bytes"), "sid")
+            .groupBy("kind", "key", "low", "high").applyInPandas(verify, "low long, high long"))
 
 
 def link_classes(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id",

@@ -6,6 +6,7 @@ import itertools
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from martwright.llm import jaccard_join
@@ -104,6 +105,48 @@ def test_a_large_group_in_blocks(spark, monkeypatch, family_blocks):
     assert got(df) == brute(rows)
 
 
+def test_open_texts_are_sent_once_for_each_block(spark):
+    """A family of 600 open classes goes to two blocks, so each text to two
+    tasks, not to ten and for every signature; long texts make more blocks."""
+    shared = spark.sql("SELECT s.id AS sig, 0L AS leader, m.id AS sid FROM range(5) s, range(600) m WHERE m.id != s.id")
+    stars = spark.createDataFrame([], "low long, high long")
+    for length, blocks in ((40, 2), (20_000, 3)):
+        texts = spark.range(600).selectExpr("id AS sid", f"repeat('x', {length}) AS text", f"{length} AS bytes")
+        dealt = jaccard_join._open_blocks(shared, texts, stars).collect()
+        assert len(dealt) == 600 * blocks and len({(r.kind, r.key) for r in dealt}) == 1
+        meet = {}
+        for r in dealt:
+            assert r.side in (r.low, r.high) and r.low <= r.high < blocks
+            meet.setdefault((r.low, r.high), []).append(r.sid)
+        assert len(meet) == blocks * (blocks + 1) // 2 and set().union(*meet.values()) == set(range(600))
+
+
+@pytest.mark.parametrize("same", [True, False])
+def test_open_links_of_a_block_connect_what_all_pairs_do(same):
+    rng = random.Random(5)
+    base, texts = [f"w{k}" for k in range(80)], []
+    for _ in range(120):
+        texts.append(" ".join(edited(rng, base[:rng.randrange(70, 81)], rng.randrange(5))))
+    texts = sorted(set(texts)) + ["one", "one two three four"]
+    sids = rng.sample(range(-10 ** 6, 10 ** 6), len(texts))
+    rows = pd.DataFrame({"sid": sids, "root": [s // 3 for s in sids], "side": [k % 2 for k in range(len(sids))],
+                         "low": 0, "high": 0 if same else 1, "text": texts})
+    rows.loc[:20, "root"] = 7
+    known = jaccard_join.Shingles(3)
+    found = jaccard_join._open_links(pd.concat([rows, rows[:9]]), known, 90)
+    sets = [known.of(t) for t in texts]
+    side, root = rows["side"].tolist(), rows["root"].tolist()
+    links = [(sids[a], sids[b]) for a, b in itertools.combinations(range(len(sids)), 2)
+             if (same or side[a] != side[b]) and jaccard_join.similar(sets[a], sets[b], 90)]
+    assert all(a < b and ((a, b) in links or (b, a) in links) for a, b in found) and len(found) < len(links)
+    tied = [(("root", r), s) for s, r in zip(sids, root)]
+    nodes = sids + [("root", r) for r in set(root)]
+    place = {n: k for k, n in enumerate(nodes)}
+    one, two = (components(range(len(nodes)), [(place[a], place[b]) for a, b in tied + each]) for each in (found, links))
+    assert len({(one[k], two[k]) for k in range(len(nodes))}) == len({one[k] for k in range(len(nodes))}) \
+        == len({two[k] for k in range(len(nodes))})
+
+
 @pytest.mark.parametrize("percent", [70, 90, 95])
 def test_similar_sets_share_a_signature(percent):
     rng = np.random.default_rng(percent)
